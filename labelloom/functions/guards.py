@@ -1,0 +1,16 @@
+"""Raising an error from inside a query."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def fail(message: Column, as_type: str) -> Column:
+    """An expression that stops the query with ``message`` when a row reaches it.
+
+    The partition id is never negative, so the test always holds; it is there because the
+    optimizer keeps later filters above an expression that depends on the partition, and so
+    a bad row stops the query even if a later filter would have removed it.
+    """
+    return F.when(F.spark_partition_id() >= 0, F.raise_error(message)).cast(as_type)
