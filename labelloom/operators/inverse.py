@@ -12,9 +12,9 @@ from labelloom.operators.lookup import (
     BROADCAST_BYTES,
     UNKNOWN,
     Lookup,
-    fits_broadcast,
     is_hot,
     join_entries,
+    memory_bytes,
 )
 from labelloom.plans.dictionary import ColumnDictionary
 
@@ -64,7 +64,8 @@ def label_column(
         [F.when(in_range, index).cast("bigint")],
         entries,
         tag=tag,
-        small=fits_broadcast(dictionary, broadcast_bytes),
+        entries_bytes=memory_bytes(dictionary),
+        broadcast_bytes=broadcast_bytes,
     )
     label = found.value
     if with_unknown:

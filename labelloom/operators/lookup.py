@@ -12,7 +12,6 @@ How the join is done depends on the size of the dictionary, which is known:
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,15 +32,15 @@ UNKNOWN = "__unknown"
 
 INLINE_LABELS = 8
 BROADCAST_BYTES = 64 << 20
-# bytes a broadcast entry takes besides its label
+# bytes of entries a task of a shuffle may hold in a hash table
+HASH_BYTES = 64 << 20
+# bytes an entry takes besides its label
 ENTRY_BYTES = 48
 # a label is hot if it holds at least one row in this many; there can be no more hot labels
 # than that, and as those broadcast are also short, they take a few megabytes at most
 HOT_SHARE = 10_000
 HOT_LABEL_BYTES = 1_024
 
-_WHOLE_NUMBER = re.compile(r"-?[0-9]{1,18}")
-
 
 @dataclass
 class Lookup:
@@ -52,8 +51,8 @@ class Lookup:
     helpers: list[str]
 
 
-def fits_broadcast(dictionary: ColumnDictionary, broadcast_bytes: int) -> bool:
-    return dictionary.text_bytes + dictionary.size * ENTRY_BYTES <= broadcast_bytes
+def memory_bytes(dictionary: ColumnDictionary) -> int:
+    return dictionary.text_bytes + dictionary.size * ENTRY_BYTES
 
 
 def is_hot(dictionary: ColumnDictionary) -> Column:
@@ -67,7 +66,8 @@ def join_entries(
     entries: DataFrame,
     *,
     tag: str,
-    small: bool,
+    entries_bytes: int,
+    broadcast_bytes: int,
     required: bool = False,
 ) -> Lookup:
     """Join ``table`` with ``entries``, a table ``(key0, ..., value, hot)`` with distinct keys.
@@ -76,9 +76,9 @@ def join_entries(
     """
     key_names = [f"key{i}" for i in range(len(keys))]
 
-    def named(rows: DataFrame, part: str) -> DataFrame:
+    def named(rows: DataFrame, part: str, *more: Column) -> DataFrame:
         columns = [F.col(k).alias(f"{tag}_{part}_{k}") for k in key_names]
-        return rows.select(*columns, F.col("value").alias(f"{tag}_{part}_value"))
+        return rows.select(*columns, F.col("value").alias(f"{tag}_{part}_value"), *more)
 
     def matches(left: list[Column], part: str) -> Column:
         condition = F.lit(True)
@@ -86,14 +86,19 @@ def join_entries(
             condition = condition & (key == F.col(f"{tag}_{part}_{name}"))
         return condition
 
-    if small:
+    if entries_bytes <= broadcast_bytes:
         how = "inner" if required else "left"
         right = named(entries, "all")
         joined = table.join(F.broadcast(right), matches(keys, "all"), how)
         return Lookup(joined, F.col(f"{tag}_all_value"), right.columns)
 
     hot = named(entries.where("hot"), "hot")
-    cold = named(entries.where("not hot"), "cold").withColumn(f"{tag}_cold_spread", F.lit(0))
+    # zero for each entry, but not as a literal: the optimizer would take one out of the join keys
+    no_spread = F.col("hot").cast("int").alias(f"{tag}_cold_spread")
+    cold = named(entries.where("not hot"), "cold", no_spread)
+    if entries_bytes <= HASH_BYTES * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # keys are distinct, so the entries spread evenly and the table need not be sorted
+        cold = cold.hint("shuffle_hash")
     table = table.join(F.broadcast(hot), matches(keys, "hot"), "left")
     hot_value = F.col(f"{tag}_hot_value")
     open_names = [f"{tag}_open_{k}" for k in key_names]
@@ -133,11 +138,20 @@ def _has_one_of(value: Column, labels: tuple[str, ...], data_type: DataType) ->
     """The filter ``value is one of labels`` in a form a file scan can use, if there is one."""
     if isinstance(data_type, StringType):
         return value.isin(list(labels))
-    if isinstance(data_type, IntegralType) and all(_WHOLE_NUMBER.fullmatch(lb) for lb in labels):
-        return value.isin([int(label) for label in labels])
+    if isinstance(data_type, IntegralType):
+        return value.isin([int(label) for label in labels if _is_long(label)])
     return None
 
 
+def _is_long(label: str) -> bool:
+    """Whether some ``bigint`` prints as ``label``."""
+    try:
+        number = int(label)
+    except ValueError:
+        return False
+    return str(number) == label and -(2**63) <= number < 2**63
+
+
 def index_column(
     table: DataFrame,
     field: StructField,
@@ -159,10 +173,8 @@ def index_column(
     if dictionary.labels is not None and dictionary.size <= inline_labels:
         index = _inline_index(value, dictionary.labels, field.dataType)
         if policy == SKIP:
-            scan_filter = _has_one_of(value, dictionary.labels, field.dataType)
-            if scan_filter is not None:
-                table = table.where(scan_filter)
-            table = table.where(index.isNotNull())
+            seen = _has_one_of(value, dictionary.labels, field.dataType)
+            table = table.where(index.isNotNull() if seen is None else seen)
         found = Lookup(table, index, [])
     else:
         keys = label_keys(F.col("label"), field.dataType)
@@ -176,7 +188,8 @@ def index_column(
             value_keys(value, field.dataType),
             entries.where("key0 is not null"),
             tag=tag,
-            small=fits_broadcast(dictionary, broadcast_bytes),
+            entries_bytes=memory_bytes(dictionary),
+            broadcast_bytes=broadcast_bytes,
             required=policy == SKIP,
         )
     if policy == KEEP:

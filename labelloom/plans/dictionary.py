@@ -11,17 +11,21 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.operators.counts import label_counts
-from labelloom.operators.ranking import rank_by_range, rank_by_window
+from labelloom.operators.ranking import rank_by_range, rank_by_window, sort_keys
 from labelloom.session import new_folder
 
 # what the driver holds for all columns of one model together, in labels and in bytes of text
 DRIVER_LABELS = 200_000
 DRIVER_BYTES = 32 << 20
 
+# a model of so few and so short labels is recognized by a look at its first rows
+GLANCE_LABELS = 1_000
+GLANCE_BYTES = 256
+
 
 @dataclass(frozen=True)
 class ColumnDictionary:
@@ -87,12 +91,16 @@ def learn_dictionaries(
     spark = df.sparkSession
     counts = label_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        few = glance(counts, sort_keys(order), local_limit)
+        if few is not None:
+            learned = split_dictionaries(few)
+            return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
         found = summarize(counts)
         local = local_columns(found, local_limit)
         learned = {}
         if local:
-            few = counts.where(F.col("col_name").isin(local))
-            learned |= collect_dictionaries(rank_by_window(few, order), local)
+            small = counts.where(F.col("col_name").isin(local))
+            learned |= collect_dictionaries(rank_by_window(small, order))
         large = [c for c in found if c not in local]
         if large:
             many = counts.where(F.col("col_name").isin(large))
@@ -127,17 +135,34 @@ def summarize(rows: DataFrame) -> dict[str, dict[str, int]]:
     return {row["col_name"]: row.asDict() for row in summary.collect()}
 
 
-def collect_dictionaries(rows: DataFrame, columns: list[str]) -> dict[str, ColumnDictionary]:
-    """Bring the few labels of ``columns`` to the driver."""
-    collected = rows.toArrow().sort_by([("col_name", "ascending"), ("idx", "ascending")])
-    names = collected.column("col_name").to_pylist()
-    labels = collected.column("label").to_pylist()
-    counts = collected.column("n").to_pylist()
-    grouped: dict[str, tuple[list, list]] = {c: ([], []) for c in columns}
-    for name, label, n in zip(names, labels, counts):
-        grouped[name][0].append(label)
-        grouped[name][1].append(n)
-    return {c: ColumnDictionary.of_labels(*grouped[c]) for c in columns}
+def glance(rows: DataFrame, order: list[Column], local_limit: int) -> pa.Table | None:
+    """All of ``rows``, sorted within each column, or None if they are more than a few.
+
+    Only the first rows in that order are looked for, so this costs little if they are many.
+    """
+    most = min(GLANCE_LABELS, local_limit)
+    if most < 1:
+        return None
+    short = F.when(F.octet_length("label") <= GLANCE_BYTES, F.col("label"))
+    sorted_rows = rows.withColumn("label", short).orderBy("col_name", *order)
+    few = sorted_rows.select("col_name", "label", "n").limit(most + 1).toArrow()
+    return None if few.num_rows > most or few["label"].null_count else few
+
+
+def collect_dictionaries(rows: DataFrame) -> dict[str, ColumnDictionary]:
+    """Bring dictionaries that are known to be small to the driver."""
+    collected = rows.select("col_name", "label", "n", "idx").toArrow()
+    return split_dictionaries(collected.sort_by([("col_name", "ascending"), ("idx", "ascending")]))
+
+
+def split_dictionaries(rows: pa.Table) -> dict[str, ColumnDictionary]:
+    """One dictionary per column, of ``rows`` sorted by column and index."""
+    grouped: dict[str, tuple[list, list]] = {}
+    for row in rows.to_pylist():
+        labels, counts = grouped.setdefault(row["col_name"], ([], []))
+        labels.append(row["label"])
+        counts.append(row["n"])
+    return {name: ColumnDictionary.of_labels(*lists) for name, lists in grouped.items()}
 
 
 def stored_dictionaries(

@@ -147,8 +147,10 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
                 f"but {len(pairs)} input columns are set."
             )
         table = dataset
-        outputs, helpers = {}, []
-        for i, ((field, output), dictionary) in enumerate(zip(pairs, self.dictionaries)):
+        values, helpers = {}, []
+        # small dictionaries first: what they drop under 'skip' need not be shuffled for others
+        for i in sorted(range(len(pairs)), key=lambda i: self.dictionaries[i].size):
+            field, output = pairs[i]
             if field is None:
                 logger.warning(
                     "Input column %s does not exist; %s is left out.",
@@ -159,14 +161,17 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             found = index_column(
                 table,
                 field,
-                dictionary,
+                self.dictionaries[i],
                 self.getHandleInvalid(),
                 tag=f"__labelloom_{i}",
                 broadcast_bytes=self.getBroadcastLimit(),
             )
             table = found.table
             helpers += found.helpers
-            outputs[output] = found.value.alias(output, metadata=self._metadata(output, dictionary))
+            values[output] = found.value.alias(
+                output, metadata=self._metadata(output, self.dictionaries[i])
+            )
+        outputs = {output: values[output] for _, output in pairs if output in values}
         if not outputs:
             return dataset
         return table.withColumns(outputs).drop(*helpers)

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from labelloom.plans.dictionary import (
     ColumnDictionary,
     collect_dictionaries,
+    glance,
     local_columns,
     local_table,
+    split_dictionaries,
     stored_dictionaries,
     summarize,
 )
@@ -109,11 +111,13 @@ class ModelReader(MLReader):
 
     @staticmethod
     def _dictionaries(rows: DataFrame, count: int, local_limit: int) -> list[ColumnDictionary]:
-        found = summarize(rows)
-        local = local_columns(found, local_limit)
-        loaded = {}
-        if local:
-            loaded |= collect_dictionaries(rows.where(F.col("col_name").isin(local)), local)
-        large = {c: found[c] for c in found if c not in local}
-        loaded |= stored_dictionaries(rows, large)
+        few = glance(rows, [F.asc("idx")], local_limit)
+        if few is not None:
+            loaded = split_dictionaries(few)
+        else:
+            found = summarize(rows)
+            local = local_columns(found, local_limit)
+            loaded = stored_dictionaries(rows, {c: found[c] for c in found if c not in local})
+            if local:
+                loaded |= collect_dictionaries(rows.where(F.col("col_name").isin(local)))
         return [loaded.get(str(i), ColumnDictionary.of_labels([])) for i in range(count)]

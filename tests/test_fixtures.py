@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -42,14 +43,17 @@ def nested(spark):
     return spark.createDataFrame(rows, schema)
 
 
+def numbered(spark, values, kind):
+    rows = pa.array(range(len(values)), pa.int32())
+    return spark.createDataFrame(pa.table({"row": rows, "v": pa.array(values, kind)}))
+
+
 def strings(spark, *values):
-    rows = [(i, v) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "row int, v string")
+    return numbered(spark, values, pa.string())
 
 
 def doubles(spark, *values):
-    rows = [(i, v) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "row int, v double")
+    return numbered(spark, values, pa.float64())
 
 
 def indices(model, df, column="i"):
