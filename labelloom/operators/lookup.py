@@ -31,7 +31,7 @@ POLICIES = (SKIP, ERROR, KEEP)
 UNKNOWN = "__unknown"
 
 INLINE_LABELS = 8
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 128 << 20
 # bytes of entries a task of a shuffle may hold in a hash table
 HASH_BYTES = 64 << 20
 # bytes an entry takes besides its label
@@ -49,6 +49,7 @@ class Lookup:
     table: DataFrame
     value: Column
     helpers: list[str]
+    broadcast_bytes: int = 0
 
 
 def memory_bytes(dictionary: ColumnDictionary) -> int:
@@ -90,7 +91,7 @@ def join_entries(
         how = "inner" if required else "left"
         right = named(entries, "all")
         joined = table.join(F.broadcast(right), matches(keys, "all"), how)
-        return Lookup(joined, F.col(f"{tag}_all_value"), right.columns)
+        return Lookup(joined, F.col(f"{tag}_all_value"), right.columns, entries_bytes)
 
     hot = named(entries.where("hot"), "hot")
     # zero for each entry, but not as a literal: the optimizer would take one out of the join keys
@@ -203,7 +204,7 @@ def _index_error(value: Column) -> Column:
     message = F.when(
         value.isNull(),
         F.lit(
-            "Encountered NULL value. To handle or skip NULLs, try setting handleInvalid."
+            "LabelIndexer encountered NULL value. To handle or skip NULLs, try setting handleInvalid."
         ),
     ).otherwise(
         F.concat(

@@ -6,7 +6,8 @@ Only a dictionary of few labels is also held there as a list.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -22,6 +23,9 @@ from labelloom.session import new_folder
 DRIVER_LABELS = 200_000
 DRIVER_BYTES = 32 << 20
 
+# label counts of a table of at most this size are cached instead of written
+CACHE_BYTES = 256 << 20
+
 # a model of so few and so short labels is recognized by a look at its first rows
 GLANCE_LABELS = 1_000
 GLANCE_BYTES = 256
@@ -88,27 +92,48 @@ def learn_dictionaries(
     Columns of at most ``local_limit`` labels are numbered by a window and brought to the
     driver. The others are sorted across the cluster and stay in a table in the shared folder.
     """
-    spark = df.sparkSession
-    counts = label_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(label_counts(df, columns)) as counts:
         few = glance(counts, sort_keys(order), local_limit)
         if few is not None:
             learned = split_dictionaries(few)
-            return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
-        found = summarize(counts)
-        local = local_columns(found, local_limit)
-        learned = {}
-        if local:
-            small = counts.where(F.col("col_name").isin(local))
-            learned |= collect_dictionaries(rank_by_window(small, order))
-        large = [c for c in found if c not in local]
-        if large:
-            many = counts.where(F.col("col_name").isin(large))
-            stored = rank_by_range(many, order, new_folder(spark, "dictionary"))
-            learned |= stored_dictionaries(stored, {c: found[c] for c in large})
+        else:
+            found = summarize(counts)
+            local = local_columns(found, local_limit)
+            large = [c for c in found if c not in local]
+            learned = {}
+            if local:
+                small = counts.where(F.col("col_name").isin(local))
+                learned |= collect_dictionaries(rank_by_window(small, order))
+            if large:
+                many = counts.where(F.col("col_name").isin(large))
+                stored = rank_by_range(many, order, new_folder(df.sparkSession, "dictionary"))
+                learned |= stored_dictionaries(stored, {c: found[c] for c in large})
+    return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
+
+
+@contextmanager
+def kept(counts: DataFrame) -> Iterator[DataFrame]:
+    """``counts``, computed once for all that is done with them.
+
+    They are written to the shared folder, so that a lost executor does not mean reading the
+    table behind them again. For a table that is soon read again they are only cached.
+    """
+    if estimated_bytes(counts) > CACHE_BYTES:
+        path = new_folder(counts.sparkSession, "counts")
+        counts.write.parquet(path)
+        yield counts.sparkSession.read.schema(counts.schema).parquet(path)
+        return
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield counts
     finally:
         counts.unpersist()
-    return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What Spark expects ``df`` to take at most; a very large number if it cannot tell."""
+    statistics = df._jdf.queryExecution().optimizedPlan().stats()
+    return statistics.sizeInBytes()
 
 
 def local_columns(sizes: dict[str, dict[str, int]], local_limit: int) -> list[str]:

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from labelloom.functions.keys import require_index_type
-from labelloom.functions.names import column, fields_of, is_case_sensitive, require_absent
+from labelloom.functions.names import column, fields_of, is_case_sensitive, require_absent, unquote
 from labelloom.operators.inverse import label_column
-from labelloom.operators.lookup import KEEP, UNKNOWN, index_column
+from labelloom.operators.lookup import KEEP, UNKNOWN, index_column, memory_bytes
 from labelloom.plans.dictionary import ColumnDictionary, learn_dictionaries
 from labelloom.plans.params import IndexerParams, nominal_metadata
 from labelloom.sources.model_store import ModelReader, ModelWriter
@@ -94,7 +94,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
         """All dictionaries as one table ``(col_name, label, n, idx)``."""
         spark = SparkSession.active()
         tables = [
-            dictionary.rows(spark).select(F.lit(name).alias("col_name"), "label", "n", "idx")
+            dictionary.rows(spark).select(F.lit(unquote(name)).alias("col_name"), "label", "n", "idx")
             for name, dictionary in zip(self.in_out_columns()[0], self.dictionaries)
         ]
         table = tables[0]
@@ -148,8 +148,10 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             )
         table = dataset
         values, helpers = {}, []
-        # small dictionaries first: what they drop under 'skip' need not be shuffled for others
-        for i in sorted(range(len(pairs)), key=lambda i: self.dictionaries[i].size):
+        to_broadcast = self.getBroadcastLimit()
+        # small dictionaries first: more of them can be broadcast, and what they drop under 'skip'
+        # need not be shuffled for the others
+        for i in sorted(range(len(pairs)), key=lambda i: memory_bytes(self.dictionaries[i])):
             field, output = pairs[i]
             if field is None:
                 logger.warning(
@@ -164,8 +166,9 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
                 self.dictionaries[i],
                 self.getHandleInvalid(),
                 tag=f"__labelloom_{i}",
-                broadcast_bytes=self.getBroadcastLimit(),
+                broadcast_bytes=to_broadcast,
             )
+            to_broadcast -= found.broadcast_bytes
             table = found.table
             helpers += found.helpers
             values[output] = found.value.alias(
@@ -187,6 +190,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
         case_sensitive = is_case_sensitive(dataset.sparkSession)
         table = dataset
         labels, helpers = {}, []
+        to_broadcast = self.getBroadcastLimit()
         for i, (field, output) in enumerate(zip(fields, outputs.values())):
             require_index_type(field.name, field.dataType)
             require_absent(dataset.schema, output, case_sensitive)
@@ -198,8 +202,9 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
                 self.dictionaries[index_names.index(field.name)],
                 tag=f"__labelloom_{i}",
                 with_unknown=self.getHandleInvalid() == KEEP,
-                broadcast_bytes=self.getBroadcastLimit(),
+                broadcast_bytes=to_broadcast,
             )
+            to_broadcast -= found.broadcast_bytes
             table = found.table
             helpers += found.helpers
             labels[output] = found.value

@@ -64,7 +64,8 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
     broadcastLimit = Param(
         Params._dummy(),
         "broadcastLimit",
-        "A dictionary of at most this many bytes is broadcast; a larger one is joined by a shuffle.",
+        "Dictionaries of at most this many bytes together are broadcast, the smallest first; the "
+        "others are joined by a shuffle.",
         typeConverter=TypeConverters.toInt,
     )
 

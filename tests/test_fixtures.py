@@ -243,7 +243,7 @@ def test_skip_drops_a_row_bad_in_any_column(spark, way):
 
 def test_errors_name_the_cause(spark, way):
     model = LabelIndexer(inputCol="v", outputCol="i", **way).fit(strings(spark, "a", "b"))
-    with pytest.raises(Exception, match="Encountered NULL value"):
+    with pytest.raises(Exception, match="encountered NULL value"):
         model.transform(strings(spark, "a", None)).collect()
     with pytest.raises(Exception, match="Unseen label: x"):
         model.transform(strings(spark, "a", "x")).collect()
@@ -368,3 +368,16 @@ def test_labels_given_twice_or_not_at_all(spark):
     )
     assert indices(several, strings(spark, "z", "a"), "i") == [1.0, 0.0]
     assert indices(several, strings(spark, "z", "a"), "j") == [1.0, 0.0]
+
+
+@pytest.mark.parametrize("limits", [{}, {"localLabelLimit": 2}, {"localLabelLimit": 0}])
+def test_counts_are_written_for_a_large_table(spark, monkeypatch, limits):
+    from labelloom.plans import dictionary
+
+    df = strings(spark, *"bbaaccd", None)
+    settings = {"inputCols": ["v", "row"], "outputCols": ["i", "j"], **limits}
+    cached = LabelIndexer(**settings).fit(df).dictionary_table().collect()
+    monkeypatch.setattr(dictionary, "CACHE_BYTES", -1)
+    written = LabelIndexer(**settings).fit(df).dictionary_table().collect()
+    assert sorted(written) == sorted(cached)
+    assert len(written) == 4 + 8

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +106,36 @@ def test_stream_of_large_dictionary_has_no_state(spark, lineitem, tmp_path):
     query.awaitTermination()
     assert query.lastProgress["stateOperators"] == []
     assert spark.read.parquet(f"{tmp_path}/out").count() == lineitem.count()
+
+
+def test_broadcasts_stay_within_the_limit_together(spark):
+    df = spark.range(60).select(
+        F.col("id").cast("string").alias("a"), "id", (F.col("id") % 20).alias("c")
+    )
+    settings = {"inputCols": ["a", "id", "c"], "outputCols": ["i", "j", "k"]}
+    model = LabelIndexer(**settings, broadcastLimit=6_000).fit(df)
+    text = plan(model.transform(df))
+    # one of the two larger ones fits beside the smallest
+    assert len(set(re.findall(r"__labelloom_(\d)_all_value", text))) == 2
+    assert len(set(re.findall(r"__labelloom_(\d)_hot_value", text))) == 1
+    assert model.transform(df).columns[-3:] == ["i", "j", "k"]
+    assert model.transform(df).where("i <> j").count() == 0
+
+
+def test_wide_tables(spark):
+    """Sixty columns, some looked up by expression and some by a join, in one stage."""
+    columns = [
+        (F.col("id") % (3 + 20 * (i % 2))).cast("string" if i % 3 else "int").alias(f"c{i}")
+        for i in range(60)
+    ]
+    df = spark.range(500).select("id", *columns)
+    names = df.columns[1:]
+    model = LabelIndexer(
+        inputCols=names, outputCols=[f"{n}_i" for n in names], stringOrderType="alphabetAsc"
+    ).fit(df)
+    got = model.transform(df)
+    assert "Exchange hashpartitioning" not in plan(got)
+    checks = [F.max(F.col(f"{n}_i")).alias(n) for n in names]
+    assert got.agg(*checks).first().asDict() == {
+        f"c{i}": 2.0 + 20 * (i % 2) for i in range(60)
+    }
