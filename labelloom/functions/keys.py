@@ -5,10 +5,16 @@ A label is a string. A numeric value stands for the label its cast to string giv
 slow for numbers, so a lookup compares numbers with numbers instead: each dictionary label
 is read back as a number of the column's type, and counts only if that number prints as
 exactly this label. Both ways find the same label for every value.
+
+Lookup expressions are SQL text: one call to the JVM for a whole expression keeps the time to
+put a query together small for tables of very many columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -21,7 +27,6 @@ from pyspark.sql.types import (
 )
 
 NEGATIVE_ZERO = "-0.0"
-ZEROS = ("0.0", NEGATIVE_ZERO)
 
 
 def is_float(data_type: DataType) -> bool:
@@ -52,37 +57,48 @@ def label_text(value: Column, data_type: DataType) -> Column:
     return value.cast("string")
 
 
-def value_keys(value: Column, data_type: DataType) -> list[Column]:
-    """What a table value is looked up by; the first key is null for a null value."""
-    if isinstance(data_type, StringType):
-        return [value]
+def value_keys(value: str, data_type: DataType) -> list[str]:
+    """What the table value ``value`` is looked up by; the first key is null for a null value."""
     if isinstance(data_type, IntegralType):
-        return [value.cast("bigint")]
+        return [f"CAST({value} AS BIGINT)"]
     if is_float(data_type):
         # Spark's joins hold 0.0 and -0.0 to be equal, but they are two labels
-        return [value, F.when(value == 0, value.cast("string") == NEGATIVE_ZERO).otherwise(F.lit(False))]
+        sign = f"CASE WHEN {value} = 0 THEN CAST({value} AS STRING) = '{NEGATIVE_ZERO}' ELSE false END"
+        return [value, sign]
     return [value]
 
 
-def label_keys(label: Column, data_type: DataType) -> list[Column]:
-    """The counterpart of :func:`value_keys`, made from a dictionary label.
+def label_keys(data_type: DataType) -> list[str]:
+    """The counterpart of :func:`value_keys`, made from the dictionary column ``label``.
 
     The first key is null for a label that no value of this type prints as.
     """
     if isinstance(data_type, StringType):
-        return [label]
-    kind = "bigint" if isinstance(data_type, IntegralType) else data_type.simpleString()
-    number = label.try_cast(kind)
-    keys = [F.when(number.cast("string") == label, number)]
+        return ["label"]
+    kind = "BIGINT" if isinstance(data_type, IntegralType) else data_type.simpleString()
+    number = f"try_cast(label AS {kind})"
+    keys = [f"CASE WHEN CAST({number} AS STRING) = label THEN {number} END"]
     if is_float(data_type):
-        keys.append(label == NEGATIVE_ZERO)
+        keys.append(f"label = '{NEGATIVE_ZERO}'")
     return keys
 
 
-def equals_label(value: Column, label: str, data_type: DataType) -> Column:
-    """Whether ``value`` stands for the one given label."""
-    number, *sign = value_keys(value, data_type)
-    same = number == label_keys(F.lit(label), data_type)[0]
-    if sign and label in ZEROS:
-        same = same & (sign[0] == F.lit(label == NEGATIVE_ZERO))
-    return same
+def known_label_keys(labels: Sequence[str], data_type: DataType) -> pa.Array | None:
+    """The first of :func:`label_keys` for labels held on the driver.
+
+    None for types whose printed form only Spark knows.
+    """
+    if isinstance(data_type, StringType):
+        return pa.array(labels, pa.string())
+    if isinstance(data_type, IntegralType):
+        return pa.array([int(lb) if _is_long(lb) else None for lb in labels], pa.int64())
+    return None
+
+
+def _is_long(label: str) -> bool:
+    """Whether some ``bigint`` prints as ``label``."""
+    try:
+        number = int(label)
+    except ValueError:
+        return False
+    return str(number) == label and -(2**63) <= number < 2**63

@@ -4,44 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from labelloom.functions.guards import fail
-from labelloom.operators.lookup import (
-    BROADCAST_BYTES,
-    UNKNOWN,
-    Lookup,
-    is_hot,
-    join_entries,
-    memory_bytes,
-)
+from labelloom.functions import sql
+from labelloom.functions.names import quote
+from labelloom.operators.lookup import BROADCAST_BYTES, UNKNOWN, Lookup, join_dictionary
 from labelloom.plans.dictionary import ColumnDictionary
 
 ARRAY_LABELS = 1_000
+ARRAY_BYTES = 256 << 10
 
 
-def _checked(index: Column, size: int, label: Column) -> Column:
-    """``label`` for an index that, cut to a whole number, lies in ``[0, size)``."""
+def _in_range(index: str, size: int) -> str:
+    """Whether an index, cut to a whole number, lies in ``[0, size)``."""
     # NaN compares greater than any number
-    in_range = (index > -1) & (index < size)
-    error = fail(F.concat(F.lit("Unseen index: "), index.cast("string"), F.lit(" ??")), "string")
-    return F.when(index.isNull(), F.lit(None).cast("string")).when(in_range, label).otherwise(error)
+    return f"{index} > -1 AND {index} < {size}"
 
 
-def label_from_list(index: Column, labels: Sequence[str]) -> Column:
+def _checked(index: str, size: int, label: str) -> str:
+    """``label`` for an index in range; null for null, and an error for any other."""
+    error = sql.fail(f"concat('Unseen index: ', CAST({index} AS STRING), ' ??')", "STRING")
+    return f"CASE WHEN {_in_range(index, size)} THEN {label} WHEN {index} IS NOT NULL THEN {error} END"
+
+
+def _whole(index: str, size: int, kind: str) -> str:
+    """The index as a whole number; outside the range the cast would fail or turn around."""
+    return f"CAST(CASE WHEN {_in_range(index, size)} THEN {index} END AS {kind})"
+
+
+def label_from_list(index: str, labels: Sequence[str]) -> str:
     """The label at position ``index`` of a short list, as an expression."""
-    index = index.cast("double")
-    if not labels:
-        return _checked(index, 0, F.lit(None).cast("string"))
-    listed = F.array(*[F.lit(label) for label in labels])
-    position = F.when((index > -1) & (index < len(labels)), index).cast("int")
-    return _checked(index, len(labels), F.get(listed, position))
+    listed = sql.array(labels, "string")
+    return _checked(index, len(labels), f"get({listed}, {_whole(index, len(labels), 'INT')})")
 
 
 def label_column(
     table: DataFrame,
-    index: Column,
+    name: str,
     dictionary: ColumnDictionary,
     *,
     tag: str,
@@ -50,25 +49,20 @@ def label_column(
     array_labels: int = ARRAY_LABELS,
 ) -> Lookup:
     """Look up the label of each index; ``with_unknown`` adds a label after the last one."""
-    if dictionary.labels is not None and dictionary.size <= array_labels:
+    index = f"CAST({quote(name)} AS DOUBLE)"
+    if dictionary.is_listed(array_labels, ARRAY_BYTES):
         labels = [*dictionary.labels, UNKNOWN] if with_unknown else dictionary.labels
-        return Lookup(table, label_from_list(index, labels), [])
-    index = index.cast("double")
-    # outside this range the cast to a whole number would fail or turn around
-    in_range = (index > -1) & (index < dictionary.size)
-    entries = dictionary.rows(table.sparkSession).select(
-        F.col("idx").cast("bigint").alias("key0"), F.col("label").alias("value"), is_hot(dictionary).alias("hot")
-    )
-    found = join_entries(
+        return Lookup(table, label_from_list(index, labels))
+    found = join_dictionary(
         table,
-        [F.when(in_range, index).cast("bigint")],
-        entries,
+        [_whole(index, dictionary.size, "BIGINT")],
+        dictionary,
+        ["CAST(idx AS BIGINT)"],
+        "label",
         tag=tag,
-        entries_bytes=memory_bytes(dictionary),
         broadcast_bytes=broadcast_bytes,
+        by_position=True,
     )
-    label = found.value
-    if with_unknown:
-        label = F.coalesce(label, F.lit(UNKNOWN))
+    label = f"coalesce({found.value}, {sql.text(UNKNOWN)})" if with_unknown else found.value
     found.value = _checked(index, dictionary.size + with_unknown, label)
     return found

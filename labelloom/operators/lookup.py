@@ -12,16 +12,17 @@ How the join is done depends on the size of the dictionary, which is known:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType, StructField
+from pyspark.sql.types import DataType, StringType, StructField
 
-from labelloom.functions.guards import fail
-from labelloom.functions.keys import equals_label, is_float, label_keys, value_keys
-from labelloom.functions.names import column
-from labelloom.plans.dictionary import ColumnDictionary
+from labelloom.functions import sql
+from labelloom.functions.keys import is_float, known_label_keys, label_keys, value_keys
+from labelloom.functions.names import column, quote
+from labelloom.plans.dictionary import ColumnDictionary, local_table
 
 ERROR = "error"
 KEEP = "keep"
@@ -30,7 +31,8 @@ POLICIES = (SKIP, ERROR, KEEP)
 
 UNKNOWN = "__unknown"
 
-INLINE_LABELS = 8
+INLINE_LABELS = 32
+INLINE_BYTES = 16 << 10
 BROADCAST_BYTES = 128 << 20
 # bytes of entries a task of a shuffle may hold in a hash table
 HASH_BYTES = 64 << 20
@@ -44,11 +46,14 @@ HOT_LABEL_BYTES = 1_024
 
 @dataclass
 class Lookup:
-    """A table with looked-up values: the helper columns are to be dropped in the end."""
+    """A table with looked-up values, given as SQL text.
+
+    The helper columns are to be dropped in the end.
+    """
 
     table: DataFrame
-    value: Column
-    helpers: list[str]
+    value: str
+    helpers: list[str] = field(default_factory=list)
     broadcast_bytes: int = 0
 
 
@@ -56,106 +61,111 @@ def memory_bytes(dictionary: ColumnDictionary) -> int:
     return dictionary.text_bytes + dictionary.size * ENTRY_BYTES
 
 
-def is_hot(dictionary: ColumnDictionary) -> Column:
-    frequent = F.col("n") * HOT_SHARE >= max(dictionary.occurrences, 1)
-    return F.coalesce(frequent & (F.octet_length("label") <= HOT_LABEL_BYTES), F.lit(False))
+def _named(prefix: str, count: int) -> list[str]:
+    return [*[f"key{i} AS {prefix}_key{i}" for i in range(count)], f"value AS {prefix}_value"]
+
 
+def _matches(keys: list[str], prefix: str) -> str:
+    return " AND ".join(f"{key} = {prefix}_key{i}" for i, key in enumerate(keys))
 
-def join_entries(
+
+def join_by_broadcast(
+    table: DataFrame, keys: list[str], entries: DataFrame, tag: str, required: bool
+) -> Lookup:
+    """Join with ``entries``, a table ``(key0, ..., value)`` with distinct keys."""
+    right = entries.selectExpr(*_named(tag, len(keys)))
+    how = "inner" if required else "left"
+    joined = table.join(F.broadcast(right), F.expr(_matches(keys, tag)), how)
+    return Lookup(joined, f"{tag}_value", right.columns)
+
+
+def join_by_shuffle(
     table: DataFrame,
-    keys: list[Column],
+    keys: list[str],
     entries: DataFrame,
-    *,
     tag: str,
+    required: bool,
     entries_bytes: int,
-    broadcast_bytes: int,
-    required: bool = False,
 ) -> Lookup:
-    """Join ``table`` with ``entries``, a table ``(key0, ..., value, hot)`` with distinct keys.
-
-    Rows without a match get a null value, or are dropped if a match is ``required``.
-    """
-    key_names = [f"key{i}" for i in range(len(keys))]
-
-    def named(rows: DataFrame, part: str, *more: Column) -> DataFrame:
-        columns = [F.col(k).alias(f"{tag}_{part}_{k}") for k in key_names]
-        return rows.select(*columns, F.col("value").alias(f"{tag}_{part}_value"), *more)
-
-    def matches(left: list[Column], part: str) -> Column:
-        condition = F.lit(True)
-        for key, name in zip(left, key_names):
-            condition = condition & (key == F.col(f"{tag}_{part}_{name}"))
-        return condition
-
-    if entries_bytes <= broadcast_bytes:
-        how = "inner" if required else "left"
-        right = named(entries, "all")
-        joined = table.join(F.broadcast(right), matches(keys, "all"), how)
-        return Lookup(joined, F.col(f"{tag}_all_value"), right.columns, entries_bytes)
-
-    hot = named(entries.where("hot"), "hot")
+    """Join with ``entries``, a table ``(key0, ..., value, hot)`` with distinct keys."""
+    hot = entries.where("hot").selectExpr(*_named(f"{tag}_hot", len(keys)))
     # zero for each entry, but not as a literal: the optimizer would take one out of the join keys
-    no_spread = F.col("hot").cast("int").alias(f"{tag}_cold_spread")
-    cold = named(entries.where("not hot"), "cold", no_spread)
-    if entries_bytes <= HASH_BYTES * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    no_spread = f"CAST(hot AS INT) AS {tag}_cold_spread"
+    cold = entries.where("NOT hot").selectExpr(*_named(f"{tag}_cold", len(keys)), no_spread)
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if entries_bytes <= HASH_BYTES * partitions:
         # keys are distinct, so the entries spread evenly and the table need not be sorted
         cold = cold.hint("shuffle_hash")
-    table = table.join(F.broadcast(hot), matches(keys, "hot"), "left")
-    hot_value = F.col(f"{tag}_hot_value")
-    open_names = [f"{tag}_open_{k}" for k in key_names]
-    opened = [F.when(hot_value.isNull(), keys[0]), *keys[1:]]
-    spread = f"{tag}_spread"
-    table = table.withColumns(dict(zip(open_names, opened)))
-    table = table.withColumn(
-        spread, F.when(F.col(open_names[0]).isNull(), F.spark_partition_id()).otherwise(0)
-    )
-    condition = matches([F.col(k) for k in open_names], "cold") & (
-        F.col(spread) == F.col(f"{tag}_cold_spread")
+
+    table = table.join(F.broadcast(hot), F.expr(_matches(keys, f"{tag}_hot")), "left")
+    is_open = f"{tag}_hot_value IS NULL AND {keys[0]} IS NOT NULL"
+    table = table.selectExpr(
+        "*",
+        f"CASE WHEN {is_open} THEN {keys[0]} END AS {tag}_open",
+        f"CASE WHEN {is_open} THEN 0 ELSE spark_partition_id() END AS {tag}_spread",
     )
-    table = table.join(cold, condition, "left")
-    value = F.coalesce(hot_value, F.col(f"{tag}_cold_value"))
+    condition = _matches([f"{tag}_open", *keys[1:]], f"{tag}_cold")
+    condition += f" AND {tag}_spread = {tag}_cold_spread"
+    table = table.join(cold, F.expr(condition), "left")
+    value = f"coalesce({tag}_hot_value, {tag}_cold_value)"
     if required:
-        table = table.where(value.isNotNull())
-    return Lookup(table, value, [*hot.columns, *open_names, spread, *cold.columns])
+        table = table.where(f"{value} IS NOT NULL")
+    return Lookup(table, value, [*hot.columns, f"{tag}_open", f"{tag}_spread", *cold.columns])
 
 
-def is_valid_input(field: StructField) -> Column:
-    """Neither null nor NaN."""
-    value = column(field.name)
-    if is_float(field.dataType):
-        return value.isNotNull() & ~F.isnan(value)
-    return value.isNotNull()
-
-
-def _inline_index(value: Column, labels: tuple[str, ...], data_type: DataType) -> Column:
-    positions = {label: float(i) for i, label in enumerate(labels)}
-    index = F.when(F.lit(False), F.lit(None).cast("double"))
-    for label, position in positions.items():
-        index = index.when(equals_label(value, label, data_type), F.lit(position))
-    return index
-
-
-def _has_one_of(value: Column, labels: tuple[str, ...], data_type: DataType) -> Column | None:
-    """The filter ``value is one of labels`` in a form a file scan can use, if there is one."""
-    if isinstance(data_type, StringType):
-        return value.isin(list(labels))
-    if isinstance(data_type, IntegralType):
-        return value.isin([int(label) for label in labels if _is_long(label)])
-    return None
-
+def join_dictionary(
+    table: DataFrame,
+    keys: list[str],
+    dictionary: ColumnDictionary,
+    entry_keys: list[str],
+    value: str,
+    *,
+    tag: str,
+    broadcast_bytes: int,
+    required: bool = False,
+    by_position: bool = False,
+) -> Lookup:
+    """Join ``table`` with the dictionary, of which ``value`` is wanted.
 
-def _is_long(label: str) -> bool:
-    """Whether some ``bigint`` prints as ``label``."""
-    try:
-        number = int(label)
-    except ValueError:
-        return False
-    return str(number) == label and -(2**63) <= number < 2**63
+    The keys are made from labels, or from indices if it is looked up ``by_position``. Rows without a match get a null value, or are dropped if a match is ``required``.
+    """
+    needed = memory_bytes(dictionary)
+    by_broadcast = needed <= broadcast_bytes
+    columns = [*[f"{key} AS key{i}" for i, key in enumerate(entry_keys)], f"{value} AS value"]
+    if not by_broadcast:
+        frequent = f"n * {HOT_SHARE} >= {max(dictionary.occurrences, 1)}"
+        short = f"octet_length(label) <= {HOT_LABEL_BYTES}"
+        columns.append(f"coalesce({frequent} AND {short}, false) AS hot")
+    spark = table.sparkSession
+    rows = dictionary.rows(spark) if by_position else dictionary.lookup_rows(spark)
+    entries = rows.selectExpr(*columns)
+    entries = entries.where("key0 IS NOT NULL")
+    if by_broadcast:
+        found = join_by_broadcast(table, keys, entries, tag, required)
+        found.broadcast_bytes = needed
+        return found
+    return join_by_shuffle(table, keys, entries, tag, required, needed)
+
+
+def _inline_index(
+    table: DataFrame, name: str, known: pa.Array, data_type: DataType, required: bool
+) -> Lookup:
+    """The position of a value among a few labels, as an expression."""
+    # of a key listed twice the later position counts
+    positions = {key: i for i, key in enumerate(known.to_pylist())}
+    places = [key if positions[key] == i else None for i, key in enumerate(known.to_pylist())]
+    kind = "string" if isinstance(data_type, StringType) else "bigint"
+    (key,) = value_keys(quote(name), data_type)
+    if required:
+        # in a form that a file scan can use
+        table = table.where(column(name).isin([k for k in places if k is not None]))
+    place = f"array_position({sql.array(places, kind)}, {key})"
+    return Lookup(table, f"CAST(nullif({place}, 0) - 1 AS DOUBLE)")
 
 
 def index_column(
     table: DataFrame,
-    field: StructField,
+    column_field: StructField,
     dictionary: ColumnDictionary,
     policy: str,
     *,
@@ -163,54 +173,43 @@ def index_column(
     broadcast_bytes: int = BROADCAST_BYTES,
     inline_labels: int = INLINE_LABELS,
 ) -> Lookup:
-    """Look up the index of each value of ``field``.
+    """Look up the index of each value of a column.
 
     A null or unseen value is an error, gets the index one past the last label, or loses its
     row, according to ``policy``.
     """
-    value = column(field.name)
+    name, data_type = column_field.name, column_field.dataType
+    value = quote(name)
     if policy == SKIP:
-        table = table.where(is_valid_input(field))
-    if dictionary.labels is not None and dictionary.size <= inline_labels:
-        index = _inline_index(value, dictionary.labels, field.dataType)
-        if policy == SKIP:
-            seen = _has_one_of(value, dictionary.labels, field.dataType)
-            table = table.where(index.isNotNull() if seen is None else seen)
-        found = Lookup(table, index, [])
+        not_nan = f" AND NOT isnan({value})" if is_float(data_type) else ""
+        table = table.where(f"{value} IS NOT NULL{not_nan}")
+    known = None
+    if dictionary.is_listed(inline_labels, INLINE_BYTES):
+        known = known_label_keys(dictionary.labels, data_type)
+    if known is not None:
+        found = _inline_index(table, name, known, data_type, required=policy == SKIP)
     else:
-        keys = label_keys(F.col("label"), field.dataType)
-        entries = dictionary.lookup_rows(table.sparkSession).select(
-            *[k.alias(f"key{i}") for i, k in enumerate(keys)],
-            F.col("idx").alias("value"),
-            is_hot(dictionary).alias("hot"),
-        )
-        found = join_entries(
+        found = join_dictionary(
             table,
-            value_keys(value, field.dataType),
-            entries.where("key0 is not null"),
+            value_keys(value, data_type),
+            dictionary,
+            label_keys(data_type),
+            "idx",
             tag=tag,
-            entries_bytes=memory_bytes(dictionary),
             broadcast_bytes=broadcast_bytes,
             required=policy == SKIP,
         )
     if policy == KEEP:
-        found.value = F.coalesce(found.value, F.lit(float(dictionary.size)))
+        found.value = f"coalesce({found.value}, {dictionary.size}D)"
     elif policy == ERROR:
-        found.value = F.coalesce(found.value, _index_error(value))
+        found.value = f"coalesce({found.value}, {_index_error(value)})"
     return found
 
 
-def _index_error(value: Column) -> Column:
-    message = F.when(
-        value.isNull(),
-        F.lit(
-            "LabelIndexer encountered NULL value. To handle or skip NULLs, try setting handleInvalid."
-        ),
-    ).otherwise(
-        F.concat(
-            F.lit("Unseen label: "),
-            value.cast("string"),
-            F.lit(". To handle unseen labels, set Param handleInvalid to keep."),
-        )
+def _index_error(value: str) -> str:
+    null = sql.text(
+        "LabelIndexer encountered NULL value. To handle or skip NULLs, try setting handleInvalid."
     )
-    return fail(message, "double")
+    advice = sql.text(". To handle unseen labels, set Param handleInvalid to keep.")
+    unseen = f"concat('Unseen label: ', CAST({value} AS STRING), {advice})"
+    return sql.fail(f"CASE WHEN {value} IS NULL THEN {null} ELSE {unseen} END", "DOUBLE")

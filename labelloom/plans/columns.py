@@ -7,11 +7,11 @@ from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from labelloom.functions.keys import require_index_type
 from labelloom.functions.names import (
-    column,
     is_case_sensitive,
     require_absent,
     require_field,
@@ -79,11 +79,12 @@ class IndexToLabel(Transformer, InOutParams, DefaultParamsReadable, DefaultParam
         field = self._index_field(dataset.schema)
         found = label_column(
             dataset,
-            column(field.name),
+            field.name,
             ColumnDictionary.of_labels(self._labels_for(field)),
             tag="__labelloom",
         )
-        return found.table.select("*", found.value.alias(self.getOutputCol())).drop(*found.helpers)
+        label = F.expr(found.value).alias(self.getOutputCol())
+        return found.table.select("*", label).drop(*found.helpers)
 
 
 class ColumnRenamer(Transformer, InOutParams, DefaultParamsReadable, DefaultParamsWritable):

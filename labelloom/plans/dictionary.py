@@ -56,6 +56,11 @@ class ColumnDictionary:
             counts=tuple(counts) if counts is not None else None,
         )
 
+    def is_listed(self, most_labels: int, most_bytes: int) -> bool:
+        """Whether the driver holds the labels and they are no more than this."""
+        few = self.size <= most_labels and self.text_bytes <= most_bytes
+        return few and self.labels is not None
+
     def rows(self, spark: SparkSession) -> DataFrame:
         """The dictionary as ``(label, n, idx)``."""
         if self.labels is None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from labelloom.functions.keys import require_index_type
-from labelloom.functions.names import column, fields_of, is_case_sensitive, require_absent, unquote
+from labelloom.functions.names import fields_of, is_case_sensitive, require_absent, unquote
 from labelloom.operators.inverse import label_column
 from labelloom.operators.lookup import KEEP, UNKNOWN, index_column, memory_bytes
 from labelloom.plans.dictionary import ColumnDictionary, learn_dictionaries
@@ -171,7 +171,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             to_broadcast -= found.broadcast_bytes
             table = found.table
             helpers += found.helpers
-            values[output] = found.value.alias(
+            values[output] = F.expr(found.value).alias(
                 output, metadata=self._metadata(output, self.dictionaries[i])
             )
         outputs = {output: values[output] for _, output in pairs if output in values}
@@ -198,7 +198,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
                 raise ValueError(f"{field.name} is not an output column of this model.")
             found = label_column(
                 table,
-                column(field.name),
+                field.name,
                 self.dictionaries[index_names.index(field.name)],
                 tag=f"__labelloom_{i}",
                 with_unknown=self.getHandleInvalid() == KEEP,
@@ -207,7 +207,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             to_broadcast -= found.broadcast_bytes
             table = found.table
             helpers += found.helpers
-            labels[output] = found.value
+            labels[output] = F.expr(found.value)
         return table.withColumns(labels).drop(*helpers)
 
     def write(self) -> ModelWriter:

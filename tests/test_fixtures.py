@@ -381,3 +381,25 @@ def test_counts_are_written_for_a_large_table(spark, monkeypatch, limits):
     written = LabelIndexer(**settings).fit(df).dictionary_table().collect()
     assert sorted(written) == sorted(cached)
     assert len(written) == 4 + 8
+
+
+STRANGE = ["it's", 'say "hi"', "back\\slash", "\\u0041", "${user.name}", "$x", "a\nb", "", " ", "é\U0001f600"]
+
+
+def test_labels_of_any_characters(spark, way):
+    df = strings(spark, *STRANGE)
+    model = LabelIndexer(inputCol="v", outputCol="i", stringOrderType="alphabetAsc", **way).fit(df)
+    expected = sorted(STRANGE, key=str.encode)
+    assert [r.label for r in model.dictionary_table().orderBy("idx").collect()] == expected
+    assert indices(model, df) == [float(expected.index(v)) for v in STRANGE]
+    back = model.inverse_transform(model.transform(df), {"i": "back"}).orderBy("row").collect()
+    assert [r.back for r in back] == STRANGE
+    stage = IndexToLabel(inputCol="row", outputCol="back", labels=STRANGE)
+    assert indices(stage, df.drop("v"), "back") == STRANGE
+    with pytest.raises(Exception, match="Unseen label: it's not"):
+        model.transform(strings(spark, "it's not")).collect()
+    known = model.copy().setHandleInvalid("skip")
+    assert indices(known, strings(spark, "it's", "its", "")) == [
+        float(expected.index("it's")),
+        0.0,
+    ]

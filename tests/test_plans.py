@@ -44,13 +44,13 @@ def test_skip_filters_in_the_scan(lineitem):
 
 
 def test_numbers_are_not_cast_to_strings_for_a_lookup(lineitem):
-    model = LabelIndexer(inputCols=["l_suppkey"], outputCols=["i"], handleInvalid="keep").fit(
-        lineitem.union(lineitem.withColumn("l_suppkey", -F.col("l_suppkey")))
+    model = LabelIndexer(inputCols=["l_partkey"], outputCols=["i"], handleInvalid="keep").fit(
+        lineitem
     )
     text = plan(model.transform(lineitem).select("l_orderkey", "i"))
-    assert "BroadcastHashJoin [l_suppkey" in text
+    assert "BroadcastHashJoin [l_partkey" in text
     assert "as string" not in text
-    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
 
 
 def test_large_dictionary_is_shuffled_and_nulls_are_spread(lineitem):
@@ -60,7 +60,7 @@ def test_large_dictionary_is_shuffled_and_nulls_are_spread(lineitem):
     text = plan(model.transform(lineitem))
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 2
-    assert any("open_key0" in line and "spread" in line for line in shuffles)
+    assert any("_open" in line and "spread" in line for line in shuffles)
     assert any("cold_key0" in line and "cold_spread" in line for line in shuffles)
     assert "ShuffledHashJoin" in text
 
@@ -110,13 +110,13 @@ def test_stream_of_large_dictionary_has_no_state(spark, lineitem, tmp_path):
 
 def test_broadcasts_stay_within_the_limit_together(spark):
     df = spark.range(60).select(
-        F.col("id").cast("string").alias("a"), "id", (F.col("id") % 20).alias("c")
+        F.col("id").cast("string").alias("a"), "id", (F.col("id") % 40).alias("c")
     )
     settings = {"inputCols": ["a", "id", "c"], "outputCols": ["i", "j", "k"]}
-    model = LabelIndexer(**settings, broadcastLimit=6_000).fit(df)
+    model = LabelIndexer(**settings, broadcastLimit=7_000).fit(df)
     text = plan(model.transform(df))
     # one of the two larger ones fits beside the smallest
-    assert len(set(re.findall(r"__labelloom_(\d)_all_value", text))) == 2
+    assert len(set(re.findall(r"__labelloom_(\d)_value", text))) == 2
     assert len(set(re.findall(r"__labelloom_(\d)_hot_value", text))) == 1
     assert model.transform(df).columns[-3:] == ["i", "j", "k"]
     assert model.transform(df).where("i <> j").count() == 0
@@ -125,7 +125,7 @@ def test_broadcasts_stay_within_the_limit_together(spark):
 def test_wide_tables(spark):
     """Sixty columns, some looked up by expression and some by a join, in one stage."""
     columns = [
-        (F.col("id") % (3 + 20 * (i % 2))).cast("string" if i % 3 else "int").alias(f"c{i}")
+        (F.col("id") % (3 + 60 * (i % 2))).cast("string" if i % 3 else "int").alias(f"c{i}")
         for i in range(60)
     ]
     df = spark.range(500).select("id", *columns)
@@ -137,5 +137,5 @@ def test_wide_tables(spark):
     assert "Exchange hashpartitioning" not in plan(got)
     checks = [F.max(F.col(f"{n}_i")).alias(n) for n in names]
     assert got.agg(*checks).first().asDict() == {
-        f"c{i}": 2.0 + 20 * (i % 2) for i in range(60)
+        f"c{i}": 2.0 + 60 * (i % 2) for i in range(60)
     }
