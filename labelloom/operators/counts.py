@@ -22,7 +22,8 @@ def label_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     texts = [label_text(column(f.name), f.dataType) for f in fields]
     if len(fields) == 1:
         labels = df.select(texts[0].alias("label"))
-        counts = labels.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        # a filter on a computed label would compute it twice, so null is counted, as 0, and dropped
+        counts = labels.groupBy("label").agg(F.count("label").alias("n")).where("n > 0")
         return counts.select(F.lit(fields[0].name).alias("col_name"), "label", "n")
     # a number is a cheaper grouping key than the name of the column
     labels = df.select(F.posexplode(F.array(*texts)).alias("place", "label"))
