@@ -3,7 +3,8 @@
 A saved model is a folder: ``metadata`` holds the settings, ``data`` the dictionaries. Three
 layouts of ``data`` are read, told apart by their columns:
 
-- ``(column, label, n, idx)``: one row per label, for dictionaries of any size;
+- ``(column, label, n, idx)``: one row per label, for dictionaries of any size; ``column`` is the
+  number of the input column;
 - ``labelsArray array<array<string>>``: a single row;
 - ``labels array<string>``: a single row for a single column, as written before Spark 3.
 
@@ -63,7 +64,7 @@ class ModelWriter(MLWriter):
         few = [(i, d) for i, d in numbered if d.labels is not None]
         data = local_table(
             self.sparkSession,
-            column=pa.array([i for i, d in few for _ in d.labels], pa.int32()),
+            column=pa.array([str(i) for i, d in few for _ in d.labels], pa.string()),
             label=pa.array([label for _, d in few for label in d.labels], pa.string()),
             n=pa.array([n for _, d in few for n in d.counts or [None] * d.size], pa.int64()),
             idx=pa.array([k for _, d in few for k in range(d.size)], pa.float64()),
@@ -71,7 +72,7 @@ class ModelWriter(MLWriter):
         for i, dictionary in numbered:
             if dictionary.labels is None:
                 data = data.unionByName(
-                    dictionary.stored.select(F.lit(i).cast("int").alias("column"), "label", "n", "idx")
+                    dictionary.stored.select(F.lit(str(i)).alias("column"), "label", "n", "idx")
                 )
         return data
 
@@ -95,7 +96,7 @@ class ModelReader(MLReader):
     def _label_rows(data: DataFrame) -> DataFrame:
         """The saved dictionaries as ``(col_name, label, n, idx)``, named by their number."""
         if "label" in data.columns:
-            return data.select(F.col("column").cast("string").alias("col_name"), "label", "n", "idx")
+            return data.select(F.col("column").alias("col_name"), "label", "n", "idx")
         if "labelsArray" in data.columns:
             arrays = data.select(F.posexplode("labelsArray").alias("column", "labels"))
         elif "labels" in data.columns:

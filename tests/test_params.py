@@ -150,7 +150,7 @@ def test_model_of_known_labels(df):
     assert model.uid == "mine"
     assert model.labelsArray == [["b", "a"], ["2", "1"]]
     assert [(r.i, r.j) for r in model.transform(df).orderBy("s").collect()] == [(1, 1), (0, 0)]
-    with pytest.raises(ValueError, match="labels_array"):
+    with pytest.warns(FutureWarning), pytest.raises(ValueError, match="labels_array"):
         _ = model.labels
     one = model_of(inputCol="s", outputCol="i")
     with pytest.warns(FutureWarning):

@@ -139,3 +139,39 @@ def test_wide_tables(spark):
     assert got.agg(*checks).first().asDict() == {
         f"c{i}": 2.0 + 60 * (i % 2) for i in range(60)
     }
+
+
+def test_an_unseen_value_in_most_rows_is_split(spark):
+    """What the dictionary cannot tell of the table is left to adaptive execution."""
+    known = spark.range(5_000).select(F.concat(F.lit("k"), "id").alias("v"))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {key: spark.conf.get(key) for key in settings}
+    model = LabelIndexer(inputCol="v", outputCol="i", handleInvalid="keep", **LARGE).fit(
+        known.where("v <> 'k7'")
+    )
+    table = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") % 2 == 0, "k7").otherwise(F.concat(F.lit("k"), F.col("id") % 5_000)).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("w"),
+    )
+    # as if the labels were too rare in the learned table to be joined by broadcast
+    for dictionary in model.dictionaries:
+        object.__setattr__(dictionary, "occurrences", 10**12)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = model.transform(table)
+        rows = got.agg(F.count("w"), F.countDistinct("w"), F.count_if(F.col("i") == 4999)).collect()
+        summed = got.select(F.sum("i").alias("s"), F.max("w").alias("w"))
+        summed.collect()
+        text = plan(summed)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    # all even rows, and the twelve odd ones that end in 0007 or 5007
+    assert tuple(rows[0]) == (60_000, 60_000, 30_012)
+    assert "skew=true" in text

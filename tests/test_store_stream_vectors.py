@@ -69,6 +69,8 @@ def test_model_of_large_dictionaries_round_trip(df, tmp_path):
     assert loaded.transform(df).orderBy("s", "k").collect() == (
         model.transform(df).orderBy("s", "k").collect()
     )
+    plan = loaded.dictionaries[1].stored._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(column,1)" in plan
     with pytest.raises(ValueError, match="save it elsewhere"):
         loaded.write().overwrite().save(path)
     loaded.save(f"{tmp_path}/copy")
