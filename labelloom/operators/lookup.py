@@ -127,7 +127,8 @@ def join_dictionary(
 ) -> Lookup:
     """Join ``table`` with the dictionary, of which ``value`` is wanted.
 
-    The keys are made from labels, or from indices if it is looked up ``by_position``. Rows without a match get a null value, or are dropped if a match is ``required``.
+    ``entry_keys`` are made from labels, or from indices if it is looked up ``by_position``. Rows
+    without a match get a null value, or are dropped if a match is ``required``.
     """
     needed = memory_bytes(dictionary)
     by_broadcast = needed <= broadcast_bytes
