@@ -28,6 +28,15 @@ from labelloom import (
 )
 from labelloom.session import new_folder
 
+# The corpus operators are an optional part: without their files all else works as before.
+try:
+    import corpus_pipeline
+    from labelloom.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("labelloom.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -321,7 +330,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    of_corpora = {}
+    if corpus_queries:
+        of_corpora = corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return of_corpora | {
         "label_counts": q_label_counts,
         "label_sets": q_label_sets,
         "fit_frequency_desc": q_fit_frequency_desc,
@@ -379,7 +391,12 @@ def oracle_sql() -> dict[str, str]:
         SELECT event_id, CAST(CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END
                               AS DOUBLE) AS type_idx
         FROM events"""
-    return {
+    of_corpora = {}
+    if corpus_queries:
+        of_corpora = dict(corpus_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            of_corpora["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return of_corpora | {
         "label_counts": """
             SELECT 'l_returnflag' AS col_name, l_returnflag AS label, COUNT(*) AS n
             FROM lineitem GROUP BY l_returnflag
