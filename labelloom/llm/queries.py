@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from labelloom.llm.exact import exact_groups
+from labelloom.llm.near import near_groups
+from labelloom.llm.quality import quality_sample
 from labelloom.llm.work import read_table
 
 
@@ -12,8 +14,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels")
+    return quality_sample(read_table(spark, sf_dir, "documents"), labels)
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_quality": op5_quality,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL = {

@@ -18,8 +18,12 @@ CHUNK_BYTES = 2 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Kinds of bytes. A word is a longest run of bytes of one kind that is not 0.
+BY_SPACE = np.ones(256, dtype=np.uint8)  # all but white space
+BY_SPACE[[0x20, *range(0x09, 0x0E)]] = 0
+ALPHANUMERIC = np.zeros(256, dtype=np.uint8)  # ASCII letters and digits, and all beyond ASCII
+ALPHANUMERIC[[*b"0123456789", *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+WITH_SIGNS = np.where(ALPHANUMERIC == 1, 1, 2 * BY_SPACE).astype(np.uint8)  # and runs of the rest
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -40,7 +44,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Hasher:
     """Hashes of words; keeps the powers that it needs, so one serves a whole task."""
 
-    def __init__(self) -> None:
+    def __init__(self, kinds: np.ndarray = BY_SPACE) -> None:
+        self._kinds = kinds
         self._letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
         self._up = self._down = np.ones(1, dtype=np.uint64)
 
@@ -50,22 +55,24 @@ class Hasher:
             self._up, self._down = _powers(_FACTOR, n), _powers(_INVERSE, n)
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
-        """``(starts, ends, hashes, first)`` of the words (``[^\\x20\\x09-\\x0D]+``, A-Z as a-z):
-        document ``d`` has the words from ``first[d]`` up to ``first[d + 1]``."""
+        """``(starts, ends, hashes, first)`` of the words (``[^\\x20\\x09-\\x0D]+`` if nothing else was
+        asked for; A-Z as a-z): document ``d`` has those from ``first[d]`` up to ``first[d + 1]``."""
         n = len(data)
         if n == 0:
             none = np.zeros(0, dtype=np.int64)
             return none, none, none.astype(np.uint64), np.zeros(len(offsets), dtype=np.int64)
-        space = _SPACE[data]
+        kind = self._kinds[data]
         edges = offsets[offsets < n]
-        after = np.empty(n, dtype=bool)  # the byte before is white space, or of another text
-        after[0], after[1:] = True, space[:-1]
-        after[edges] = True
-        before = np.empty(n, dtype=bool)
-        before[-1], before[:-1] = True, space[1:]
-        before[edges[edges > 0] - 1] = True
-        starts = np.flatnonzero(~space & after)
-        ends = np.flatnonzero(~space & before) + 1
+        changes = kind[1:] != kind[:-1]
+        opens = np.empty(n, dtype=bool)  # the byte before is of another kind, or of another text
+        opens[0], opens[1:] = True, changes
+        opens[edges] = True
+        closes = np.empty(n, dtype=bool)
+        closes[-1], closes[:-1] = True, changes
+        closes[edges[edges > 0] - 1] = True
+        word = kind != 0
+        starts = np.flatnonzero(word & opens)
+        ends = np.flatnonzero(word & closes) + 1
         self._ready(n)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(self._letters[_LOWER[data]] * self._up[:n], out=sums[1:])
