@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.exact import exact_groups
 from labelloom.llm.near import near_groups
 from labelloom.llm.quality import quality_sample
@@ -19,6 +20,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_sample(read_table(spark, sf_dir, "documents"), labels)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = questions_and_answers(read_table(spark, sf_dir, "benchmark"))
+    return leaked_items(read_table(spark, sf_dir, "documents"), items)
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +32,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_quality": op5_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
 }
 
