@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.work import documents, only_ids, stored
+from labelloom.llm.work import documents, only, stored
 
 #: Bytes of distinct text in one table.
 TABLE_BYTES = 64 << 20
@@ -148,7 +148,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     )
     again = digests.join(repeated.select("digest"), "digest", "left_semi").select("doc_id")
     rows = stored(
-        only_ids(docs, stored(again, "again")).mapInArrow(
+        only(docs, stored(again, "again")).mapInArrow(
             _collapse(table_bytes),
             "doc_id long, n_chars long, first_id long, digest binary, content binary",
         ),

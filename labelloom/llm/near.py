@@ -18,8 +18,8 @@ those that repeat within blocks often enough are sent to all tasks, the most fre
 
 Under each key one set is the pivot, and the others are compared with it first: a group of thousands
 of near copies is linked by as many comparisons. Only sets that share a key and are not connected by
-then are compared with each other, after a bound on their overlap from the positions of the shingles
-they share. Nothing is left out. Whole sets are intersected in the end.
+then are compared with each other. Nothing is left out. A pair is dropped when the positions of the
+rare shingles that it shares bound its overlap too low; of the others whole sets are intersected.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
 from labelloom.llm.words import Hasher, chunks, mixed, shingle_sets
-from labelloom.llm.work import documents, only_ids, stored
+from labelloom.llm.work import documents, only, stored
 
 SIMILARITY = 80
 SHINGLE_WORDS = 5
@@ -96,15 +96,16 @@ def levels(n: int, similarity: int) -> range:
 
 
 def keys_of(shingles: np.ndarray, frequent: np.ndarray, similarity: int):
-    """``(keys, positions)`` of a set; position -1 for a pair of frequent shingles."""
+    """The keys of a set, and how many of them are single shingles. Those come first; the place of
+    each is its position in the set."""
     n = len(shingles)
     spare = n - (similarity * n + 99) // 100  # it may lack so many of a similar set's shingles
     where = np.searchsorted(frequent, shingles)
     common = frequent[np.minimum(where, len(frequent) - 1)] == shingles if len(frequent) else None
     if common is None or not common.any():
-        return shingles[: spare + 1], np.arange(spare + 1)
+        return shingles[: spare + 1], spare + 1
     rare, common = shingles[~common], shingles[common]
-    keys, positions = [rare[: spare + 1]], [np.arange(min(spare + 1, len(rare)))]
+    keys = [rare[: spare + 1]]
     if len(rare) <= spare:
         for k in levels(n, similarity):
             first = common[: spare + 1 + (1 << k) - len(rare)]
@@ -113,10 +114,10 @@ def keys_of(shingles: np.ndarray, frequent: np.ndarray, similarity: int):
             first, kind = first[order], kind[order]
             for part in np.split(first, np.flatnonzero(np.diff(kind)) + 1):
                 i, j = np.triu_indices(len(part), 1)
-                pairs = mixed(part[i] * np.uint64(0x9E3779B97F4A7C15) + mixed(part[j] + np.uint64(k)))
-                keys.append(pairs)
-                positions.append(np.full(len(pairs), -1))
-    return np.concatenate(keys), np.concatenate(positions)
+                keys.append(
+                    mixed(part[i] * np.uint64(0x9E3779B97F4A7C15) + mixed(part[j] + np.uint64(k)))
+                )
+    return np.concatenate(keys), len(keys[0])
 
 
 def _indexed(frequent, words: int, similarity: int):
@@ -127,18 +128,18 @@ def _indexed(frequent, words: int, similarity: int):
         common = frequent.value
         seen: set[int] = set()
         for ids, sets in _sets_of(batches, words):
-            names, keys, positions = [], [], []
+            names, keys, singles = [], [], []
             for s in sets:
                 name = _set_id(s) if len(s) else None
                 names.append(name)
                 if name is None or name in seen:
                     keys.append(None)
-                    positions.append(None)
+                    singles.append(None)
                 else:
                     seen.add(name)
-                    k, p = keys_of(s, common, similarity)
+                    k, single = keys_of(s, common, similarity)
                     keys.append(k.view(np.int64))
-                    positions.append(p)
+                    singles.append(single)
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
@@ -147,9 +148,9 @@ def _indexed(frequent, words: int, similarity: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(names, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(positions, pa.list_(pa.int32())),
+                    pa.array(singles, pa.int32()),
                 ],
-                ["doc_id", "n_shingles", "set_id", "keys", "positions"],
+                ["doc_id", "n_shingles", "set_id", "keys", "singles"],
             )
 
     return run
@@ -185,37 +186,74 @@ def _similar(similarity: int):
     return run
 
 
+def _possible(similarity: int):
+    """The pairs that may be similar by the keys they share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            columns = (batch.column(k) for k in range(2, 8))
+            for m, n, i, j, x, y in zip(*columns, strict=True):
+                m, n = m.as_py(), n.as_py()
+                x = x.values.to_numpy()[: i.as_py()]
+                y = y.values.to_numpy()[: j.as_py()]
+                both, at_x, at_y = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                if len(both):
+                    # All shared ones up to the last single one are counted; the rest is behind it.
+                    most = len(both) + min(m - 1 - at_x.max(), n - 1 - at_y.max())
+                    keep.append((100 + similarity) * most >= similarity * (m + n))
+                else:
+                    keep.append(True)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _size_fits(similarity: int, x: str, y: str):
     return 100 * F.least(x, y) >= similarity * F.greatest(x, y)
 
 
 class _Comparer:
-    """Compares pairs of sets; reads the texts of those alone."""
+    """Compares pairs of sets; reads the keys, and then the texts, of those alone."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> None:
         self.docs, self.words, self.similarity = docs, words, similarity
-        self.named = sets.where("set_id IS NOT NULL").select("set_id", "doc_id")
+        self.sets = sets.where("set_id IS NOT NULL")
+
+    def _with_both(self, pairs: DataFrame, about: DataFrame) -> DataFrame:
+        """``pairs`` with the columns of ``about`` for ``a`` and for ``b``, side by side."""
+        names = [c for c in about.columns if c != "set_id"]
+        of = lambda x: about.select(
+            F.col("set_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names)
+        )
+        joined = pairs.join(of("a"), "a").join(of("b"), "b")
+        return joined.select("a", "b", *(f"{c}_{x}" for c in names for x in "ab"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        in_pairs = lambda p: p.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        keys = only(
+            self.sets.where("keys IS NOT NULL").select("set_id", "n_shingles", "singles", "keys"),
+            stored(in_pairs(pairs), "wanted"),
+            "set_id",
+        )
+        possible = stored(
+            self._with_both(pairs, keys)
+            .mapInArrow(_possible(self.similarity), "a long, b long")
+            .distinct(),
+            "possible",
+        )
         chosen = (
-            self.named.join(wanted, "set_id", "left_semi")
+            only(self.sets.select("set_id", "doc_id"), stored(in_pairs(possible), "wanted"), "set_id")
             .groupBy("set_id")
             .agg(F.min("doc_id").alias("doc_id"))
         )
-        contents = stored(
-            only_ids(self.docs, stored(chosen, "chosen"))
-            .mapInArrow(_contents(self.words), "set_id long, shingles binary")
-            .dropDuplicates(["set_id"]),
-            "contents",
+        contents = only(self.docs, stored(chosen, "chosen")).mapInArrow(
+            _contents(self.words), "set_id long, shingles binary"
         )
-        of = lambda side: contents.select(
-            F.col("set_id").alias(side), F.col("shingles").alias(f"shingles_{side}")
-        )
-        joined = pairs.join(of("a"), "a").join(of("b"), "b")
+        contents = stored(contents, "contents")
         return stored(
-            joined.select("a", "b", "shingles_a", "shingles_b").mapInArrow(
+            self._with_both(possible, contents).mapInArrow(
                 _similar(self.similarity), "a long, b long"
             ),
             "links",
@@ -265,7 +303,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         F.col("position").alias(f"at_{s}"),
         F.col("component").alias(f"c_{s}"),
     )
-    # A pair has the sizes and components of its sets, so these do not multiply it.
+    # A pair has the sizes of its sets, so these do not multiply it.
     met = (
         side("a")
         .join(side("b"), "key")
@@ -278,7 +316,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
             F.max("at_b").alias("last_b"),
         )
     )
-    # All shared shingles up to the last single one are counted; the rest stand behind it.
+    # The same bound as in ``_possible``: between components every shared key is met here.
     most = F.col("shared") + F.least(
         F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b")
     )
@@ -316,19 +354,26 @@ def near_groups(
     sets = stored(
         docs.mapInArrow(
             _indexed(frequent, words, similarity),
-            "doc_id long, n_shingles long, set_id long, keys array<long>, positions array<int>",
+            "doc_id long, n_shingles long, set_id long, keys array<long>, singles int",
         ),
         "sets",
     )
     rows = sets.where("keys IS NOT NULL").select(
         "set_id",
         F.col("n_shingles").cast("int").alias("n_shingles"),
-        F.explode(F.arrays_zip("keys", "positions")).alias("at"),
-    ).select(
-        F.col("at.keys").alias("key"), "set_id", "n_shingles", F.col("at.positions").alias("position")
+        "singles",
+        F.posexplode("keys").alias("position", "key"),
+    )
+    rows = rows.select(
+        "key",
+        F.hash("key").alias("part"),
+        "set_id",
+        "n_shingles",
+        F.when(F.col("position") < F.col("singles"), F.col("position")).otherwise(-1).alias("position"),
     )
-    repeated = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = stored(rows.join(repeated, "key").distinct(), "shared")
+    # Half the bits of a key are enough to drop nearly all that occur once, at half the cost.
+    repeated = rows.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
+    shared = stored(rows.join(repeated, "part").drop("part"), "shared")
     comparer = _Comparer(docs, sets, words, similarity)
     links = comparer.links(_pivot_pairs(_open_rows(shared, None), similarity, 0))
     found = stored(components(links), "components")

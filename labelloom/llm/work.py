@@ -38,10 +38,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose ``doc_id`` is in ``ids``: by broadcast if those are few, else by a
-    shuffled join. ``ids`` is counted, so it should be a stored table."""
-    ids = ids.select("doc_id").distinct()
+def only(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in that of ``ids``: by broadcast if those are few, else
+    by a shuffled join. ``ids`` is counted, so it should be a stored table."""
+    ids = ids.select(column).distinct()
     if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    return df.join(ids, df[column].eqNullSafe(ids[column]), "left_semi")
