@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
+from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import exact_groups
 from labelloom.llm.near import near_groups
 from labelloom.llm.quality import quality_sample
 from labelloom.llm.work import read_table
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return decoded(encoded(read_table(spark, sf_dir, "documents"), path), path, with_text=False)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +37,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,

@@ -45,3 +45,12 @@ def only(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
     if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     return df.join(ids, df[column].eqNullSafe(ids[column]), "left_semi")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose ``doc_id`` is not in ``gone``: by broadcast if those
+    are few, else by a shuffled join."""
+    gone = stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
