@@ -1,12 +1,15 @@
 """Benchmark decontamination: every training passage is a query on an index of the test items.
 
-The items are the indexed documents of BM25, with each item's weights divided by their sum: an item
-whose every term is in a passage scores 1, and one threshold serves all. Documents are cut into
-overlapping passages, twice as long as the longest item and starting one such length apart, so that
-any copy of an item is whole in one of them. A passage goes through
+The items are the indexed documents of BM25. The threshold of an item is the least score of a passage
+that has enough of the item's shingles to be reported: each missing shingle takes away one word at
+most, so it is the sum of the item's smallest weights without so many of the largest. Weights are
+divided by it, and the threshold is 1 for all. Documents are cut into overlapping passages, twice as
+long as the longest item and starting one such length apart, so that any copy of an item is whole in
+one of them. A passage goes through
 
-1. bounds: its distinct terms' largest weights, in each of ``BOUND_BLOCKS`` blocks of items, are
-   summed for all passages of a chunk at once. Where no sum reaches the threshold, no item can;
+1. block maxima: for ever smaller blocks of items, the largest weights of the passage's distinct terms
+   in each block are summed, for all passages of a chunk at once. Where no sum reaches the threshold,
+   no item of any block can;
 2. block-max WAND over the posting lists, which retrieves every item at or above the threshold;
 3. verification: the share of the item's five-word shingles, of its question and its answer, that are
    in the passage.
@@ -31,11 +34,12 @@ from pyspark.sql import functions as F
 from labelloom.llm.words import ALPHANUMERIC, Hasher, chunks, sequences
 from labelloom.llm.work import documents, stored
 
-THRESHOLD = 0.5
 OVERLAP = 0.8
 SHINGLE_WORDS = 5
-POSTINGS = 2_000_000
-BOUND_BLOCKS = 16
+POSTINGS = 500_000
+#: Blocks of items in the first and in the last rounds of sums, the table of maxima permitting.
+BOUND_BLOCKS = (16, 64, 256)
+BOUND_BYTES = 64 << 20
 BLOCK_ITEMS = 8
 _K1, _B = 1.2, 0.75
 
@@ -48,7 +52,7 @@ _OUT = (
 class Index:
     """Posting lists of a slice of items, by term; items are numbered by their lengths."""
 
-    def __init__(self, items: list[tuple], postings: list[tuple]) -> None:
+    def __init__(self, items: list[tuple], postings: list[tuple], overlap: float) -> None:
         """``items``: (item_id, words, question, answer); ``postings``: (item_id, term, weight)."""
         items = sorted(items, key=lambda x: (x[1], x[0]))
         self.item_ids = [x[0] for x in items]
@@ -59,6 +63,18 @@ class Index:
         where = np.array([number[x[0]] for x in postings], dtype=np.int64)
         terms = np.array([x[1] for x in postings], dtype=np.int64).view(np.uint64)
         weights = np.array([x[2] for x in postings], dtype=np.float64)
+        order = np.argsort(where, kind="stable")
+        self.whole = np.bincount(where, weights, minlength=len(items))  # the score of all its terms
+        least = np.ones(len(items))
+        for k, own in enumerate(np.split(weights[order], np.cumsum(np.bincount(where))[:-1])):
+            sizes = [len(shingles) for _, shingles in self.parts[k]]
+            missing = int((1 - overlap) * sum(sizes) + 1e-9)
+            # A part of fewer words than a shingle is one shingle, and may be missing as a whole.
+            short = sum(size for size, shingles in self.parts[k] if len(shingles) == 1)
+            missing += short * (missing > 0)
+            least[k] = np.sort(own)[: max(1, len(own) - missing)].sum()
+        weights = weights / least[where]
+        self.whole /= least
         order = np.lexsort((where, terms))
         where, terms, weights = where[order], terms[order], weights[order]
         self.terms, starts = np.unique(terms, return_index=True)
@@ -72,14 +88,17 @@ class Index:
             for k, w in zip(items_of, weights_of, strict=True):
                 most[k // BLOCK_ITEMS] = max(w, most.get(k // BLOCK_ITEMS, 0.0))
             self.blocks.append(most)
-        size = -(-len(items) // BOUND_BLOCKS) or 1
-        self.bounds = np.zeros((len(self.terms), BOUND_BLOCKS), dtype=np.float32)
         of = np.repeat(np.arange(len(self.terms)), np.diff(cuts))
-        np.maximum.at(self.bounds, (of, where // size), weights.astype(np.float32))
+        self.bounds = []
+        for n in BOUND_BLOCKS:
+            if n == BOUND_BLOCKS[0] or 4 * n * len(self.terms) <= BOUND_BYTES:
+                table = np.zeros((len(self.terms), n), dtype=np.float32)
+                np.maximum.at(table, (of, where // (-(-len(items) // n) or 1)), weights)
+                self.bounds.append(table)
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Every (item number, score) with a score of ``threshold`` or more: block-max WAND."""
-        found, end = [], len(self.item_ids)
+    def search(self, terms: list[int]) -> list[tuple[int, float]]:
+        """Every (item number, score) at or above the threshold: block-max WAND."""
+        found, end, threshold = [], len(self.item_ids), 1 - 1e-6
         cursors = [[self.lists[t][0], t, 0] for t in terms]  # item, term, place in its list
         while True:
             cursors.sort()
@@ -146,9 +165,9 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _candidates(index: Index, hashes, first, threshold: float):
-    """``(document, first word, last word + 1, distinct terms)`` of the passages that may score
-    enough."""
+def _candidates(index: Index, hashes, first):
+    """``(document, first word, last word + 1, distinct terms)`` of the passages that may reach the
+    threshold."""
     step = index.longest
     counts = np.diff(first)
     passages = np.maximum(1, -(-counts // step) - 1)
@@ -168,16 +187,20 @@ def _candidates(index: Index, hashes, first, threshold: float):
     keys = np.unique(np.concatenate(keys))
     passage, term = np.divmod(keys, n)
     starts = np.flatnonzero(np.diff(passage, prepend=-1))
-    bounds = np.add.reduceat(index.bounds[term], starts, axis=0).max(axis=1)
-    ends = np.append(starts[1:], len(term))
-    for k in np.flatnonzero(bounds >= threshold - 1e-4):
-        p = passage[starts[k]]
+    for bounds in index.bounds:
+        most = np.add.reduceat(bounds[term], starts, axis=0).max(axis=1)
+        keep = np.repeat(most >= 1 - 1e-4, np.diff(np.append(starts, len(term))))
+        passage, term = passage[keep], term[keep]
+        if not len(term):
+            return
+        starts = np.flatnonzero(np.diff(passage, prepend=-1))
+    for p, own in zip(passage[starts], np.split(term, starts[1:]), strict=True):
         d = int(np.searchsorted(base, p, side="right")) - 1
         a = int(first[d] + (p - base[d]) * step)
-        yield d, a, min(a + 2 * step, int(first[d + 1])), term[starts[k] : ends[k]].tolist()
+        yield d, a, min(a + 2 * step, int(first[d + 1])), own.tolist()
 
 
-def _leaks(shared, threshold: float, overlap: float):
+def _leaks(shared, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, hasher = shared.value, Hasher(ALPHANUMERIC)
         for batch in batches:
@@ -185,8 +208,8 @@ def _leaks(shared, threshold: float, overlap: float):
             best: dict[tuple[int, int], tuple] = {}
             for row, _, data, offsets in chunks(batch):
                 _, _, hashes, first = hasher.words(data, offsets)
-                for d, a, b, terms in _candidates(index, hashes, first, threshold):
-                    for item, score in index.search(terms, threshold):
+                for d, a, b, terms in _candidates(index, hashes, first):
+                    for item, score in index.search(terms):
                         found, sizes = [], []
                         for size, shingles in index.parts[item]:
                             own = sequences(hashes[a:b], size)
@@ -196,8 +219,8 @@ def _leaks(shared, threshold: float, overlap: float):
                         if share >= overlap:
                             parts = [f / s if s else None for f, s in zip(found, sizes, strict=True)]
                             key = (row + d, item)
-                            if key not in best or (share, score) > best[key][:2]:
-                                best[key] = (share, score, parts)
+                            if key not in best or share > best[key][0]:
+                                best[key] = (share, score / index.whole[item], parts)
             rows = sorted(best.items(), key=lambda x: x[0])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -230,14 +253,13 @@ def questions_and_answers(benchmark: DataFrame) -> DataFrame:
 def leaked_items(
     docs: DataFrame,
     items: DataFrame,
-    threshold: float = THRESHOLD,
     overlap: float = OVERLAP,
     slice_postings: int = POSTINGS,
 ) -> DataFrame:
     """``(doc_id, item_id, score, overlap, question_overlap, answer_overlap)`` for every row of
     ``docs`` and item of ``items`` (``item_id``, ``question``, ``answer``) that it contains.
 
-    ``score`` is the BM25 score of the best passage, 1 at most; ``overlap`` the share of the item's
+    ``score`` is the BM25 score of the best passage as a share of the item's own, 1 at most; ``overlap`` the share of the item's
     shingles in it, ``overlap`` or more. A part of fewer than five words is one shingle; the overlap
     of a part without words is null. Null and empty texts contain nothing, and items without words
     or ``item_id`` are nowhere; items that repeat an ``item_id`` are one item, by their smallest
@@ -276,16 +298,16 @@ def leaked_items(
         / (F.col("tf") + _K1 * (1 - _B + _B * F.col("words") / F.lit(average)))
     )
     weights = stored(terms.join(found_in, "term").withColumn("weight", weight), "weights")
-    sums = weights.groupBy("item_id").agg(F.sum("weight").alias("all"), F.max("words").alias("words"))
+    lengths = weights.groupBy("item_id").agg(F.max("words").alias("words"))
     slices = math.ceil(postings / slice_postings)
     of = F.pmod(F.xxhash64("item_id"), F.lit(slices))
     parts = []
     for k in range(slices):
-        own = weights.where(of == k).join(sums.drop("words"), "item_id")
-        own = own.select("item_id", "term", F.col("weight") / F.col("all"))
-        named = items.where(of == k).join(sums, "item_id")
+        own = weights.where(of == k)
+        own = own.select("item_id", "term", "weight")
+        named = items.where(of == k).join(lengths, "item_id")
         named = named.select("item_id", "words", "question", "answer")
-        index = Index([tuple(r) for r in named.collect()], [tuple(r) for r in own.collect()])
+        index = Index([tuple(r) for r in named.collect()], [tuple(r) for r in own.collect()], overlap)
         shared = spark.sparkContext.broadcast(index)
-        parts.append(docs.mapInArrow(_leaks(shared, threshold, overlap), _OUT))
+        parts.append(docs.mapInArrow(_leaks(shared, overlap), _OUT))
     return reduce(DataFrame.union, parts)
