@@ -125,12 +125,12 @@ def _other_words(tokenizer, common):
     """``(doc_id, word)``: once for each distinct word of a document that is not common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = Splitter(tokenizer.value), common.value.keys()
+        split, known = Splitter(tokenizer.value), common.value
         for batch in batches:
             ids, words = [], []
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                own = set(split(text)) - known
+                own = [w for w in set(split(text)) if w not in known]
                 ids += [doc_id] * len(own)
                 words += own
             yield pa.RecordBatch.from_arrays(

@@ -9,6 +9,7 @@ from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import exact_groups
 from labelloom.llm.near import near_groups
+from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import quality_sample
 from labelloom.llm.work import read_table
 
@@ -22,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     return quality_sample(read_table(spark, sf_dir, "documents"), labels)
@@ -39,6 +44,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
