@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
@@ -11,9 +12,28 @@ from labelloom.llm.exact import exact_groups
 from labelloom.llm.near import near_groups
 from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import quality_sample
+from labelloom.llm.secrets import secrets
+from labelloom.llm.toxicity import toxicity, train
 from labelloom.llm.work import read_table
 
 
+def _remainder(n: int) -> Column:
+    """The remainder by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = train(docs, labels.where(_remainder(5) != 0))
+    return toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return decoded(encoded(read_table(spark, sf_dir, "documents"), path), path, with_text=False)
@@ -32,6 +52,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_sample(read_table(spark, sf_dir, "documents"), labels)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(read_table(spark, sf_dir, "documents")).drop("secrets")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = questions_and_answers(read_table(spark, sf_dir, "benchmark"))
     return leaked_items(read_table(spark, sf_dir, "documents"), items)
@@ -42,10 +66,12 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
 }
