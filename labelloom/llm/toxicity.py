@@ -1,8 +1,9 @@
 """Toxicity by maximum-scoring segments.
 
-Every token has a score: the log odds of its use in toxic against other labelled texts, with a
-Dirichlet prior in proportion to its use in both, where its z value says it differs; less a drift, so
-that ordinary text sinks. One linear scan of a text finds all its maximal scoring segments (those that
+Every token has a score: the log odds of being in toxic against other labelled texts, with a Dirichlet
+prior in proportion to its use in both, where its z value says it differs; less a drift, so that
+ordinary text sinks. A token that has no such value takes that of its first ``HEAD`` bytes, so that
+inflected forms are known by their stem. One linear scan of a text finds all its maximal scoring segments (those that
 no longer or shorter one beats). How often chance makes one of a score ``S`` in ``n`` ordinary tokens
 is ``K n exp(-lambda S)``, the extreme-value law of such segments: ``lambda`` solves
 ``sum p(s) exp(lambda s) = 1`` over the scores of ordinary tokens, ``K`` is fitted on ordinary texts.
@@ -29,16 +30,18 @@ from labelloom.llm.words import ALPHANUMERIC, Hasher, chunks
 from labelloom.llm.work import documents, stored
 
 LABELLED_ROWS = 50_000
-#: Least z value of a token in the lexicon, and the strength of the prior in tokens.
+#: Least z value of a token in the lexicon; the prior: a share of the uses in both, and some for all.
 LEAST_Z = 3.0
-PRIOR = 1000.0
+PRIOR_SHARE = 0.01
+PRIOR_EACH = 0.5
 DRIFT = 0.5
+HEAD = 5
 SIGNIFICANT = 0.05
 
 
 @dataclass
 class Model:
-    """The lexicon (sorted token hashes and their log odds), the law, and the curve."""
+    """The lexicon (sorted hashes of tokens and heads, and their log odds), the law, and the curve."""
 
     tokens: np.ndarray
     odds: np.ndarray
@@ -46,6 +49,16 @@ class Model:
     scale: float  # K
     curve: np.ndarray | None = None
 
+    def odds_of(self, hashes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log odds of each token, and whether it is known at all."""
+        odds, known = np.zeros(len(hashes)), np.zeros(len(hashes), dtype=bool)
+        if len(self.tokens):
+            for x in (heads, hashes):
+                at = np.minimum(np.searchsorted(self.tokens, x), len(self.tokens) - 1)
+                own = self.tokens[at] == x
+                odds[own], known[own] = self.odds[at[own]], True
+        return odds, known
+
     def score(self, features: np.ndarray) -> np.ndarray:
         z = features @ self.curve[:-1] + self.curve[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -81,9 +94,7 @@ def _features(model: Model, hasher: Hasher, batch: pa.RecordBatch):
     """Of each document its tokens' number, its segments and the curve's inputs."""
     for _, _, data, offsets in chunks(batch):
         starts, ends, hashes, first = hasher.words(data, offsets)
-        at = np.searchsorted(model.tokens, hashes)
-        at = np.minimum(at, max(len(model.tokens) - 1, 0))
-        known = model.tokens[at] == hashes if len(model.tokens) else np.zeros(len(hashes), bool)
+        odds, known = model.odds_of(hashes, hasher.heads(starts, ends, HEAD))
         lead = (data & 0xC0) != 0x80  # first bytes of characters
         for d in range(len(offsets) - 1):
             a, b = int(first[d]), int(first[d + 1])
@@ -91,9 +102,8 @@ def _features(model: Model, hasher: Hasher, batch: pa.RecordBatch):
             n = b - a
             found = []
             if len(places):
-                odds = model.odds[at[a:b][places]] - DRIFT
                 base = offsets[d]
-                for x, y, s in maximal_segments(places, odds, DRIFT):
+                for x, y, s in maximal_segments(places, odds[a:b][places] - DRIFT, DRIFT):
                     surprise = model.rate * s - np.log(model.scale * n)  # -log of the expected number
                     start, end = starts[a + x], ends[a + y]
                     chars = int(lead[base:start].sum()), int(lead[base:end].sum())
@@ -102,7 +112,8 @@ def _features(model: Model, hasher: Hasher, batch: pa.RecordBatch):
             gains = [-np.log(max(x[3], 1e-300)) for x in found]
             best = max(gains, default=-np.log(model.scale * max(n, 1)))
             total = sum(-np.log(max(x[3], 1e-300)) for x in toxic)
-            yield n, found, toxic, (np.clip(best, -20, 60), np.log1p(total))
+            most = max((x[2] for x in found), default=0.0)
+            yield n, found, toxic, (np.clip(best, -20, 60), np.log1p(total), np.log1p(most))
 
 
 def _scores(shared):
@@ -110,7 +121,7 @@ def _scores(shared):
         model, hasher = shared.value, Hasher(ALPHANUMERIC)
         for batch in batches:
             rows = list(_features(model, hasher, batch))
-            score = model.score(np.array([x[3] for x in rows]).reshape(len(rows), 2))
+            score = model.score(np.array([x[3] for x in rows]).reshape(len(rows), 3))
             passages = [
                 [dict(zip(("start", "end", "score", "expected"), p, strict=True)) for p in x[2]]
                 for x in rows
@@ -128,6 +139,10 @@ def _scores(shared):
     return run
 
 
+#: Inputs of the curve: the best surprise, the logarithms of all significant ones and of the best score.
+_INPUTS = ["best", "total", "most"]
+_TRAINED = "toxic int, n long, best double, total double, most double"
+
 _PASSAGES = pa.list_(
     pa.struct(
         [
@@ -145,43 +160,48 @@ def _training_features(shared):
         model, hasher = shared.value, Hasher(ALPHANUMERIC)
         for batch in batches:
             rows = list(_features(model, hasher, batch))
-            most = [max((p[2] for p in x[1]), default=0.0) for x in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic"),
                     pa.array([x[0] for x in rows], pa.int64()),
-                    pa.array(most, pa.float64()),
-                    pa.array([float(x[3][0]) for x in rows]),
-                    pa.array([float(x[3][1]) for x in rows]),
+                    *(pa.array([float(x[3][k]) for x in rows], pa.float64()) for k in range(3)),
                 ],
-                ["toxic", "n", "most", "best", "total"],
+                ["toxic", "n", *_INPUTS],
             )
 
     return run
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(token, toxic, n)`` of a task."""
+    """``(token, toxic, n)``: of how many texts of a task the token, or head, is part."""
     hasher, parts = Hasher(ALPHANUMERIC), ([], [])
     for batch in batches:
-        labels = np.array(batch.column("toxic").to_pylist())
-        for a, b, data, offsets in chunks(batch):
-            _, _, hashes, first = hasher.words(data, offsets)
-            toxic = np.repeat(labels[a:b], np.diff(first))
-            for k in (0, 1):
-                parts[k].append(np.unique(hashes[toxic == k], return_counts=True))
-    for k in (0, 1):
-        if parts[k]:
-            tokens, inverse = np.unique(np.concatenate([x[0] for x in parts[k]]), return_inverse=True)
-            n = np.bincount(inverse, np.concatenate([x[1] for x in parts[k]]), len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(tokens.view(np.int64)),
-                    pa.array(np.full(len(tokens), k, dtype=np.int32)),
-                    pa.array(n.astype(np.int64)),
-                ],
-                ["token", "toxic", "n"],
-            )
+        labels = batch.column("toxic").to_pylist()
+        for row, _, data, offsets in chunks(batch):
+            starts, ends, hashes, first = hasher.words(data, offsets)
+            heads = hasher.heads(starts, ends, HEAD)
+            for d, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+                parts[labels[row + d]].append(np.unique(np.concatenate([hashes[a:b], heads[a:b]])))
+        for part in parts:
+            if sum(map(len, part)) > _HELD:
+                yield _counted(parts)
+                parts = ([], [])
+                break
+    yield _counted(parts)
+
+
+#: Tokens of texts held before they are counted.
+_HELD = 4 << 20
+
+
+def _counted(parts: tuple[list, list]) -> pa.RecordBatch:
+    columns = []
+    for k, part in enumerate(parts):
+        tokens, n = np.unique(np.concatenate(part or [np.zeros(0, np.uint64)]), return_counts=True)
+        columns.append((tokens.view(np.int64), np.full(len(n), k, dtype=np.int32), n.astype(np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)], ["token", "toxic", "n"]
+    )
 
 
 def _rate(odds: np.ndarray, share: np.ndarray) -> float:
@@ -222,10 +242,11 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         ),
         "token-counts",
     )
-    n_y, n_x = (v or 0.0 for v in counts.agg(F.sum("y"), F.sum("x")).first())
-    prior = F.lit(PRIOR) * (F.col("y") + F.col("x")) / F.lit(max(n_y + n_x, 1.0))
+    n_y, n_x, n = (v or 0.0 for v in counts.agg(F.sum("y"), F.sum("x"), F.count("*")).first())
+    prior = PRIOR_EACH + PRIOR_SHARE * (F.col("y") + F.col("x"))
+    all_prior = PRIOR_EACH * n + PRIOR_SHARE * (n_y + n_x)
     y, x = F.col("y") + prior, F.col("x") + prior
-    odds = F.log(y / (F.lit(n_y + PRIOR) - y)) - F.log(x / (F.lit(n_x + PRIOR) - x))
+    odds = F.log(y / (F.lit(n_y + all_prior) - y)) - F.log(x / (F.lit(n_x + all_prior) - x))
     lexicon = (
         counts.where(F.lit(n_y > 0 and n_x > 0))
         .select("token", "x", odds.alias("odds"), (odds / F.sqrt(1 / y + 1 / x)).alias("z"))
@@ -241,25 +262,25 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     found = (
         rows.mapInArrow(
             _training_features(context.broadcast(model)),
-            "toxic int, n long, most double, best double, total double",
+            _TRAINED,
         )
         .toPandas()
         .astype({"toxic": float})
     )
     plain = found[(found["toxic"] == 0) & (found["n"] > 0)]
     if len(plain):
-        chance = (plain["n"] * np.exp(-rate * plain["most"])).sum()
+        chance = (plain["n"] * np.exp(-rate * np.expm1(plain["most"]))).sum()
         model.scale = float(np.clip(len(plain) / max(chance, 1e-9), 1e-6, 1e3))
     if found["toxic"].nunique() < 2:
         share = float(found["toxic"].mean()) if len(found) else 0.0
-        model.curve = np.array([0.0, 0.0, np.log((share + 1e-6) / (1 - share + 1e-6))])
+        model.curve = np.array([0.0, 0.0, 0.0, np.log((share + 1e-6) / (1 - share + 1e-6))])
         return model
     again = rows.mapInArrow(
         _training_features(context.broadcast(model)),
-        "toxic int, n long, most double, best double, total double",
+        _TRAINED,
     ).toPandas()
     model.curve = logistic(
-        again[["best", "total"]].to_numpy(dtype=float), again["toxic"].to_numpy(dtype=float), 1e-2
+        again[_INPUTS].to_numpy(dtype=float), again["toxic"].to_numpy(dtype=float), 1e-2
     )
     return model
 

@@ -76,9 +76,17 @@ class Hasher:
         self._ready(n)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(self._letters[_LOWER[data]] * self._up[:n], out=sums[1:])
+        self._sums = sums
         hashes = mixed((sums[ends] - sums[starts]) * self._down[starts])
         return starts, ends, hashes, np.searchsorted(starts, offsets)
 
+    def heads(self, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+        """Hashes, unlike those of words, of the first ``size`` bytes of the words found last."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.uint64)
+        cut = np.minimum(ends, starts + size)
+        return mixed((self._sums[cut] - self._sums[starts]) * self._down[starts] + np.uint64(1))
+
 
 def sequences(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of the ``size`` words from each word on, as far as there are so many."""
