@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import exact_groups
+from labelloom.llm.lm import katz_scores
 from labelloom.llm.near import near_groups
 from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import quality_sample
@@ -52,6 +53,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_sample(read_table(spark, sf_dir, "documents"), labels)
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(7) == 2, F.lit(False))
+    scores = katz_scores(docs, ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(read_table(spark, sf_dir, "documents")).drop("secrets")
 
@@ -71,6 +79,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op6_lm": op6_lm,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
