@@ -6,9 +6,10 @@ by itself, so a word needs encoding once, however often it occurs.
 1. Texts are split into words as the tokenizer's normalizer and pre-tokenizer do it.
 2. The word table. The words that repeat in a bounded sample of documents, ``COMMON_WORDS`` at most,
    are encoded and sent to every task. Words that are not among them go, once per document, to the
-   task that has all rows of the word; it encodes the word once and sends the ids back to the
-   documents. The sample decides only which way a word takes, not what it becomes.
-3. The words of a text are replaced by their ids, position by position. Texts travel compressed.
+   task that has all rows of the word; it encodes the word once and sends the ids back to their place
+   in the document. The sample decides only which way a word takes, not what it becomes.
+3. The words of a text are replaced by their ids, position by position. Texts travel compressed, with
+   a dictionary of ``DICTIONARY_BYTES`` made from texts of the sample.
 4. Ids are decoded through the table of id and piece, which is as large as the vocabulary.
 
 A word that many documents have is in the sample, so no word brings many rows to one task.
@@ -36,6 +37,9 @@ from labelloom.llm.work import documents
 SAMPLE_DOCUMENTS = 40_000
 #: Words sent to every task, about 100 MB in each.
 COMMON_WORDS = 400_000
+DICTIONARY_BYTES = 110 << 10
+#: Rows handled at a time, so that what is made of them stays small.
+ROWS = 512
 
 
 class Splitter:
@@ -101,6 +105,7 @@ def _word_counts(tokenizer):
         for batch in batches:
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 counts.update(split(text))
+        counts = {w: n for w, n in counts.items() if n > 1}
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
             ["word", "n"],
@@ -121,20 +126,34 @@ def _encoded_words(tokenizer):
     return run
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
+def _others(words: list[str], known: dict[str, bytes]) -> dict[str, int]:
+    """The distinct words that are not common, numbered as they come."""
+    other = (w for w in dict.fromkeys(words) if w not in known)
+    return {w: k for k, w in enumerate(other)}
+
+
 def _other_words(tokenizer, common):
-    """``(doc_id, word)``: once for each distinct word of a document that is not common."""
+    """``(doc_id, word, place)``: once for each distinct word of a document that is not common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = Splitter(tokenizer.value), common.value
-        for batch in batches:
-            ids, words = [], []
+        for batch in _slices(batches):
+            ids, words, places = [], [], []
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                own = [w for w in set(split(text)) if w not in known]
-                ids += [doc_id] * len(own)
-                words += own
+            for doc, text in zip(batch.column("doc").to_pylist(), texts, strict=True):
+                own = _others(split(text), known)
+                ids += [doc] * len(own)
+                words += own.keys()
+                places += own.values()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(words, pa.string())], ["doc_id", "word"]
+                [pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(places, pa.int32())],
+                ["doc", "word", "place"],
             )
 
     return run
@@ -155,35 +174,41 @@ def _encode_runs(tokenizer):
                 last, ids = words[-1], table[words[-1]]
             found = pa.array([table[w] for w in words], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("word"), found], ["doc_id", "word", "ids"]
+                [batch.column("doc"), batch.column("place"), found], ["doc", "place", "ids"]
             )
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([pack(t.as_py()) for t in texts], pa.binary())],
-            ["doc_id", "packed"],
-        )
+def _packed(dictionary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = zstandard.ZstdCompressionDict(dictionary.value) if dictionary.value else None
+        pack = zstandard.ZstdCompressor(level=3, dict_data=known).compress
+        for batch in _slices(batches):
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+            packed = pa.array([pack(t.as_py()) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("doc"), packed], ["doc_id", "doc", "packed"]
+            )
+
+    return run
 
 
-def _replaced(tokenizer, common):
+def _replaced(tokenizer, common, dictionary):
     """``(doc_id, ids)`` from ``(doc_id, packed, words)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = Splitter(tokenizer.value), common.value
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        with_words = zstandard.ZstdCompressionDict(dictionary.value) if dictionary.value else None
+        unpack = zstandard.ZstdDecompressor(dict_data=with_words).decompress
+        for batch in _slices(batches):
             found = []
-            packed, others = batch.column("packed"), batch.column("words").to_pylist()
-            for p, own in zip(packed, others, strict=True):
+            packed, others = batch.column("packed"), batch.column("words")
+            for p, told in zip(packed, others, strict=True):
                 words = split(unpack(p.as_py()).decode())
-                own = {x["word"]: x["ids"] for x in own or ()}
-                found.append(b"".join([known.get(w) or own.get(w, b"") for w in words]))
+                ids = {x["place"]: x["ids"] for x in told.as_py() or ()}
+                own = {w: ids[k] for w, k in _others(words, known).items()}
+                found.append(b"".join([known[w] if w in known else own[w] for w in words]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"]
             )
@@ -191,6 +216,14 @@ def _replaced(tokenizer, common):
     return run
 
 
+def _dictionary(texts: list[str]) -> bytes:
+    """A compression dictionary; none if there is too little text for one."""
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, [t.encode() for t in texts]).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
 def encoded(
     docs: DataFrame,
     tokenizer_path: str,
@@ -203,7 +236,7 @@ def encoded(
     Rows with the same ``doc_id`` are encoded each; so are those without one. Extra columns of
     ``docs`` do not matter. No input: no rows.
     """
-    docs = documents(docs)
+    docs = documents(docs).withColumn("doc", F.xxhash64("doc_id", "text"))
     context = docs.sparkSession.sparkContext
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = context.broadcast(f.read())
@@ -220,19 +253,22 @@ def encoded(
     )
     table = counted.mapInArrow(_encoded_words(tokenizer), "word string, ids binary").toPandas()
     common = context.broadcast(dict(zip(table["word"], map(bytes, table["ids"]), strict=True)))
+    some = [r["text"][:20_000] for r in sample.select("text").limit(2_000).collect()]
+    dictionary = context.broadcast(_dictionary(some))
+    # Equal rows have the same ``doc``; their places are the same.
     others = (
-        docs.mapInArrow(_other_words(tokenizer, common), "doc_id long, word string")
+        docs.mapInArrow(_other_words(tokenizer, common), "doc long, word string, place int")
         .repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode_runs(tokenizer), "doc_id long, word string, ids binary")
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.collect_list(F.struct("word", "ids")).alias("words"))
+        .mapInArrow(_encode_runs(tokenizer), "doc long, place int, ids binary")
+        .groupBy(F.col("doc").alias("of"))
+        .agg(F.collect_list(F.struct("place", "ids")).alias("words"))
     )
-    packed = docs.mapInArrow(_packed, "doc_id long, packed binary")
+    packed = docs.mapInArrow(_packed(dictionary), "doc_id long, doc long, packed binary")
     return (
-        packed.join(others, packed["doc_id"].eqNullSafe(others["id"]), "left")
+        packed.join(others, packed["doc"] == others["of"], "left")
         .select("doc_id", "packed", "words")
-        .mapInArrow(_replaced(tokenizer, common), "doc_id long, ids binary")
+        .mapInArrow(_replaced(tokenizer, common, dictionary), "doc_id long, ids binary")
     )
 
 
@@ -248,7 +284,7 @@ def _decoded(pieces, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.array([pieces.value.get(k, "") for k in range(max(pieces.value) + 1)], dtype=object)
         numbers = np.array([str(k) for k in range(len(table))], dtype=object)
-        for batch in batches:
+        for batch in _slices(batches):
             n, ids_sha, text_sha, texts = [], [], [], []
             for x in batch.column("ids"):
                 ids = np.frombuffer(x.as_buffer(), dtype="<u4")
