@@ -13,6 +13,7 @@ from labelloom.llm.lm import katz_scores
 from labelloom.llm.near import near_groups
 from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import quality_sample
+from labelloom.llm.repeats import without_repeats
 from labelloom.llm.secrets import secrets
 from labelloom.llm.toxicity import toxicity, train
 from labelloom.llm.work import read_table
@@ -73,6 +74,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -83,6 +88,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL = {
