@@ -18,8 +18,10 @@ those that repeat within blocks often enough are sent to all tasks, the most fre
 
 Under each key one set is the pivot, and the others are compared with it first: a group of thousands
 of near copies is linked by as many comparisons. Only sets that share a key and are not connected by
-then are compared with each other. Nothing is left out. A pair is dropped when the positions of the
-rare shingles that it shares bound its overlap too low; of the others whole sets are intersected.
+then are compared with each other. Nothing is left out. A pair is dropped when its overlap is bound too
+low: shared shingles that are not among its shared single keys come, in one of the sets, after the
+last of these. Of the other pairs, sets of half hashes are intersected, which finds no fewer common
+shingles than there are, and where those suffice whole sets are.
 """
 
 from __future__ import annotations
@@ -120,6 +122,11 @@ def keys_of(shingles: np.ndarray, frequent: np.ndarray, similarity: int):
     return np.concatenate(keys), len(keys[0])
 
 
+def all_rare(n: int, singles: int, similarity: int) -> bool:
+    """Whether a set's single keys are all its rare shingles."""
+    return singles <= n - (similarity * n + 99) // 100
+
+
 def _indexed(frequent, words: int, similarity: int):
     """Of each document its set's name and size; with the first document of a set in a batch also
     the keys."""
@@ -156,13 +163,15 @@ def _indexed(frequent, words: int, similarity: int):
     return run
 
 
-def _contents(words: int):
+def _contents(words: int, kind: type):
+    """Whole sets, as hashes of this kind in ascending order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets_of(batches, words):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_set_id(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([np.sort(s.astype(kind)).tobytes() for s in sets], pa.binary()),
                 ],
                 ["set_id", "shingles"],
             )
@@ -170,16 +179,17 @@ def _contents(words: int):
     return run
 
 
-def _similar(similarity: int):
-    """The pairs whose whole sets are similar enough."""
+def _similar(similarity: int, kind: type):
+    """The pairs whose whole sets are similar enough; with half hashes no pair of these is missing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                x = np.frombuffer(x.as_buffer(), dtype=kind)
+                y = np.frombuffer(y.as_buffer(), dtype=kind)
+                at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
+                both = int((y[at] == x).sum()) if len(y) else 0
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -195,15 +205,19 @@ def _possible(similarity: int):
             columns = (batch.column(k) for k in range(2, 8))
             for m, n, i, j, x, y in zip(*columns, strict=True):
                 m, n = m.as_py(), n.as_py()
-                x = x.values.to_numpy()[: i.as_py()]
-                y = y.values.to_numpy()[: j.as_py()]
-                both, at_x, at_y = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                if len(both):
-                    # All shared ones up to the last single one are counted; the rest is behind it.
-                    most = len(both) + min(m - 1 - at_x.max(), n - 1 - at_y.max())
-                    keep.append((100 + similarity) * most >= similarity * (m + n))
+                i, j = i.as_py(), j.as_py()
+                x, y = x.values.to_numpy()[:i], y.values.to_numpy()[:j]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                # Every shared shingle up to the end of the keys that end first is counted. Where all
+                # rare ones are keys, only frequent ones are left.
+                x_whole, y_whole = all_rare(m, i, similarity), all_rare(n, j, similarity)
+                if x_whole and y_whole:
+                    most = both + min(m - i, n - j)
+                elif y_whole or not x_whole and x.view(np.uint64)[-1] < y.view(np.uint64)[-1]:
+                    most = both + m - i
                 else:
-                    keep.append(True)
+                    most = both + n - j
+                keep.append((100 + similarity) * most >= similarity * (m + n))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -243,20 +257,23 @@ class _Comparer:
             .distinct(),
             "possible",
         )
+        for kind in (np.uint32, np.uint64):
+            possible = self._compared(possible, kind)
+        return possible
+
+    def _compared(self, pairs: DataFrame, kind: type) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         chosen = (
-            only(self.sets.select("set_id", "doc_id"), stored(in_pairs(possible), "wanted"), "set_id")
+            only(self.sets.select("set_id", "doc_id"), stored(wanted, "wanted"), "set_id")
             .groupBy("set_id")
             .agg(F.min("doc_id").alias("doc_id"))
         )
         contents = only(self.docs, stored(chosen, "chosen")).mapInArrow(
-            _contents(self.words), "set_id long, shingles binary"
+            _contents(self.words, kind), "set_id long, shingles binary"
         )
-        contents = stored(contents, "contents")
+        joined = self._with_both(pairs, stored(contents, "contents"))
         return stored(
-            self._with_both(possible, contents).mapInArrow(
-                _similar(self.similarity), "a long, b long"
-            ),
-            "links",
+            joined.mapInArrow(_similar(self.similarity, kind), "a long, b long"), "links"
         )
 
 
@@ -301,6 +318,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         F.col("set_id").alias(s),
         F.col("n_shingles").alias(f"n_{s}"),
         F.col("position").alias(f"at_{s}"),
+        F.col("singles").alias(f"singles_{s}"),
         F.col("component").alias(f"c_{s}"),
     )
     # A pair has the sizes of its sets, so these do not multiply it.
@@ -309,19 +327,17 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         .join(side("b"), "key")
         .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
         .where(_size_fits(similarity, "n_a", "n_b"))
-        .groupBy("a", "b", "n_a", "n_b")
-        .agg(
-            F.count(F.when(F.col("at_a") >= 0, 1)).alias("shared"),
-            F.max("at_a").alias("last_a"),
-            F.max("at_b").alias("last_b"),
-        )
-    )
-    # The same bound as in ``_possible``: between components every shared key is met here.
-    most = F.col("shared") + F.least(
-        F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b")
+        .groupBy("a", "b", "n_a", "n_b", "singles_a", "singles_b")
+        .agg(F.count(F.when(F.col("at_a") >= 0, 1)).alias("shared"))
     )
+    # The same bound as in ``_possible``, but for not knowing whose keys end first: between components
+    # every shared key is met here.
+    rest = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
+    spare = lambda x: F.col(f"n_{x}") - F.ceil(F.col(f"n_{x}") * similarity / 100.0)
+    whole = (F.col("singles_a") <= spare("a")) & (F.col("singles_b") <= spare("b"))
+    most = F.col("shared") + F.when(whole, F.least(*rest)).otherwise(F.greatest(*rest))
     enough = (100 + similarity) * most >= similarity * (F.col("n_a") + F.col("n_b"))
-    return met.where((F.col("shared") == 0) | enough).select("a", "b")
+    return met.where(enough).select("a", "b")
 
 
 def near_groups(
@@ -369,6 +385,7 @@ def near_groups(
         F.hash("key").alias("part"),
         "set_id",
         "n_shingles",
+        "singles",
         F.when(F.col("position") < F.col("singles"), F.col("position")).otherwise(-1).alias("position"),
     )
     # Half the bits of a key are enough to drop nearly all that occur once, at half the cost.
