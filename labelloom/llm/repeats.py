@@ -11,8 +11,9 @@ A byte goes if a ``SPAN``-byte string that covers it also starts earlier: in a d
    each of its regions once and already knows the later ones as repeats, so a passage that everybody
    has is one row for each block.
 3. Different regions of one gram share strings or not. Their first occurrences are fetched, cut to
-   what can be shared by comparing them outwards from the anchor, and put into one text for a number of
-   grams, whose suffixes are sorted (``suffixes``). Suffixes that agree in ``SPAN`` bytes are then
+   what can be shared by comparing them outwards from the anchor; of those that are then equal the
+   earliest stays. They are put into one text for a number of grams, whose suffixes are sorted
+   (``suffixes``). Suffixes that agree in ``SPAN`` bytes are then
    neighbours; of each such group all strings but the earliest are repeats. A gram with more than
    ``GROUP_REGIONS`` regions (the edges of a passage that everybody has) is dealt by its strings
    instead, each of which then is a region for itself.
@@ -39,7 +40,7 @@ from labelloom.llm.work import documents, only, stored
 
 SPAN = 100
 GRAM = 24
-GROUP_REGIONS = 512
+GROUP_REGIONS = 4096
 #: Anchors of a block of documents, and bytes of regions sorted at a time.
 BLOCK_ANCHORS = 1 << 20
 SORT_BYTES = 1 << 16
@@ -240,6 +241,16 @@ def shareable(group: list[tuple], span: int) -> list[tuple]:
     return out
 
 
+def distinct(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The earliest of equal pieces, and ``(doc, first, stop)`` of the others."""
+    first: dict[bytes, tuple] = {}
+    later = []
+    for piece in sorted(pieces, key=lambda x: x[:2]):
+        if first.setdefault(piece[2], piece) is not piece:
+            later.append((piece[0], piece[1], piece[1] + len(piece[2])))
+    return list(first.values()), later
+
+
 def later_strings(pieces: list[tuple], span: int) -> list[tuple]:
     """``(doc, first, stop)``: the bytes of the pieces ``(doc, start, content)`` covered by strings that
     start earlier in another piece."""
@@ -280,25 +291,28 @@ def later_strings(pieces: list[tuple], span: int) -> list[tuple]:
 def _resolved(span: int):
     """Rows sorted by gram: the repeats among the regions of each."""
 
-    def batch_of(pieces: list[tuple]) -> pa.RecordBatch:
-        found = later_strings(pieces, span) if pieces else []
+    def batch_of(pieces: list[tuple], later: list[tuple]) -> pa.RecordBatch:
+        found = later + (later_strings(pieces, span) if pieces else [])
         columns = list(zip(*found, strict=True)) or [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "first", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, group, pieces, size = None, [], [], 0
+        gram, group, pieces, later, size = None, [], [], [], 0
         for batch in batches:
             for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != gram:
-                    own = shareable(group, span)
-                    pieces += own
-                    size += sum(len(x[2]) for x in own)
+                    own, same = distinct(shareable(group, span))
+                    later += same
+                    if len(own) > 1:
+                        pieces += own
+                        size += sum(len(x[2]) for x in own)
                     gram, group = g, []
                     if size >= SORT_BYTES:
-                        yield batch_of(pieces)
-                        pieces, size = [], 0
+                        yield batch_of(pieces, later)
+                        pieces, later, size = [], [], 0
                 group.append(tuple(row))
-        yield batch_of(pieces + shareable(group, span))
+        own, same = distinct(shareable(group, span))
+        yield batch_of(pieces + own, later + same)
 
     return run
 
