@@ -246,7 +246,7 @@ def distinct(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     first: dict[bytes, tuple] = {}
     later = []
     for piece in sorted(pieces, key=lambda x: x[:2]):
-        if first.setdefault(piece[2], piece) is not piece:
+        if first.setdefault(piece[2], piece)[:2] != piece[:2]:  # two anchors may have the same piece
             later.append((piece[0], piece[1], piece[1] + len(piece[2])))
     return list(first.values()), later
 
