@@ -40,10 +40,11 @@ from labelloom.llm.work import documents, only, stored
 
 SPAN = 100
 GRAM = 24
-GROUP_REGIONS = 4096
+GROUP_REGIONS = 512
 #: Anchors of a block of documents, and bytes of regions sorted at a time.
 BLOCK_ANCHORS = 1 << 20
 SORT_BYTES = 1 << 16
+LATER_ROWS = 20_000
 
 _LAST = (1 << 63) - 1
 _PLACE = "gram long, region long, doc long, start long, length int, offset int"
@@ -88,9 +89,13 @@ class Anchors:
         most = _sliding(around, width, np.maximum, np.uint64(0))
         at = np.flatnonzero(most == grams)
         # The strings of an anchor: those that cover it and have it as the least.
-        mine = np.lib.stride_tricks.sliding_window_view(around, width)[at] == grams[at, None]
-        first = at - width + 1 + mine.argmax(axis=1)
-        last = at - mine[:, ::-1].argmax(axis=1)
+        view = np.lib.stride_tricks.sliding_window_view(around, width)
+        first, last = np.empty_like(at), np.empty_like(at)
+        for a in range(0, len(at), 1 << 15):  # a text of few signs has very many anchors
+            some = at[a : a + (1 << 15)]
+            mine = view[some] == grams[some, None]
+            first[a : a + len(some)] = some - width + 1 + mine.argmax(axis=1)
+            last[a : a + len(some)] = some - mine[:, ::-1].argmax(axis=1)
         stop = last + self.span
         region = (sums[stop] - sums[first]) * self._down[first]
         region = mixed(region + mixed(((stop - first) * 4096 + (at - first)).astype(np.uint64)))
@@ -307,7 +312,7 @@ def _resolved(span: int):
                         pieces += own
                         size += sum(len(x[2]) for x in own)
                     gram, group = g, []
-                    if size >= SORT_BYTES:
+                    if size >= SORT_BYTES or len(later) >= LATER_ROWS:
                         yield batch_of(pieces, later)
                         pieces, later, size = [], [], 0
                 group.append(tuple(row))
