@@ -26,7 +26,7 @@ from labelloom import (
     num_features_from_schema,
     transform_stream,
 )
-from labelloom.session import new_folder
+from labelloom.session import SHARED_DIR, new_folder
 
 # The corpus operators are an optional part: without their files all else works as before.
 try:
@@ -41,6 +41,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR, None)):
+        spark.conf.set(SHARED_DIR, f"{spark.conf.get('spark.sql.warehouse.dir')}/_labelloom")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -283,6 +285,69 @@ def q_stage_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Pipeline(stages=stages).fit(events).transform(events).drop("kind_idx")
 
 
+def q_stage_chain_high_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More labels than metadata lists and the driver holds, there and back in one pipeline."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    stages = [
+        LabelIndexer(inputCol="l_orderkey", outputCol="order_idx", localLabelLimit=1_000),
+        IndexToLabel(inputCol="order_idx", outputCol="back"),
+    ]
+    return Pipeline(stages=stages).fit(lines).transform(lines).select("back", "l_linenumber")
+
+
+def q_saved_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unfitted stages saved and loaded inside a pipeline."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type")
+    path = new_folder(spark, "pipeline")
+    stages = [
+        LabelIndexer(inputCol="event_type", outputCol="i", stringOrderType="alphabetDesc"),
+        ColumnRenamer(inputCol="i", outputCol="type_idx"),
+    ]
+    Pipeline(stages=stages).write().overwrite().save(path)
+    loaded = Pipeline.load(path)
+    return loaded.fit(events).transform(events).select("event_id", "type_idx")
+
+
+def q_copy_with_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings given for one fit, and a copy of the model with another policy."""
+    orders = _table(spark, sf_dir, "orders")
+    indexer = LabelIndexer(inputCol="o_orderpriority", outputCol="priority_idx")
+    known = orders.where(F.col("o_orderpriority") != "5-LOW")
+    model = indexer.fit(known, {indexer.stringOrderType: "alphabetDesc"})
+    model = model.copy({model.handleInvalid: "keep"})
+    return model.transform(orders).select("o_orderkey", "priority_idx")
+
+
+def q_load_single_column_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model in the older layout: a single row with the labels of a single column."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    model = LabelIndexer(inputCol="l_returnflag", outputCol="flag_idx").fit(lineitem)
+    path = new_folder(spark, "model")
+    model.write().save(path)
+    labels = F.array_sort(F.collect_list(F.struct("idx", "label")))["label"]
+    old = model.dictionary_table().agg(labels.alias("labels"))
+    old.write.mode("overwrite").parquet(f"{path}/data")
+    loaded = LabelIndexerModel.load(path)
+    return loaded.transform(lineitem).select("l_orderkey", "l_linenumber", "flag_idx")
+
+
+def q_given_labels_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given labels of which one is listed twice (the later counts), saved as more than the driver
+    holds; looked up before and after loading, by broadcast and by shuffle."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type")
+    settings = {"inputCol": "event_type", "outputCol": "i", "handleInvalid": "keep"}
+    model = LabelIndexerModel.from_labels(
+        ["view", "click", "view"], localLabelLimit=2, **settings
+    )
+    path = new_folder(spark, "model")
+    model.write().save(path)
+    loaded = LabelIndexerModel.load(path)
+    shuffled = loaded.copy({loaded.broadcastLimit: 0})
+    ways = {"given": model, "loaded": loaded, "shuffled": shuffled}
+    parts = [m.transform(events).select(F.lit(k).alias("way"), "event_id", "i") for k, m in ways.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def _saved_and_loaded(
     spark: SparkSession, sf_dir: str, **options: str
 ) -> tuple[LabelIndexerModel, DataFrame]:
@@ -361,6 +426,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "num_features": q_num_features,
         "num_features_from_schema": q_num_features_from_schema,
         "stage_chain": q_stage_chain,
+        "stage_chain_high_cardinality": q_stage_chain_high_cardinality,
+        "saved_stages": q_saved_stages,
+        "copy_with_overrides": q_copy_with_overrides,
+        "load_single_column_layout": q_load_single_column_layout,
+        "given_labels_save_load": q_given_labels_save_load,
         "save_load": q_save_load,
         "save_load_arrays": q_save_load_arrays,
         "stream_transform": q_stream_transform,
@@ -478,6 +548,21 @@ def oracle_sql() -> dict[str, str]:
         "num_features_from_schema": """
             SELECT vec_id, CAST(LEN(embedding) + 1 AS INTEGER) AS num_features FROM embeddings""",
         "stage_chain": "SELECT event_id, event_type AS kind, event_type AS kind_back FROM events",
+        "stage_chain_high_cardinality": """
+            SELECT CAST(l_orderkey AS VARCHAR) AS back, l_linenumber FROM lineitem""",
+        "saved_stages": f"""
+            WITH d AS ({_dictionary("events", "event_type", "label DESC")})
+            SELECT event_id, d.idx AS type_idx FROM events JOIN d ON event_type = d.label""",
+        "copy_with_overrides": f"""
+            WITH d AS ({_dictionary("orders", "o_orderpriority", "label DESC", "o_orderpriority <> '5-LOW'")})
+            SELECT o_orderkey,
+                   COALESCE(d.idx, (SELECT CAST(COUNT(*) AS DOUBLE) FROM d)) AS priority_idx
+            FROM orders LEFT JOIN d ON o_orderpriority = d.label""",
+        "load_single_column_layout": flag_index,
+        "given_labels_save_load": """
+            SELECT way, event_id, CAST(CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 1 ELSE 3 END
+                                       AS DOUBLE) AS i
+            FROM events CROSS JOIN (VALUES ('given'), ('loaded'), ('shuffled')) AS w(way)""",
         "save_load": flag_index,
         "save_load_arrays": flag_index,
         "stream_transform": given_labels,

@@ -23,11 +23,12 @@ def num_features_from_schema(field: StructField) -> int | None:
     return None
 
 
-def num_features(df: DataFrame, vector_col: str) -> int | None:
+def num_features(df: DataFrame, vector_col: str, first_row: bool = False) -> int | None:
     """Number of features of a vector or numeric array column.
 
-    Taken from the column's metadata, which needs no job, or else from the first row that is
-    not null; None if there is no such row.
+    Taken from the column's metadata, which needs no job, or else from all rows that are not null,
+    which must agree; with ``first_row`` the first of them speaks for all. None if there is no
+    such row.
     """
     (field,) = fields_of(df, [vector_col])
     declared = num_features_from_schema(field)
@@ -41,7 +42,11 @@ def num_features(df: DataFrame, vector_col: str) -> int | None:
             f"Column {field.name} must be a vector or an array of numbers, "
             f"but got {field.dataType.simpleString()}."
         )
-    first = (
-        df.where(column(field.name).isNotNull()).select(F.size(values).alias("width")).head()
-    )
-    return None if first is None else first["width"]
+    widths = df.where(column(field.name).isNotNull()).select(F.size(values).alias("width"))
+    if first_row:
+        first = widths.head()
+        return None if first is None else first["width"]
+    least, most = widths.agg(F.min("width"), F.max("width")).first()
+    if least != most:
+        raise ValueError(f"Column {field.name} holds vectors of {least} to {most} features.")
+    return most

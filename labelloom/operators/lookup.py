@@ -5,13 +5,15 @@ How the join is done depends on the size of the dictionary, which is known:
 - a handful of labels: an expression, no join at all;
 - up to a limit in bytes: the dictionary is broadcast;
 - beyond it: labels that hold a noticeable share of all rows are few, whatever the data, so
-  these are broadcast; the rows they leave open are joined by a shuffle, in which rows that
-  have nothing to look up are spread over all tasks. What can still be skewed there, such as
-  one unseen value in very many rows, is left to the skew handling of adaptive execution.
+  these are broadcast, if the limit has room for them; the rows they leave open are joined by a
+  shuffle, in which rows that have nothing to look up are spread over all tasks. What can still
+  be skewed there (one unseen value in very many rows, hot labels of a model without counts or
+  beyond the limit) is left to the skew handling of adaptive execution, which has to be on.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -86,31 +88,56 @@ def join_by_shuffle(
     tag: str,
     required: bool,
     entries_bytes: int,
+    hot_bytes: int,
 ) -> Lookup:
-    """Join with ``entries``, a table ``(key0, ..., value, hot)`` with distinct keys."""
+    """Join with ``entries``, a table ``(key0, ..., value, hot)`` with distinct keys.
+
+    The hot entries are broadcast, and take ``hot_bytes`` at most; there are none if that is 0.
+    """
     hot = entries.where("hot").selectExpr(*_named(f"{tag}_hot", len(keys)))
     # zero for each entry, but not as a literal: the optimizer would take one out of the join keys
     no_spread = f"CAST(hot AS INT) AS {tag}_cold_spread"
     cold = entries.where("NOT hot").selectExpr(*_named(f"{tag}_cold", len(keys)), no_spread)
-    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if entries_bytes <= HASH_BYTES * partitions:
+    partitions = table.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    if partitions.isdigit() and entries_bytes <= HASH_BYTES * int(partitions):
         # keys are distinct, so the entries spread evenly and the table need not be sorted
         cold = cold.hint("shuffle_hash")
 
-    table = table.join(F.broadcast(hot), F.expr(_matches(keys, f"{tag}_hot")), "left")
-    is_open = f"{tag}_hot_value IS NULL AND {keys[0]} IS NOT NULL"
+    spread = _spread(table, keys)
+    is_open = f"{keys[0]} IS NOT NULL"
+    if hot_bytes:
+        table = table.join(F.broadcast(hot), F.expr(_matches(keys, f"{tag}_hot")), "left")
+        is_open = f"{tag}_hot_value IS NULL AND {is_open}"
     table = table.selectExpr(
         "*",
         f"CASE WHEN {is_open} THEN {keys[0]} END AS {tag}_open",
-        f"CASE WHEN {is_open} THEN 0 ELSE spark_partition_id() END AS {tag}_spread",
+        f"CASE WHEN {is_open} THEN 0 ELSE {spread} END AS {tag}_spread",
     )
     condition = _matches([f"{tag}_open", *keys[1:]], f"{tag}_cold")
     condition += f" AND {tag}_spread = {tag}_cold_spread"
     table = table.join(cold, F.expr(condition), "left")
-    value = f"coalesce({tag}_hot_value, {tag}_cold_value)"
+    value = f"{tag}_cold_value"
+    helpers = [f"{tag}_open", f"{tag}_spread", *cold.columns]
+    if hot_bytes:
+        value, helpers = f"coalesce({tag}_hot_value, {value})", [*hot.columns, *helpers]
     if required:
         table = table.where(f"{value} IS NOT NULL")
-    return Lookup(table, value, [*hot.columns, f"{tag}_open", f"{tag}_spread", *cold.columns])
+    return Lookup(table, value, helpers, hot_bytes)
+
+
+def _spread(table: DataFrame, keys: list[str]) -> str:
+    """A number that differs from row to row, for rows that have nothing to look up.
+
+    Made of other columns than the key, so that it is the same whenever it is computed and filters
+    can pass it; a table without such a column takes the partition a row comes from.
+    """
+    own = {quote(f.name) for f in table.schema if quote(f.name) in keys[0]}
+    others = [
+        quote(f.name)
+        for f in table.schema
+        if quote(f.name) not in own and not re.search("map<|variant", f.dataType.simpleString())
+    ]
+    return f"hash({', '.join(others)})" if others else "spark_partition_id()"
 
 
 def join_dictionary(
@@ -133,9 +160,12 @@ def join_dictionary(
     needed = memory_bytes(dictionary)
     by_broadcast = needed <= broadcast_bytes
     columns = [*[f"{key} AS key{i}" for i, key in enumerate(entry_keys)], f"{value} AS value"]
+    most_hot = min(needed, HOT_SHARE * (HOT_LABEL_BYTES + ENTRY_BYTES))
+    hot_bytes = most_hot if dictionary.occurrences and most_hot <= broadcast_bytes else 0
     if not by_broadcast:
         frequent = f"n * {HOT_SHARE} >= {max(dictionary.occurrences, 1)}"
-        short = f"octet_length(label) <= {HOT_LABEL_BYTES}"
+        # with no room for hot labels there are none, in a form that is not a literal
+        short = f"octet_length(label) BETWEEN 0 AND {HOT_LABEL_BYTES if hot_bytes else -1}"
         columns.append(f"coalesce({frequent} AND {short}, false) AS hot")
     spark = table.sparkSession
     rows = dictionary.rows(spark) if by_position else dictionary.lookup_rows(spark)
@@ -145,7 +175,7 @@ def join_dictionary(
         found = join_by_broadcast(table, keys, entries, tag, required)
         found.broadcast_bytes = needed
         return found
-    return join_by_shuffle(table, keys, entries, tag, required, needed)
+    return join_by_shuffle(table, keys, entries, tag, required, needed, hot_bytes)
 
 
 def _inline_index(

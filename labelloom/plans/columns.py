@@ -6,7 +6,7 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,7 +19,8 @@ from labelloom.functions.names import (
 )
 from labelloom.operators.inverse import label_column
 from labelloom.plans.dictionary import ColumnDictionary
-from labelloom.plans.params import InOutParams
+from labelloom.operators.lookup import BROADCAST_BYTES
+from labelloom.plans.params import POINTER, InOutParams
 
 
 class IndexToLabel(Transformer, InOutParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -36,6 +37,13 @@ class IndexToLabel(Transformer, InOutParams, DefaultParamsReadable, DefaultParam
         typeConverter=TypeConverters.toListString,
     )
 
+    broadcastLimit = Param(
+        Params._dummy(),
+        "broadcastLimit",
+        "A dictionary of at most this many bytes is broadcast; a larger one is joined by a shuffle.",
+        typeConverter=TypeConverters.toInt,
+    )
+
     @keyword_only
     def __init__(
         self,
@@ -43,8 +51,10 @@ class IndexToLabel(Transformer, InOutParams, DefaultParamsReadable, DefaultParam
         inputCol: str | None = None,
         outputCol: str | None = None,
         labels: list[str] | None = None,
+        broadcastLimit: int | None = None,
     ):
         super().__init__()
+        self._setDefault(broadcastLimit=BROADCAST_BYTES)
         self._set(**self._input_kwargs)
 
     def setLabels(self, value: list[str]) -> IndexToLabel:
@@ -64,24 +74,30 @@ class IndexToLabel(Transformer, InOutParams, DefaultParamsReadable, DefaultParam
         self._index_field(schema)
         return StructType([*schema.fields, StructField(self.getOutputCol(), StringType())])
 
-    def _labels_for(self, field: StructField) -> list[str]:
+    def _dictionary_for(self, field: StructField, spark: SparkSession) -> tuple[ColumnDictionary, bool]:
+        """The dictionary, and whether the index after its last one stands for unknown labels."""
         if self.isDefined(self.labels) and self.getLabels():
-            return self.getLabels()
+            return ColumnDictionary.of_labels(self.getLabels()), False
         values = field.metadata.get("ml_attr", {}).get("vals")
-        if values is None:
+        if values is not None:
+            return ColumnDictionary.of_labels(values), False
+        told = field.metadata.get(POINTER)
+        if told is None:
             raise ValueError(
-                f"No labels are set, and the metadata of column {field.name} lists none. "
-                "For a dictionary too large for metadata use inverse_transform of its model."
+                f"No labels are set, and the metadata of column {field.name} tells of none."
             )
-        return values
+        return ColumnDictionary.from_folder(spark, told), told["with_unknown"]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         field = self._index_field(dataset.schema)
+        dictionary, with_unknown = self._dictionary_for(field, dataset.sparkSession)
         found = label_column(
             dataset,
             field.name,
-            ColumnDictionary.of_labels(self._labels_for(field)),
+            dictionary,
             tag="__labelloom",
+            with_unknown=with_unknown,
+            broadcast_bytes=self.getOrDefault(self.broadcastLimit),
         )
         label = F.expr(found.value).alias(self.getOutputCol())
         return found.table.select("*", label).drop(*found.helpers)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -17,11 +17,7 @@ from pyspark.sql import functions as F
 
 from labelloom.operators.counts import label_counts
 from labelloom.operators.ranking import rank_by_range, rank_by_window, sort_keys
-from labelloom.session import new_folder
-
-# what the driver holds for all columns of one model together, in labels and in bytes of text
-DRIVER_LABELS = 200_000
-DRIVER_BYTES = 32 << 20
+from labelloom.session import delete_folder, new_folder
 
 # label counts of a table of at most this size are cached instead of written
 CACHE_BYTES = 256 << 20
@@ -39,6 +35,11 @@ class ColumnDictionary:
     labels: tuple[str, ...] | None = None
     counts: tuple[int | None, ...] | None = field(default=None, repr=False)
     stored: DataFrame | None = field(default=None, repr=False)
+    # where the dictionary is also found: a folder and the value of ``col_name`` in it
+    path: str | None = None
+    name: str | None = None
+    # whether a label may be listed more than once in a stored dictionary
+    repeats: bool = False
 
     @classmethod
     def of_labels(
@@ -74,7 +75,14 @@ class ColumnDictionary:
 
     def lookup_rows(self, spark: SparkSession) -> DataFrame:
         """Like :meth:`rows`, with each label once."""
-        if self.labels is None or len(set(self.labels)) == self.size:
+        if self.labels is None:
+            if not self.repeats:
+                return self.stored
+            # as for a list, the later position counts
+            return self.stored.groupBy("label").agg(
+                F.max("n").alias("n"), F.max("idx").alias("idx")
+            )
+        if len(set(self.labels)) == self.size:
             return self.rows(spark)
         positions = {label: i for i, label in enumerate(self.labels)}
         return local_table(
@@ -84,11 +92,55 @@ class ColumnDictionary:
             idx=pa.array(list(positions.values()), pa.float64()),
         )
 
+    def on_driver(self) -> ColumnDictionary:
+        """The same dictionary as a list; for sizes that were checked."""
+        if self.labels is not None:
+            return self
+        rows = self.stored.select("label", "n", "idx").toArrow().sort_by("idx")
+        return ColumnDictionary.of_labels(rows["label"].to_pylist(), rows["n"].to_pylist())
+
+    def in_folder(self, spark: SparkSession) -> ColumnDictionary:
+        """The same dictionary with a folder in which others find it."""
+        if self.path is not None:
+            return self
+        path, name = new_folder(spark, "dictionary"), "0"
+        self.rows(spark).select(F.lit(name).alias("col_name"), "label", "n", "idx").write.parquet(path)
+        return replace(self, path=path, name=name)
+
+    @classmethod
+    def from_folder(cls, spark: SparkSession, about: dict) -> ColumnDictionary:
+        """The dictionary that ``pointer`` of another one tells of."""
+        rows = spark.read.parquet(about["path"])
+        (own,) = stored_dictionaries(rows, {about["name"]: about}, about["path"]).values()
+        return own
+
+    def pointer(self) -> dict:
+        return {
+            "path": self.path,
+            "name": self.name,
+            "size": self.size,
+            "text_bytes": self.text_bytes,
+            "occurrences": self.occurrences,
+        }
+
 
 def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
+def labels_table(
+    spark: SparkSession, key: str, named: Sequence[tuple[str, ColumnDictionary]]
+) -> DataFrame:
+    """The labels of dictionaries on the driver as one table ``(key, label, n, idx)``."""
+    return local_table(
+        spark,
+        **{key: pa.array([name for name, d in named for _ in d.labels], pa.string())},
+        label=pa.array([label for _, d in named for label in d.labels], pa.string()),
+        n=pa.array([n for _, d in named for n in d.counts or [None] * d.size], pa.int64()),
+        idx=pa.array([k for _, d in named for k in range(d.size)], pa.float64()),
+    )
+
+
 def learn_dictionaries(
     df: DataFrame, columns: list[str], order: str, local_limit: int
 ) -> dict[str, ColumnDictionary]:
@@ -103,7 +155,7 @@ def learn_dictionaries(
             learned = split_dictionaries(few)
         else:
             found = summarize(counts)
-            local = local_columns(found, local_limit)
+            local = [c for c in found if found[c]["size"] <= local_limit]
             large = [c for c in found if c not in local]
             learned = {}
             if local:
@@ -111,8 +163,9 @@ def learn_dictionaries(
                 learned |= collect_dictionaries(rank_by_window(small, order))
             if large:
                 many = counts.where(F.col("col_name").isin(large))
-                stored = rank_by_range(many, order, new_folder(df.sparkSession, "dictionary"))
-                learned |= stored_dictionaries(stored, {c: found[c] for c in large})
+                path = write_ranked(many, order)
+                stored = df.sparkSession.read.parquet(path)
+                learned |= stored_dictionaries(stored, {c: found[c] for c in large}, path)
     return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
 
 
@@ -125,8 +178,11 @@ def kept(counts: DataFrame) -> Iterator[DataFrame]:
     """
     if estimated_bytes(counts) > CACHE_BYTES:
         path = new_folder(counts.sparkSession, "counts")
-        counts.write.parquet(path)
-        yield counts.sparkSession.read.schema(counts.schema).parquet(path)
+        try:
+            counts.write.parquet(path)
+            yield counts.sparkSession.read.schema(counts.schema).parquet(path)
+        finally:
+            delete_folder(counts.sparkSession, path)
         return
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -141,26 +197,25 @@ def estimated_bytes(df: DataFrame) -> int:
     return statistics.sizeInBytes()
 
 
-def local_columns(sizes: dict[str, dict[str, int]], local_limit: int) -> list[str]:
-    """The columns whose labels the driver may hold: the smallest ones, while they fit."""
-    chosen, labels, text_bytes = [], 0, 0
-    for name, found in sorted(sizes.items(), key=lambda item: item[1]["text_bytes"]):
-        if found["size"] > local_limit:
-            continue
-        labels += found["size"]
-        text_bytes += found["text_bytes"]
-        if labels > DRIVER_LABELS or text_bytes > DRIVER_BYTES:
-            break
-        chosen.append(name)
-    return chosen
+def write_ranked(counts: DataFrame, order: str) -> str:
+    """Number the labels of large columns; the folder with ``(col_name, label, n, idx)``."""
+    spark = counts.sparkSession
+    path, unfinished = new_folder(spark, "dictionary"), new_folder(spark, "sorted")
+    try:
+        rank_by_range(counts, order, unfinished).write.parquet(path)
+    finally:
+        delete_folder(spark, unfinished)
+    return path
 
 
-def summarize(rows: DataFrame) -> dict[str, dict[str, int]]:
-    """Size, text bytes and occurrences of each column of a table ``(col_name, label, n)``."""
+def summarize(rows: DataFrame, given: bool = False) -> dict[str, dict[str, int]]:
+    """Size, text bytes and occurrences of each column of a table ``(col_name, label, n)``; of
+    ``given`` labels, which may repeat, also how many different ones there are."""
     summary = rows.groupBy("col_name").agg(
         F.count(F.lit(1)).alias("size"),
         F.sum(F.octet_length("label")).alias("text_bytes"),
         F.sum("n").alias("occurrences"),
+        *([F.count_distinct("label").alias("different")] if given else []),
     )
     return {row["col_name"]: row.asDict() for row in summary.collect()}
 
@@ -196,15 +251,19 @@ def split_dictionaries(rows: pa.Table) -> dict[str, ColumnDictionary]:
 
 
 def stored_dictionaries(
-    rows: DataFrame, sizes: dict[str, dict[str, int]]
+    rows: DataFrame, sizes: dict[str, dict[str, int]], path: str | None = None
 ) -> dict[str, ColumnDictionary]:
-    """Dictionaries that stay in the table ``rows`` of ``(col_name, label, n, idx)``."""
+    """Dictionaries that stay in the table ``rows`` of ``(col_name, label, n, idx)``, which is found
+    in the folder ``path`` if that is given."""
     return {
         name: ColumnDictionary(
             size=found["size"],
             text_bytes=found["text_bytes"],
             occurrences=found["occurrences"] or 0,
             stored=rows.where(F.col("col_name") == name).select("label", "n", "idx"),
+            path=path,
+            name=name if path else None,
+            repeats=found.get("different", found["size"]) < found["size"],
         )
         for name, found in sizes.items()
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -17,8 +18,8 @@ from labelloom.functions.keys import require_index_type
 from labelloom.functions.names import fields_of, is_case_sensitive, require_absent, unquote
 from labelloom.operators.inverse import label_column
 from labelloom.operators.lookup import KEEP, UNKNOWN, index_column, memory_bytes
-from labelloom.plans.dictionary import ColumnDictionary, learn_dictionaries
-from labelloom.plans.params import IndexerParams, nominal_metadata
+from labelloom.plans.dictionary import ColumnDictionary, labels_table, learn_dictionaries
+from labelloom.plans.params import POINTER, IndexerParams, nominal_metadata
 from labelloom.sources.model_store import ModelReader, ModelWriter
 
 logger = logging.getLogger(__name__)
@@ -38,6 +39,7 @@ class LabelIndexer(Estimator, IndexerParams, DefaultParamsReadable, DefaultParam
         handleInvalid: str | None = None,
         stringOrderType: str | None = None,
         localLabelLimit: int | None = None,
+        metadataLabelLimit: int | None = None,
         broadcastLimit: int | None = None,
     ):
         super().__init__()
@@ -93,26 +95,37 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
     def dictionary_table(self) -> DataFrame:
         """All dictionaries as one table ``(col_name, label, n, idx)``."""
         spark = SparkSession.active()
+        named = list(zip(map(unquote, self.in_out_columns()[0]), self.dictionaries))
+        local = [(name, d) for name, d in named if d.labels is not None]
         tables = [
-            dictionary.rows(spark).select(F.lit(unquote(name)).alias("col_name"), "label", "n", "idx")
-            for name, dictionary in zip(self.in_out_columns()[0], self.dictionaries)
+            d.stored.select(F.lit(name).alias("col_name"), "label", "n", "idx")
+            for name, d in named
+            if d.labels is None
         ]
-        table = tables[0]
-        for other in tables[1:]:
-            table = table.unionByName(other)
-        return table
+        if local or not tables:
+            tables.append(labels_table(spark, "col_name", local))
+        return reduce(DataFrame.unionByName, tables)
 
     def num_labels(self) -> list[int]:
         return [dictionary.size for dictionary in self.dictionaries]
 
-    def labels_array(self) -> list[list[str]]:
-        """The labels of each column in the order of their indices, as lists."""
-        if any(dictionary.labels is None for dictionary in self.dictionaries):
-            raise ValueError(
-                "This model has a dictionary of more than localLabelLimit labels. "
-                "Use dictionary_table() instead."
-            )
-        return [list(dictionary.labels) for dictionary in self.dictionaries]
+    def local_dictionaries(self, limit: int | None = None) -> list[ColumnDictionary]:
+        """The dictionaries, with those of at most ``limit`` labels held on the driver."""
+        limit = self.getLocalLabelLimit() if limit is None else limit
+        found = []
+        for name, dictionary in zip(self.in_out_columns()[0], self.dictionaries):
+            if dictionary.size > limit:
+                raise ValueError(
+                    f"Column {name} has {dictionary.size} labels and the limit is {limit}. Raise it, "
+                    "or use dictionary_table()."
+                )
+            found.append(dictionary.on_driver())
+        return found
+
+    def labels_array(self, limit: int | None = None) -> list[list[str]]:
+        """The labels of each column in the order of their indices, as lists; an error if there are
+        more than ``limit``, or than ``localLabelLimit`` if none is given."""
+        return [list(dictionary.labels) for dictionary in self.local_dictionaries(limit)]
 
     @property
     def labelsArray(self) -> list[list[str]]:
@@ -129,10 +142,14 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
     def transformSchema(self, schema: StructType) -> StructType:
         return self.indexed_schema(schema, allow_missing=True)
 
-    def _metadata(self, output: str, dictionary: ColumnDictionary) -> dict:
-        if dictionary.labels is None:
-            return nominal_metadata(output)
-        labels = list(dictionary.labels)
+    def _metadata(self, output: str, i: int) -> dict:
+        """Lists the labels, or tells where they are if there are too many to be listed."""
+        dictionary = self.dictionaries[i]
+        if dictionary.size > self.getMetadataLabelLimit():
+            dictionary = self.dictionaries[i] = dictionary.in_folder(SparkSession.active())
+            told = dictionary.pointer() | {"with_unknown": self.getHandleInvalid() == KEEP}
+            return nominal_metadata(output) | {POINTER: told}
+        labels = list(dictionary.on_driver().labels)
         if self.getHandleInvalid() == KEEP:
             if UNKNOWN in labels:
                 logger.warning("%s is also one of the labels of %s.", UNKNOWN, output)
@@ -172,7 +189,7 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             table = found.table
             helpers += found.helpers
             values[output] = F.expr(found.value).alias(
-                output, metadata=self._metadata(output, self.dictionaries[i])
+                output, metadata=self._metadata(output, i)
             )
         outputs = {output: values[output] for _, output in pairs if output in values}
         if not outputs:
@@ -218,11 +235,9 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
         return ModelReader(cls)
 
     def __repr__(self) -> str:
-        parts = [f"uid={self.uid}", f"handleInvalid={self.getHandleInvalid()}"]
-        if self.isSet(self.stringOrderType):
-            parts.append(f"stringOrderType={self.getStringOrderType()}")
-        if self.isSet(self.inputCols):
-            parts.append(f"numInputCols={len(self.getInputCols())}")
-        if self.isSet(self.outputCols):
-            parts.append(f"numOutputCols={len(self.getOutputCols())}")
-        return f"LabelIndexerModel: {', '.join(parts)}"
+        inputs, outputs = self.in_out_columns()
+        columns = [
+            f"{name} -> {output} ({dictionary.size} labels)"
+            for name, output, dictionary in zip(inputs, outputs, self.dictionaries)
+        ]
+        return f"LabelIndexerModel({', '.join(columns)}; {self.getHandleInvalid()})"

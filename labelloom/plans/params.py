@@ -18,6 +18,9 @@ from labelloom.functions.names import (
 from labelloom.operators.lookup import BROADCAST_BYTES, ERROR, POLICIES
 from labelloom.operators.ranking import FREQUENCY_DESC, ORDERS
 
+#: Beside ``ml_attr`` in the metadata of an index column: where a dictionary too long for it is.
+POINTER = "labelloom"
+
 
 def one_of(choices: Sequence[str]) -> Callable[[str], str]:
     def convert(value: str) -> str:
@@ -57,8 +60,15 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
     localLabelLimit = Param(
         Params._dummy(),
         "localLabelLimit",
-        "A dictionary of at most this many labels is held on the driver and listed in the "
-        "metadata of the index column; a larger one stays a table.",
+        "A dictionary of at most this many labels is held on the driver; a larger one stays a "
+        "table.",
+        typeConverter=TypeConverters.toInt,
+    )
+    metadataLabelLimit = Param(
+        Params._dummy(),
+        "metadataLabelLimit",
+        "At most this many labels are listed in the metadata of an index column, which every file "
+        "written from it repeats; for more labels the metadata names a folder with the dictionary.",
         typeConverter=TypeConverters.toInt,
     )
     broadcastLimit = Param(
@@ -74,6 +84,7 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
             handleInvalid=ERROR,
             stringOrderType=FREQUENCY_DESC,
             localLabelLimit=10_000,
+            metadataLabelLimit=1_000,
             broadcastLimit=BROADCAST_BYTES,
         )
 
@@ -86,6 +97,9 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
     def getLocalLabelLimit(self) -> int:
         return self.getOrDefault(self.localLabelLimit)
 
+    def getMetadataLabelLimit(self) -> int:
+        return self.getOrDefault(self.metadataLabelLimit)
+
     def getBroadcastLimit(self) -> int:
         return self.getOrDefault(self.broadcastLimit)
 
@@ -101,6 +115,9 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
     def setLocalLabelLimit(self, value: int):
         return self._set(localLabelLimit=value)
 
+    def setMetadataLabelLimit(self, value: int):
+        return self._set(metadataLabelLimit=value)
+
     def setBroadcastLimit(self, value: int):
         return self._set(broadcastLimit=value)
 

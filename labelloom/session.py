@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHARED_DIR = "labelloom.shared.dir"
 
 
 def local_session(cores: str = "*", app_name: str = "labelloom", **settings: str) -> SparkSession:
@@ -30,21 +30,25 @@ def local_session(cores: str = "*", app_name: str = "labelloom", **settings: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or else in ``labelloom.shared.dir``.
 
-    Only a session on one machine may do without the setting; it then gets a temporary one.
+    The second is a setting of a running session, for those started without the first.
     """
-    folder = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            f"Set {_CHECKPOINT_DIR} to a folder that the driver and all executors share."
-        )
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="labelloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    for setting in (_CHECKPOINT_DIR, SHARED_DIR):
+        if folder := spark.conf.get(setting, None):
+            return folder.rstrip("/")
+    raise RuntimeError(
+        f"Set {_CHECKPOINT_DIR}, or {SHARED_DIR} in a running session, to a folder that the driver "
+        "and all executors share."
+    )
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path not used before inside the shared folder."""
     return f"{shared_folder(spark)}/labelloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, wherever its file system is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

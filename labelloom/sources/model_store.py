@@ -5,7 +5,7 @@ layouts of ``data`` are read, told apart by their columns:
 
 - ``(column, label, n, idx)``: one row per label, for dictionaries of any size; ``column`` is the
   number of the input column;
-- ``labelsArray array<array<string>>``: a single row;
+- ``labelsArray array<array<string>>``: a single row, with ``countsArray`` beside it if we wrote it;
 - ``labels array<string>``: a single row for a single column, as written before Spark 3.
 
 The first one is written unless ``option("layout", "labelsArray")`` asks for the second.
@@ -22,7 +22,7 @@ from labelloom.plans.dictionary import (
     ColumnDictionary,
     collect_dictionaries,
     glance,
-    local_columns,
+    labels_table,
     local_table,
     split_dictionaries,
     stored_dictionaries,
@@ -48,9 +48,16 @@ class ModelWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         layout = self.optionMap.get("layout", TABLE_LAYOUT)
         if layout.lower() == ARRAY_LAYOUT.lower():
-            arrays = self.model.labels_array()
-            kind = pa.list_(pa.list_(pa.string()))
-            data = local_table(self.sparkSession, labelsArray=pa.array([arrays], kind))
+            # counts are in a column of their own, which other readers of this layout ignore
+            dictionaries = self.model.local_dictionaries()
+            counts = [list(d.counts or [None] * d.size) for d in dictionaries]
+            data = local_table(
+                self.sparkSession,
+                labelsArray=pa.array(
+                    [[list(d.labels) for d in dictionaries]], pa.list_(pa.list_(pa.string()))
+                ),
+                countsArray=pa.array([counts], pa.list_(pa.list_(pa.int64()))),
+            )
         elif layout == TABLE_LAYOUT:
             data = self._dictionary_rows()
         else:
@@ -61,14 +68,8 @@ class ModelWriter(MLWriter):
     def _dictionary_rows(self) -> DataFrame:
         """All dictionaries as one table; those on the driver make up a single part of it."""
         numbered = list(enumerate(self.model.dictionaries))
-        few = [(i, d) for i, d in numbered if d.labels is not None]
-        data = local_table(
-            self.sparkSession,
-            column=pa.array([str(i) for i, d in few for _ in d.labels], pa.string()),
-            label=pa.array([label for _, d in few for label in d.labels], pa.string()),
-            n=pa.array([n for _, d in few for n in d.counts or [None] * d.size], pa.int64()),
-            idx=pa.array([k for _, d in few for k in range(d.size)], pa.float64()),
-        )
+        few = [(str(i), d) for i, d in numbered if d.labels is not None]
+        data = labels_table(self.sparkSession, "column", few)
         for i, dictionary in numbered:
             if dictionary.labels is None:
                 data = data.unionByName(
@@ -98,15 +99,20 @@ class ModelReader(MLReader):
         if "label" in data.columns:
             return data.select(F.col("column").alias("col_name"), "label", "n", "idx")
         if "labelsArray" in data.columns:
-            arrays = data.select(F.posexplode("labelsArray").alias("column", "labels"))
+            counted = "countsArray" in data.columns
+            counts = F.get("countsArray", "column") if counted else F.lit(None)
+            arrays = data.select("*", F.posexplode("labelsArray").alias("column", "labels"))
+            arrays = arrays.select("column", "labels", counts.cast("array<bigint>").alias("counts"))
         elif "labels" in data.columns:
-            arrays = data.select(F.lit(0).alias("column"), "labels")
+            none = F.lit(None).cast("array<bigint>")
+            arrays = data.select(F.lit(0).alias("column"), "labels", none.alias("counts"))
         else:
             raise ValueError(f"No dictionary in columns {data.columns}.")
-        return arrays.select("column", F.posexplode("labels").alias("idx", "label")).select(
+        labels = arrays.select("column", "counts", F.posexplode("labels").alias("idx", "label"))
+        return labels.select(
             F.col("column").cast("string").alias("col_name"),
             "label",
-            F.lit(None).cast("bigint").alias("n"),
+            F.get("counts", "idx").alias("n"),
             F.col("idx").cast("double").alias("idx"),
         )
 
@@ -116,8 +122,8 @@ class ModelReader(MLReader):
         if few is not None:
             loaded = split_dictionaries(few)
         else:
-            found = summarize(rows)
-            local = local_columns(found, local_limit)
+            found = summarize(rows, given=True)
+            local = [c for c in found if found[c]["size"] <= local_limit]
             loaded = stored_dictionaries(rows, {c: found[c] for c in found if c not in local})
             if local:
                 loaded |= collect_dictionaries(rows.where(F.col("col_name").isin(local)))

@@ -68,10 +68,10 @@ def test_golden_on_dotted_column(nested, name):
         ("location.latitude", "int"),
         ("salary", "int"),
     ]
-    stages = Pipeline(stages=[LabelIndexer(inputCol=name, outputCol="longitutdee")])
+    stages = Pipeline(stages=[LabelIndexer(inputCol=name, outputCol="longitude_idx")])
     result = stages.fit(flat).transform(flat)
-    assert result.columns == [*flat.columns, "longitutdee"]
-    assert [r.longitutdee for r in result.collect()] == GOLDEN
+    assert result.columns == [*flat.columns, "longitude_idx"]
+    assert [r.longitude_idx for r in result.collect()] == GOLDEN
 
 
 def test_golden_after_rename(nested, tmp_path):
@@ -79,15 +79,15 @@ def test_golden_after_rename(nested, tmp_path):
     stages = Pipeline(
         stages=[
             ColumnRenamer(inputCol="location.longitude", outputCol="location_longitude"),
-            LabelIndexer(inputCol="location_longitude", outputCol="longitutdee"),
+            LabelIndexer(inputCol="location_longitude", outputCol="longitude_idx"),
         ]
     )
     stages.write().overwrite().save(f"{tmp_path}/stages")
     fitted = Pipeline.load(f"{tmp_path}/stages").fit(flat)
     fitted.write().overwrite().save(f"{tmp_path}/fitted")
     result = PipelineModel.load(f"{tmp_path}/fitted").transform(flat)
-    assert result.columns == ["location_longitude", "location.latitude", "salary", "longitutdee"]
-    assert [r.longitutdee for r in result.collect()] == GOLDEN
+    assert result.columns == ["location_longitude", "location.latitude", "salary", "longitude_idx"]
+    assert [r.longitude_idx for r in result.collect()] == GOLDEN
 
 
 @pytest.mark.parametrize(
@@ -112,7 +112,7 @@ def test_label_orders(spark, order, labels, limit):
     if limit:
         assert model.labels_array() == [list(labels)]
     else:
-        with pytest.raises(ValueError, match="dictionary_table"):
+        with pytest.raises(ValueError, match="has 4 labels and the limit is 0"):
             model.labels_array()
 
 

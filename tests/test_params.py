@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from labelloom import ColumnRenamer, IndexToLabel, LabelIndexer, LabelIndexerModel
@@ -109,9 +110,15 @@ def test_metadata(df):
     assert kept.schema["i"].metadata["ml_attr"]["vals"] == ["a", "b", "__unknown"]
     assert model.getHandleInvalid() == "error"
     table = LabelIndexer(inputCol="s", outputCol="i", localLabelLimit=1).fit(df).transform(df)
-    assert table.schema["i"].metadata == {"ml_attr": {"type": "nominal", "name": "i"}}
-    with pytest.raises(ValueError, match="lists none"):
-        IndexToLabel(inputCol="i", outputCol="back").transform(table)
+    assert table.schema["i"].metadata == model.transform(df).schema["i"].metadata
+    told = LabelIndexer(inputCol="s", outputCol="i", metadataLabelLimit=1).fit(df).transform(df)
+    metadata = told.schema["i"].metadata
+    assert metadata["ml_attr"] == {"type": "nominal", "name": "i"}
+    assert metadata["labelloom"]["size"] == 2
+    assert IndexToLabel(inputCol="i", outputCol="back").transform(told).where("back <> s").count() == 0
+    bare = df.select(F.lit(0.0).alias("i"))
+    with pytest.raises(ValueError, match="tells of none"):
+        IndexToLabel(inputCol="i", outputCol="back").transform(bare)
 
 
 def test_metadata_is_read_by_spark(df):
@@ -173,10 +180,7 @@ def test_copies_and_description(df):
     model = indexer.fit(df, {indexer.stringOrderType: "alphabetDesc"})
     assert model.uid == indexer.uid
     assert model.labels_array() == [["b", "a"]]
-    assert repr(model) == (
-        f"LabelIndexerModel: uid={model.uid}, handleInvalid=error, "
-        "stringOrderType=alphabetDesc, numInputCols=1, numOutputCols=1"
-    )
+    assert repr(model) == "LabelIndexerModel(s -> i (2 labels); error)"
 
 
 def test_inverse_checks(df):

@@ -50,7 +50,10 @@ def test_model_round_trip(df, tmp_path, layout):
     if layout == "table":
         assert stored.columns == ["column", "label", "n", "idx"]
     else:
-        assert stored.dtypes == [("labelsArray", "array<array<string>>")]
+        assert stored.dtypes == [
+            ("labelsArray", "array<array<string>>"),
+            ("countsArray", "array<array<bigint>>"),
+        ]
         assert stored.count() == 1
     with pytest.raises(Exception, match="already exists"):
         model.save(f"{tmp_path}/m")
