@@ -17,10 +17,11 @@ those that repeat within blocks often enough are sent to all tasks, the most fre
 ``FREQUENT_SHINGLES`` at most.
 
 Under each key one set is the pivot, and the others are compared with it first: a group of thousands
-of near copies is linked by as many comparisons. Only sets that share a key and are not connected by
-then are compared with each other. Nothing is left out. A pair is dropped when its overlap is bound too
-low: shared shingles that are not among its shared single keys come, in one of the sets, after the
-last of these. Of the other pairs, sets of half hashes are intersected, which finds no fewer common
+of near copies is linked by as many comparisons. The first pivot is the set with the smallest share of
+shingles that only it has, which the original of many copies is. Only sets that share a key and are not
+connected by then are compared with each other. Nothing is left out. A pair is dropped when its overlap
+is bound too low: by the shingles that either set has for itself, and as shared shingles that are not
+among its shared single keys come, in one of the sets, after the last of these. Of the other pairs, sets of half hashes are intersected, which finds no fewer common
 shingles than there are, and where those suffice whole sets are.
 """
 
@@ -277,6 +278,17 @@ class _Comparer:
         )
 
 
+def _usable(shared: DataFrame) -> DataFrame:
+    """``(of, usable)``: how many shingles of a set may be in others, as their keys tell."""
+    found = shared.groupBy(F.col("set_id").alias("of")).agg(
+        F.max(F.col("n_shingles") - F.col("singles")).alias("rest"),
+        F.max("n_shingles").alias("n"),
+        F.count(F.when(F.col("position") >= 0, 1)).alias("met"),
+    )
+    usable = F.least(F.col("rest") + F.col("met"), "n").cast("int")
+    return stored(found.select("of", usable.alias("usable")), "usable")
+
+
 def _open_rows(shared: DataFrame, found: DataFrame | None) -> DataFrame:
     """The rows of keys whose sets are not yet all in one component, with that ``component``."""
     if found is None:
@@ -296,18 +308,30 @@ def _open_rows(shared: DataFrame, found: DataFrame | None) -> DataFrame:
     return rows.join(mixed_keys, "key", "left_semi")
 
 
+def _overlap_fits(similarity: int):
+    """Whether two sets ``a`` and ``b`` can have enough in common, by their usable shingles."""
+    most = (100 + similarity) * F.least("usable_a", "usable_b")
+    return most >= similarity * (F.col("n_a") + F.col("n_b"))
+
+
 def _pivot_pairs(rows: DataFrame, similarity: int, turn: int) -> DataFrame:
-    by = F.struct(F.xxhash64("set_id", F.lit(turn)), "set_id", "n_shingles", "component")
+    by = F.xxhash64("set_id", F.lit(turn))
+    if turn == 0:
+        by = F.struct(-F.col("usable") / F.col("n_shingles"), by)
+    by = F.struct(by, "set_id", "n_shingles", "component", "usable")
     pivots = rows.groupBy("key").agg(F.min(by).alias("pivot"))
     joined = rows.join(pivots, "key").select(
         F.col("set_id").alias("a"),
         F.col("n_shingles").alias("n_a"),
         F.col("component").alias("c_a"),
+        F.col("usable").alias("usable_a"),
+        F.col("pivot.usable").alias("usable_b"),
         F.col("pivot.set_id").alias("b"),
         F.col("pivot.n_shingles").alias("n_b"),
         F.col("pivot.component").alias("c_b"),
     )
     fit = joined.where((F.col("c_a") != F.col("c_b")) & _size_fits(similarity, "n_a", "n_b"))
+    fit = fit.where(_overlap_fits(similarity))
     return fit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -319,6 +343,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         F.col("n_shingles").alias(f"n_{s}"),
         F.col("position").alias(f"at_{s}"),
         F.col("singles").alias(f"singles_{s}"),
+        F.col("usable").alias(f"usable_{s}"),
         F.col("component").alias(f"c_{s}"),
     )
     # A pair has the sizes of its sets, so these do not multiply it.
@@ -326,7 +351,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         side("a")
         .join(side("b"), "key")
         .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        .where(_size_fits(similarity, "n_a", "n_b"))
+        .where(_size_fits(similarity, "n_a", "n_b") & _overlap_fits(similarity))
         .groupBy("a", "b", "n_a", "n_b", "singles_a", "singles_b")
         .agg(F.count(F.when(F.col("at_a") >= 0, 1)).alias("shared"))
     )
@@ -390,7 +415,9 @@ def near_groups(
     )
     # Half the bits of a key are enough to drop nearly all that occur once, at half the cost.
     repeated = rows.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
-    shared = stored(rows.join(repeated, "part").drop("part"), "shared")
+    met = stored(rows.join(repeated, "part").drop("part"), "met")
+    usable = _usable(met)
+    shared = stored(met.join(usable, met["set_id"] == usable["of"]).drop("of"), "shared")
     comparer = _Comparer(docs, sets, words, similarity)
     links = comparer.links(_pivot_pairs(_open_rows(shared, None), similarity, 0))
     found = stored(components(links), "components")
