@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from labelloom.llm.work import documents
 
 #: Documents read to find out which words are common.
-SAMPLE_DOCUMENTS = 40_000
+SAMPLE_DOCUMENTS = 50_000
 #: Words sent to every task, about 100 MB in each.
 COMMON_WORDS = 400_000
 DICTIONARY_BYTES = 110 << 10
@@ -105,7 +105,6 @@ def _word_counts(tokenizer):
         for batch in batches:
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 counts.update(split(text))
-        counts = {w: n for w, n in counts.items() if n > 1}
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
             ["word", "n"],
@@ -134,8 +133,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _others(words: list[str], known: dict[str, bytes]) -> dict[str, int]:
     """The distinct words that are not common, numbered as they come."""
-    other = (w for w in dict.fromkeys(words) if w not in known)
-    return {w: k for k, w in enumerate(other)}
+    other = set(words).difference(known)
+    return {w: k for k, w in enumerate(dict.fromkeys(filter(other.__contains__, words)))}
 
 
 def _other_words(tokenizer, common):
@@ -206,9 +205,12 @@ def _replaced(tokenizer, common, dictionary):
             packed, others = batch.column("packed"), batch.column("words")
             for p, told in zip(packed, others, strict=True):
                 words = split(unpack(p.as_py()).decode())
-                ids = {x["place"]: x["ids"] for x in told.as_py() or ()}
-                own = {w: ids[k] for w, k in _others(words, known).items()}
-                found.append(b"".join([known[w] if w in known else own[w] for w in words]))
+                ids = list(map(known.get, words))
+                if None in ids:
+                    sent = {x["place"]: x["ids"] for x in told.as_py()}
+                    own = {w: sent[k] for w, k in _others(words, known).items()}
+                    ids = [own[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+                found.append(b"".join(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"]
             )
