@@ -10,7 +10,8 @@ one of them. A passage goes through
 1. block maxima: for ever smaller blocks of items, the largest weights of the passage's distinct terms
    in each block are summed, for all passages of a chunk at once. Where no sum reaches the threshold,
    no item of any block can;
-2. block-max WAND over the posting lists, which retrieves every item at or above the threshold;
+2. block-max WAND over the posting lists of the other blocks, which retrieves every item at or above
+   the threshold;
 3. verification: the share of the item's five-word shingles, of its question and its answer, that are
    in the passage.
 
@@ -96,10 +97,22 @@ class Index:
                 np.maximum.at(table, (of, where // (-(-len(items) // n) or 1)), weights)
                 self.bounds.append(table)
 
-    def search(self, terms: list[int]) -> list[tuple[int, float]]:
-        """Every (item number, score) at or above the threshold: block-max WAND."""
-        found, end, threshold = [], len(self.item_ids), 1 - 1e-6
-        cursors = [[self.lists[t][0], t, 0] for t in terms]  # item, term, place in its list
+    def search(self, terms: list[int], blocks: list[tuple[int, int]]) -> list[tuple[int, float]]:
+        """Every (item number, score) at or above the threshold in these ranges of item numbers."""
+        found = []
+        for first, end in blocks:
+            cursors = []  # item, term, place in its list
+            for t in terms:
+                items = self.lists[t]
+                place = bisect_left(items, first)
+                if place < len(items) and items[place] < end:
+                    cursors.append([items[place], t, place])
+            found += self._searched(cursors, end)
+        return found
+
+    def _searched(self, cursors: list[list[int]], end: int) -> list[tuple[int, float]]:
+        """Block-max WAND up to the item number ``end``."""
+        found, threshold = [], 1 - 1e-6
         while True:
             cursors.sort()
             bound, pivot = 0.0, None
@@ -134,7 +147,7 @@ class Index:
                 if c[0] < target:
                     items = self.lists[c[1]]
                     c[2] = bisect_left(items, target, c[2])
-                    c[0] = items[c[2]] if c[2] < len(items) else end
+                    c[0] = min(items[c[2]], end) if c[2] < len(items) else end
 
 
 def _part(hasher: Hasher, text: str) -> tuple[int, np.ndarray]:
@@ -166,8 +179,8 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(index: Index, hashes, first):
-    """``(document, first word, last word + 1, distinct terms)`` of the passages that may reach the
-    threshold."""
+    """``(document, first word, last word + 1, distinct terms, ranges of items)`` of the passages that
+    may reach the threshold, and where."""
     step = index.longest
     counts = np.diff(first)
     passages = np.maximum(1, -(-counts // step) - 1)
@@ -188,16 +201,19 @@ def _candidates(index: Index, hashes, first):
     passage, term = np.divmod(keys, n)
     starts = np.flatnonzero(np.diff(passage, prepend=-1))
     for bounds in index.bounds:
-        most = np.add.reduceat(bounds[term], starts, axis=0).max(axis=1)
-        keep = np.repeat(most >= 1 - 1e-4, np.diff(np.append(starts, len(term))))
-        passage, term = passage[keep], term[keep]
+        enough = np.add.reduceat(bounds[term], starts, axis=0) >= 1 - 1e-4
+        some = enough.any(axis=1)
+        keep = np.repeat(some, np.diff(np.append(starts, len(term))))
+        passage, term, enough = passage[keep], term[keep], enough[some]
         if not len(term):
             return
         starts = np.flatnonzero(np.diff(passage, prepend=-1))
-    for p, own in zip(passage[starts], np.split(term, starts[1:]), strict=True):
+    size = -(-len(index.item_ids) // enough.shape[1]) or 1
+    for p, own, good in zip(passage[starts], np.split(term, starts[1:]), enough, strict=True):
         d = int(np.searchsorted(base, p, side="right")) - 1
         a = int(first[d] + (p - base[d]) * step)
-        yield d, a, min(a + 2 * step, int(first[d + 1])), own.tolist()
+        blocks = [(k * size, (k + 1) * size) for k in np.flatnonzero(good).tolist()]
+        yield d, a, min(a + 2 * step, int(first[d + 1])), own.tolist(), blocks
 
 
 def _leaks(shared, overlap: float):
@@ -208,8 +224,8 @@ def _leaks(shared, overlap: float):
             best: dict[tuple[int, int], tuple] = {}
             for row, _, data, offsets in chunks(batch):
                 _, _, hashes, first = hasher.words(data, offsets)
-                for d, a, b, terms in _candidates(index, hashes, first):
-                    for item, score in index.search(terms):
+                for d, a, b, terms, blocks in _candidates(index, hashes, first):
+                    for item, score in index.search(terms, blocks):
                         found, sizes = [], []
                         for size, shingles in index.parts[item]:
                             own = sequences(hashes[a:b], size)
