@@ -35,8 +35,8 @@ from labelloom.llm.work import documents
 
 #: Documents read to find out which words are common.
 SAMPLE_DOCUMENTS = 50_000
-#: Words sent to every task, about 100 MB in each.
-COMMON_WORDS = 400_000
+#: Words sent to every task, below 100 MB in each.
+COMMON_WORDS = 350_000
 DICTIONARY_BYTES = 110 << 10
 #: Rows handled at a time, so that what is made of them stays small.
 ROWS = 512
@@ -255,6 +255,7 @@ def encoded(
     )
     table = counted.mapInArrow(_encoded_words(tokenizer), "word string, ids binary").toPandas()
     common = context.broadcast(dict(zip(table["word"], map(bytes, table["ids"]), strict=True)))
+    del table
     some = [r["text"][:20_000] for r in sample.select("text").limit(2_000).collect()]
     dictionary = context.broadcast(_dictionary(some))
     # Equal rows have the same ``doc``; their places are the same.
