@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.work import stored
+from labelloom.llm.work import small_batches, stored
 
 LIVE_OWNERS = 2
 #: Least bits per character of a string without a known form, and its least length.
@@ -140,6 +140,7 @@ def secrets(
     Null texts are empty, a null owner or repository is one of its own. Rows that repeat a ``doc_id``
     are told apart by a number that the scan gives them. No input: no rows.
     """
+    small_batches(docs.sparkSession)
     named = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: A side is sent to every executor only up to this many rows of a few numbers each (about 8 MB).
 BROADCAST_ROWS = 500_000
+TEXTS_PER_BATCH = 1_000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def folder(spark: SparkSession) -> str:
@@ -26,8 +28,16 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let fewer rows go to Python at a time: whole texts are long, and batches of them are what
+    tasks hold most of. A smaller number that the session already has stays."""
+    if int(spark.conf.get(_BATCH_ROWS)) > TEXTS_PER_BATCH:
+        spark.conf.set(_BATCH_ROWS, TEXTS_PER_BATCH)
+
+
 def documents(df: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone, so that no other column can clash; no text is an empty text."""
+    small_batches(df.sparkSession)
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
