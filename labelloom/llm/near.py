@@ -20,9 +20,10 @@ Under each key one set is the pivot, and the others are compared with it first:
 of near copies is linked by as many comparisons. The first pivot is the set with the smallest share of
 shingles that only it has, which the original of many copies is. Only sets that share a key and are not
 connected by then are compared with each other. Nothing is left out. A pair is dropped when its overlap
-is bound too low: by the shingles that either set has for itself, and as shared shingles that are not
-among its shared single keys come, in one of the sets, after the last of these. Of the other pairs, sets of half hashes are intersected, which finds no fewer common
-shingles than there are, and where those suffice whole sets are.
+is bound too low: by the keys that each of the sets has for itself, and as shared shingles that are not
+among its shared single keys come, in one of the sets, after the last of these. Of the other pairs, sets
+of half hashes are intersected, which finds no fewer common shingles than there are, and where those
+suffice whole sets are.
 """
 
 from __future__ import annotations
@@ -279,7 +280,8 @@ class _Comparer:
 
 
 def _usable(shared: DataFrame) -> DataFrame:
-    """``(of, usable)``: how many shingles of a set may be in others, as their keys tell."""
+    """``(of, usable)``: how many shingles of a set are keys of others, too, or no keys. Of two sets,
+    this bounds the overlap for the one whose keys end first alone."""
     found = shared.groupBy(F.col("set_id").alias("of")).agg(
         F.max(F.col("n_shingles") - F.col("singles")).alias("rest"),
         F.max("n_shingles").alias("n"),
@@ -309,8 +311,9 @@ def _open_rows(shared: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def _overlap_fits(similarity: int):
-    """Whether two sets ``a`` and ``b`` can have enough in common, by their usable shingles."""
-    most = (100 + similarity) * F.least("usable_a", "usable_b")
+    """Whether two sets ``a`` and ``b`` can have enough in common, by their usable shingles: those of
+    the set whose keys end first. What the other one's further keys share may be no key of this set."""
+    most = (100 + similarity) * F.greatest("usable_a", "usable_b")
     return most >= similarity * (F.col("n_a") + F.col("n_b"))
 
 

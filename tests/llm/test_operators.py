@@ -106,6 +106,19 @@ def test_near_links_a_large_group_without_all_pairs(spark):
     assert by_id(near_groups(docs, frequent_from=5)) == brute.near(rows)
 
 
+def test_near_links_texts_of_different_length(spark):
+    rows = []
+    for k in range(400):
+        n = 40 + k % 160
+        text = [f"t{k}w{i}" for i in range(n)]
+        more = [f"t{k}x{i}" for i in range((n - 4) * (18 + k % 8) // 100)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + more))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute.near(rows)
+    assert sum(d != top for d, (_, top) in expected.items()) == 400
+    assert by_id(near_groups(docs)) == expected
+
+
 @pytest.mark.parametrize("settings", [{}, {"group_regions": 1}, {"span": 30, "gram": 8}])
 def test_repeats(small, odd, settings):
     for docs, rows in (small, odd):
