@@ -2,7 +2,8 @@
 
 The items are the indexed documents of BM25. The threshold of an item is the least score of a passage
 that has enough of the item's shingles to be reported: each missing shingle takes away one word at
-most, so it is the sum of the item's smallest weights without so many of the largest. Weights are
+most, so it is the sum of the item's smallest weights without so many of the largest; but a question or
+an answer that may be missing as a whole takes away all words that only it has. Weights are
 divided by it, and the threshold is 1 for all. Documents are cut into overlapping passages, twice as
 long as the longest item and starting one such length apart, so that any copy of an item is whole in
 one of them. A passage goes through
@@ -60,20 +61,18 @@ class Index:
         self.longest = max((x[1] for x in items), default=1) or 1
         number = {x: k for k, x in enumerate(self.item_ids)}
         hasher = Hasher(ALPHANUMERIC)
-        self.parts = [[_part(hasher, text) for text in x[2:]] for x in items]
+        texts = [[_part(hasher, text) for text in x[2:]] for x in items]
+        self.parts = [[(size, shingles) for size, shingles, _ in x] for x in texts]
         where = np.array([number[x[0]] for x in postings], dtype=np.int64)
         terms = np.array([x[1] for x in postings], dtype=np.int64).view(np.uint64)
         weights = np.array([x[2] for x in postings], dtype=np.float64)
         order = np.argsort(where, kind="stable")
         self.whole = np.bincount(where, weights, minlength=len(items))  # the score of all its terms
         least = np.ones(len(items))
-        for k, own in enumerate(np.split(weights[order], np.cumsum(np.bincount(where))[:-1])):
-            sizes = [len(shingles) for _, shingles in self.parts[k]]
-            missing = int((1 - overlap) * sum(sizes) + 1e-9)
-            # A part of fewer words than a shingle is one shingle, and may be missing as a whole.
-            short = sum(size for size, shingles in self.parts[k] if len(shingles) == 1)
-            missing += short * (missing > 0)
-            least[k] = np.sort(own)[: max(1, len(own) - missing)].sum()
+        cuts = np.cumsum(np.bincount(where, minlength=len(items)))[:-1]
+        of_items = zip(np.split(terms[order], cuts), np.split(weights[order], cuts), strict=True)
+        for k, (own, w) in enumerate(of_items):
+            least[k] = _least(own, w, [x[1:] for x in texts[k]], overlap)
         weights = weights / least[where]
         self.whole /= least
         order = np.lexsort((where, terms))
@@ -150,11 +149,28 @@ class Index:
                     c[0] = min(items[c[2]], end) if c[2] < len(items) else end
 
 
-def _part(hasher: Hasher, text: str) -> tuple[int, np.ndarray]:
+def _least(terms: np.ndarray, weights: np.ndarray, parts: list[tuple], overlap: float) -> float:
+    """The least score of a passage with so much of an item. ``parts``: (shingles, terms)."""
+    missing = int((1 - overlap) * sum(len(shingles) for shingles, _ in parts) + 1e-9)
+
+    def without_largest(w: np.ndarray, n: int) -> float:
+        return float(np.sort(w)[: max(1, len(w) - n)].sum())
+
+    least = without_largest(weights, missing)  # no part is missing as a whole
+    for k, (shingles, _) in enumerate(parts):
+        others = [own for j, (_, own) in enumerate(parts) if j != k]
+        left = np.isin(terms, np.concatenate(others)) if others else np.zeros(len(terms), dtype=bool)
+        if len(shingles) <= missing and left.any():
+            least = min(least, without_largest(weights[left], missing - len(shingles)))
+    return least
+
+
+def _part(hasher: Hasher, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """``(words in a shingle, shingles, terms)``, each once."""
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     hashes = hasher.words(data, np.array([0, len(data)]))[2]
     size = min(SHINGLE_WORDS, len(hashes)) or 1
-    return size, np.unique(sequences(hashes, size))
+    return size, np.unique(sequences(hashes, size)), np.unique(hashes)
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

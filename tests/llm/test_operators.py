@@ -277,3 +277,27 @@ def test_decontaminate_finds_parts_of_items(spark):
     found = {r["doc_id"]: r for r in leaked_items(docs, items).collect()}
     assert found.keys() == {0, 1}
     assert found[0]["score"] == pytest.approx(1) and found[0]["answer_overlap"] == 1
+
+
+def test_decontaminate_finds_items_without_a_whole_part(spark):
+    items, texts, expected = [], [], set()
+    for size in range(2, 9):  # shingles of the part that is missing
+        for swapped in (False, True):
+            k = len(items)
+            # The words of the part are rarer than those of the rest, so they weigh more.
+            rest = " ".join(f"common{i}" for i in range(4 * size + 4))
+            part = " ".join(f"k{k}p{i}" for i in range(size + 4))
+            items.append((k, part, rest) if swapped else (k, rest, part))
+            texts.append(f"{rest} k{k}end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, question string, answer string")
+    grams = lambda text: brute.shingles(text.split())
+    for d, text in enumerate(texts):
+        for k, question, answer in items:
+            parts = [grams(question), grams(answer)]
+            both = sum(len(p & grams(text)) for p in parts)
+            if 5 * both >= 4 * sum(map(len, parts)):
+                expected.add((d, k))
+    assert {(k, k) for k in range(len(items))} <= expected
+    found = {(r["doc_id"], r["item_id"]) for r in leaked_items(docs, table).collect()}
+    assert found == expected
