@@ -16,6 +16,7 @@ from labelloom.llm.quality import quality_sample
 from labelloom.llm.repeats import without_repeats
 from labelloom.llm.secrets import secrets
 from labelloom.llm.toxicity import toxicity, train
+from labelloom.llm.whitening import whiten
 from labelloom.llm.work import read_table
 
 
@@ -78,6 +79,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_repeats": op10_repeats,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE_SQL = {
