@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.llm.crosstoken import aligned
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import exact_groups
@@ -83,6 +84,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return aligned(read_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -95,6 +101,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_repeats": op10_repeats,
     "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLE_SQL = {
