@@ -11,6 +11,7 @@ from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import exact_groups
 from labelloom.llm.lm import katz_scores
+from labelloom.llm.minmax import min_max_groups
 from labelloom.llm.near import near_groups
 from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import quality_sample
@@ -89,6 +90,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(read_table(spark, sf_dir, "documents"), a, b)
 
 
+def op13_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return min_max_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -102,6 +107,7 @@ QUERIES = {
     "op10_repeats": op10_repeats,
     "op11_whitening": op11_whitening,
     "op12_alignment": op12_alignment,
+    "op13_min_max": op13_min_max,
 }
 
 ORACLE_SQL = {

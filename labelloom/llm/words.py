@@ -1,8 +1,9 @@
 """Words and their hashes, for many texts at once.
 
-Texts are handled as the UTF-8 bytes of a chunk of documents. A hash is 64 bits wide: among a
-billion distinct words or shingles two differ but collide with a probability of about 3 %, and
-where a collision would change a result the operators compare what was hashed.
+Texts are handled as the UTF-8 bytes of a chunk of documents. The hash of a word is the sum of a
+random number for each letter at its place, so no two words collide whatever those numbers are. A hash
+is 64 bits wide: among a billion distinct words or shingles two differ but collide with a probability
+of about 3 %.
 """
 
 from __future__ import annotations
@@ -41,18 +42,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _random(at: np.ndarray) -> np.ndarray:
+    """The number of a letter at a place; ``at`` is ``256 * place + letter``."""
+    return mixed((at.astype(np.uint64) + np.uint64(1)) * np.uint64(_FACTOR))
+
+
+#: Those of the first 32 places.
+_NEAR = _random(np.arange(32 << 8))
+
+
 class Hasher:
-    """Hashes of words; keeps the powers that it needs, so one serves a whole task."""
+    """Hashes of words; keeps the sums of those found last."""
 
     def __init__(self, kinds: np.ndarray = BY_SPACE) -> None:
         self._kinds = kinds
-        self._letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
-        self._up = self._down = np.ones(1, dtype=np.uint64)
-
-    def _ready(self, n: int) -> None:
-        if len(self._up) <= n:
-            n = max(n, CHUNK_BYTES)
-            self._up, self._down = _powers(_FACTOR, n), _powers(_INVERSE, n)
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
         """``(starts, ends, hashes, first)`` of the words (``[^\\x20\\x09-\\x0D]+`` if nothing else was
@@ -73,19 +76,24 @@ class Hasher:
         word = kind != 0
         starts = np.flatnonzero(word & opens)
         ends = np.flatnonzero(word & closes) + 1
-        self._ready(n)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self._letters[_LOWER[data]] * self._up[:n], out=sums[1:])
-        self._sums = sums
-        hashes = mixed((sums[ends] - sums[starts]) * self._down[starts])
+        sizes = ends - starts
+        self._first = np.cumsum(sizes) - sizes  # of each word, among the letters of all words
+        letters = _LOWER[data[word]]
+        at = (np.arange(len(letters)) - np.repeat(self._first, sizes)) << 8 | letters
+        far = np.flatnonzero(at >= len(_NEAR))
+        numbers = _NEAR.take(at, mode="clip")
+        numbers[far] = _random(at[far])
+        self._sums = np.zeros(len(letters) + 1, dtype=np.uint64)
+        np.cumsum(numbers, out=self._sums[1:])
+        hashes = mixed(self._sums[self._first + sizes] - self._sums[self._first])
         return starts, ends, hashes, np.searchsorted(starts, offsets)
 
     def heads(self, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
         """Hashes, unlike those of words, of the first ``size`` bytes of the words found last."""
         if not len(starts):
             return np.zeros(0, dtype=np.uint64)
-        cut = np.minimum(ends, starts + size)
-        return mixed((self._sums[cut] - self._sums[starts]) * self._down[starts] + np.uint64(1))
+        cut = self._first + np.minimum(ends - starts, size)
+        return mixed(self._sums[cut] - self._sums[self._first] + np.uint64(1))
 
 
 def sequences(hashes: np.ndarray, size: int) -> np.ndarray:
