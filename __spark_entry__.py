@@ -389,6 +389,74 @@ def q_stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(output).select("event_id", "type_idx")
 
 
+def q_stream_high_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream and a dictionary in buckets: as a join of the stream, and batch by batch."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    model = LabelIndexer(
+        inputCol="l_orderkey",
+        outputCol="order_idx",
+        handleInvalid="keep",
+        localLabelLimit=0,
+        broadcastLimit=0,
+    ).fit(lineitem.where("l_linenumber > 3"))
+    stream = spark.readStream.schema(lineitem.schema).parquet(f"{sf_dir}/lineitem*.parquet")
+    parts = []
+    for way, by_batch in (("joined", False), ("by batch", True)):
+        output = new_folder(spark, "stream")
+        transform_stream(
+            model,
+            stream.select("l_orderkey", "l_linenumber"),
+            output,
+            new_folder(spark, "stream-checkpoint"),
+            available_now=True,
+            by_batch=by_batch,
+        ).awaitTermination()
+        written = spark.read.parquet(output)
+        parts.append(written.select(F.lit(way).alias("way"), "l_orderkey", "l_linenumber", "order_idx"))
+    return parts[0].union(parts[1])
+
+
+def q_transform_hot_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loaded dictionary without counts; one value that it does not have in a third of the rows."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    learned = LabelIndexer(inputCol="l_orderkey", outputCol="order_idx", localLabelLimit=0)
+    known = learned.fit(lineitem.where("l_linenumber > 3")).dictionary_table()
+    path = new_folder(spark, "model")
+    settings = {"inputCol": "l_orderkey", "outputCol": "order_idx", "handleInvalid": "keep"}
+    LabelIndexerModel.from_labels([], localLabelLimit=0, broadcastLimit=0, **settings).write().save(path)
+    rows = known.select(F.lit("0").alias("column"), "label", F.lit(None).cast("long").alias("n"), "idx")
+    rows.write.mode("overwrite").parquet(f"{path}/data")
+    model = LabelIndexerModel.load(path).in_buckets()
+    hot = F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey"))
+    return model.transform(lineitem.withColumn("l_orderkey", hot)).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "order_idx"
+    )
+
+
+def q_transform_check_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values are checked in a pass of its own, so the filter after the stage reaches the files."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    model = LabelIndexer(
+        inputCols=["l_partkey", "l_returnflag"],
+        outputCols=["part_idx", "flag_idx"],
+        stringOrderType="alphabetAsc",
+        checkFirst=True,
+    ).fit(lineitem)
+    indexed = model.transform(lineitem).where("l_quantity < 10")
+    return indexed.select("l_orderkey", "l_linenumber", "part_idx", "flag_idx")
+
+
+def q_label_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty columns at once: the remainders of two keys by thirty numbers."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    columns = [
+        (F.col(key) % (k + 2)).cast("string" if k % 2 else "long").alias(f"{key}_{k + 2}")
+        for key in ("l_orderkey", "l_partkey")
+        for k in range(30)
+    ]
+    return label_counts(lineitem.select(*columns), [f"{key}_{k + 2}" for key in ("l_orderkey", "l_partkey") for k in range(30)])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: index two columns of ``lineitem`` at once."""
     return q_transform_multi(spark, SMOKE_DIR)
@@ -434,6 +502,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "save_load": q_save_load,
         "save_load_arrays": q_save_load_arrays,
         "stream_transform": q_stream_transform,
+        "stream_high_cardinality": q_stream_high_cardinality,
+        "transform_hot_unseen": q_transform_hot_unseen,
+        "transform_check_first": q_transform_check_first,
+        "label_counts_wide": q_label_counts_wide,
     }
 
 
@@ -566,4 +638,34 @@ def oracle_sql() -> dict[str, str]:
         "save_load": flag_index,
         "save_load_arrays": flag_index,
         "stream_transform": given_labels,
+        "stream_high_cardinality": f"""
+            WITH d AS ({late_orders}),
+                 r AS (SELECT l_orderkey, l_linenumber,
+                              COALESCE(d.idx, (SELECT CAST(COUNT(*) AS DOUBLE) FROM d)) AS order_idx
+                       FROM lineitem LEFT JOIN d ON CAST(l_orderkey AS VARCHAR) = d.label)
+            SELECT 'joined' AS way, * FROM r
+            UNION ALL
+            SELECT 'by batch', * FROM r""",
+        "transform_hot_unseen": f"""
+            WITH d AS ({late_orders}),
+                 t AS (SELECT * REPLACE (CASE WHEN l_returnflag = 'N' THEN -1 ELSE l_orderkey END
+                                         AS l_orderkey)
+                       FROM lineitem)
+            SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                   COALESCE(d.idx, (SELECT CAST(COUNT(*) AS DOUBLE) FROM d)) AS order_idx
+            FROM t LEFT JOIN d ON CAST(l_orderkey AS VARCHAR) = d.label""",
+        "transform_check_first": f"""
+            WITH a AS ({_dictionary("lineitem", "l_partkey", "label")}),
+                 b AS ({_dictionary("lineitem", "l_returnflag", "label")})
+            SELECT l_orderkey, l_linenumber, a.idx AS part_idx, b.idx AS flag_idx
+            FROM lineitem
+            JOIN a ON CAST(l_partkey AS VARCHAR) = a.label
+            JOIN b ON l_returnflag = b.label
+            WHERE l_quantity < 10""",
+        "label_counts_wide": " UNION ALL ".join(
+            f"SELECT '{key}_{k + 2}' AS col_name, CAST({key} % {k + 2} AS VARCHAR) AS label, COUNT(*) AS n "
+            "FROM lineitem GROUP BY 2"
+            for key in ("l_orderkey", "l_partkey")
+            for k in range(30)
+        ),
     }

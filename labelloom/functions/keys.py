@@ -36,15 +36,14 @@ def is_float(data_type: DataType) -> bool:
 def require_label_type(name: str, data_type: DataType) -> None:
     if not isinstance(data_type, (StringType, NumericType)):
         raise ValueError(
-            f"The input column {name} must be either string type or numeric type, "
-            f"but got {data_type.simpleString()}."
+            f"Column {name} is of type {data_type.simpleString()}; labels are strings or numbers."
         )
 
 
 def require_index_type(name: str, data_type: DataType) -> None:
     if not isinstance(data_type, NumericType):
         raise ValueError(
-            f"The input column {name} must be a numeric type, but got {data_type.simpleString()}."
+            f"Column {name} is of type {data_type.simpleString()}; an index is a number."
         )
 
 
@@ -57,6 +56,11 @@ def label_text(value: Column, data_type: DataType) -> Column:
     return value.cast("string")
 
 
+def value_text(value: str, data_type: DataType) -> str:
+    """How the table value ``value`` prints, which is the label that it is looked up by."""
+    return value if isinstance(data_type, StringType) else f"CAST({value} AS STRING)"
+
+
 def value_keys(value: str, data_type: DataType) -> list[str]:
     """What the table value ``value`` is looked up by; the first key is null for a null value."""
     if isinstance(data_type, IntegralType):

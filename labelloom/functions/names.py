@@ -60,7 +60,7 @@ def find_field(schema: StructType, name: str, case_sensitive: bool = False) -> S
 def require_field(schema: StructType, name: str, case_sensitive: bool = False) -> StructField:
     field = find_field(schema, name, case_sensitive)
     if field is None:
-        raise ValueError(f"Input column {unquote(name)} does not exist.")
+        raise ValueError(f"Column {unquote(name)} does not exist.")
     return field
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from labelloom.functions import sql
 from labelloom.functions.names import quote
-from labelloom.operators.lookup import BROADCAST_BYTES, UNKNOWN, Lookup, join_dictionary
+from labelloom.operators.lookup import BROADCAST_BYTES, UNKNOWN, Lookup, join_places
 from labelloom.plans.dictionary import ColumnDictionary
 
 ARRAY_LABELS = 1_000
@@ -23,7 +23,7 @@ def _in_range(index: str, size: int) -> str:
 
 def _checked(index: str, size: int, label: str) -> str:
     """``label`` for an index in range; null for null, and an error for any other."""
-    error = sql.fail(f"concat('Unseen index: ', CAST({index} AS STRING), ' ??')", "STRING")
+    error = sql.fail(f"concat('Unseen index: ', CAST({index} AS STRING))", "STRING")
     return f"CASE WHEN {_in_range(index, size)} THEN {label} WHEN {index} IS NOT NULL THEN {error} END"
 
 
@@ -53,15 +53,12 @@ def label_column(
     if dictionary.is_listed(array_labels, ARRAY_BYTES):
         labels = [*dictionary.labels, UNKNOWN] if with_unknown else dictionary.labels
         return Lookup(table, label_from_list(index, labels))
-    found = join_dictionary(
+    found = join_places(
         table,
-        [_whole(index, dictionary.size, "BIGINT")],
+        _whole(index, dictionary.size, "BIGINT"),
         dictionary,
-        ["CAST(idx AS BIGINT)"],
-        "label",
         tag=tag,
         broadcast_bytes=broadcast_bytes,
-        by_position=True,
     )
     label = f"coalesce({found.value}, {sql.text(UNKNOWN)})" if with_unknown else found.value
     found.value = _checked(index, dictionary.size + with_unknown, label)

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelloom.functions import sql
+
 FREQUENCY_DESC = "frequencyDesc"
 FREQUENCY_ASC = "frequencyAsc"
 ALPHABET_DESC = "alphabetDesc"
@@ -35,17 +42,17 @@ def rank_by_window(counts: DataFrame, order: str) -> DataFrame:
     return counts.select("col_name", "label", "n", idx.alias("idx"))
 
 
-def rank_by_range(counts: DataFrame, order: str, path: str) -> DataFrame:
-    """Number the labels of columns that may have any number of them.
+@contextmanager
+def ranked_by_range(counts: DataFrame, order: str) -> Iterator[DataFrame]:
+    """The labels of columns that may have any number of them, numbered as ``(col_name, label, n,
+    idx)``; to be used once, inside the block.
 
-    All labels are sorted across the cluster and written to ``path`` together with the
-    partition and the position they were sorted to. The number of a label is then its
-    position plus the number of labels its column has in earlier partitions. Only those
-    offsets, about one per partition, are collected.
+    All labels are sorted across the cluster. The number of a label is its position in its partition
+    plus the number of labels its column has in earlier partitions. Only these offsets, about one per
+    partition, come to the driver, and they go back as part of an expression.
     """
-    spark = counts.sparkSession
     place = F.monotonically_increasing_id()
-    (
+    placed = (
         counts.orderBy("col_name", *sort_keys(order))
         .withColumn("place", place)
         .select(
@@ -55,21 +62,32 @@ def rank_by_range(counts: DataFrame, order: str, path: str) -> DataFrame:
             F.shiftright("place", _POSITION_BITS).cast("int").alias("part"),
             F.col("place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("pos"),
         )
-        .write.parquet(path)
-    )
-    placed = spark.read.parquet(path)
-    runs = placed.groupBy("col_name", "part").agg(
-        F.count(F.lit(1)).alias("size"), F.min("pos").alias("first")
-    )
-    earlier = (
-        Window.partitionBy("col_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = runs.select(
-        "col_name",
-        "part",
-        (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
-    )
-    offsets = spark.createDataFrame(offsets.toArrow())
-    return placed.join(F.broadcast(offsets), ["col_name", "part"]).select(
-        "col_name", "label", "n", (F.col("pos") + F.col("shift")).cast("double").alias("idx")
+        # sorted once: the positions that are counted are those that are written
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    try:
+        runs = placed.groupBy("col_name", "part").agg(
+            F.count(F.lit(1)).alias("size"), F.min("pos").alias("first")
+        )
+        idx = (F.col("pos") + _shift(runs.toArrow())).cast("double")
+        yield placed.select("col_name", "label", "n", idx.alias("idx"))
+    finally:
+        placed.unpersist()
+
+
+def _shift(runs: pa.Table) -> Column:
+    """What to add to a position, from ``(col_name, part, size, first)``."""
+    shifts: dict[str, tuple[int, list[int]]] = {}
+    earlier = 0
+    for run in runs.sort_by([("col_name", "ascending"), ("part", "ascending")]).to_pylist():
+        if run["col_name"] not in shifts:
+            shifts[run["col_name"]], earlier = (run["part"], []), 0
+        start, own = shifts[run["col_name"]]
+        # a partition between two of the same column may be empty
+        own += [0] * (run["part"] - start - len(own)) + [earlier - run["first"]]
+        earlier += run["size"]
+    shift = F.lit(0)
+    for name, (start, own) in shifts.items():
+        found = F.expr(f"get({sql.array(own, 'bigint')}, part - {start})")
+        shift = F.when(F.col("col_name") == F.lit(name), found).otherwise(shift)
+    return shift

@@ -1,26 +1,27 @@
 """The dictionary of one column: its labels and their indices.
 
 A dictionary is a table ``(label, n, idx)``. What is known of it on the driver is its size.
-Only a dictionary of few labels is also held there as a list.
+Only a dictionary of few labels is also held there as a list. A larger one is written in buckets by
+the hash of its labels, so that a join deals out the other side alone, each time it is used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.operators.counts import label_counts
-from labelloom.operators.ranking import rank_by_range, rank_by_window, sort_keys
-from labelloom.session import delete_folder, new_folder
+from labelloom.operators.ranking import rank_by_window, ranked_by_range, sort_keys
+from labelloom.session import new_folder, scratch
 
-# label counts of a table of at most this size are cached instead of written
-CACHE_BYTES = 256 << 20
+# bytes of entries a task of a join may hold in a hash table
+HASH_BYTES = 64 << 20
+# bytes an entry takes besides its label
+ENTRY_BYTES = 48
 
 # a model of so few and so short labels is recognized by a look at its first rows
 GLANCE_LABELS = 1_000
@@ -40,6 +41,10 @@ class ColumnDictionary:
     name: str | None = None
     # whether a label may be listed more than once in a stored dictionary
     repeats: bool = False
+    # how many buckets the stored rows are in, by their column ``hash``; 0 if they are in none
+    buckets: int = 0
+    # what the stored rows take in memory, where they are only those that one table needs
+    part_bytes: int | None = None
 
     @classmethod
     def of_labels(
@@ -73,6 +78,30 @@ class ColumnDictionary:
             idx=pa.array(range(self.size), pa.float64()),
         )
 
+    @property
+    def entry_bytes(self) -> int:
+        """What the dictionary takes in memory, for looking labels up."""
+        if self.part_bytes is not None:
+            return self.part_bytes
+        return self.text_bytes + self.size * ENTRY_BYTES
+
+    def only(self, hashes: Sequence[int], text_bytes: int) -> ColumnDictionary:
+        """Those of the entries whose label has one of these hashes; of the stored buckets only the
+        ones they are in are read. The labels looked for have ``text_bytes``."""
+        rows = self.stored.where(F.col("hash").isin(list(hashes)))
+        return replace(self, stored=rows, part_bytes=text_bytes + len(hashes) * ENTRY_BYTES)
+
+    def in_buckets(self, spark: SparkSession) -> ColumnDictionary:
+        """The same dictionary, in buckets if it is a table with each label once."""
+        if self.labels is not None or self.repeats or self.buckets:
+            return self
+        rows = self.stored.select(F.lit("0").alias("col_name"), "label", "n", "idx")
+        with scratch(spark) as database:
+            stored, path, buckets = write_buckets(rows, self.entry_bytes, database)
+        about = {"0": {"size": self.size, "text_bytes": self.text_bytes, "occurrences": self.occurrences}}
+        (own,) = stored_dictionaries(stored, about, path, buckets).values()
+        return own
+
     def lookup_rows(self, spark: SparkSession) -> DataFrame:
         """Like :meth:`rows`, with each label once."""
         if self.labels is None:
@@ -149,63 +178,56 @@ def learn_dictionaries(
     Columns of at most ``local_limit`` labels are numbered by a window and brought to the
     driver. The others are sorted across the cluster and stay in a table in the shared folder.
     """
-    with kept(label_counts(df, columns)) as counts:
+    spark = df.sparkSession
+    with scratch(spark) as database:
+        # a lost executor does not mean reading the table again
+        label_counts(df, columns).write.saveAsTable(f"{database}.counts")
+        counts = spark.table(f"{database}.counts")
         few = glance(counts, sort_keys(order), local_limit)
         if few is not None:
             learned = split_dictionaries(few)
         else:
             found = summarize(counts)
             local = [c for c in found if found[c]["size"] <= local_limit]
-            large = [c for c in found if c not in local]
+            large = {c: found[c] for c in found if c not in local}
             learned = {}
             if local:
                 small = counts.where(F.col("col_name").isin(local))
                 learned |= collect_dictionaries(rank_by_window(small, order))
             if large:
-                many = counts.where(F.col("col_name").isin(large))
-                path = write_ranked(many, order)
-                stored = df.sparkSession.read.parquet(path)
-                learned |= stored_dictionaries(stored, {c: found[c] for c in large}, path)
+                many = counts.where(F.col("col_name").isin([*large])) if local else counts
+                needed = sum(f["text_bytes"] + f["size"] * ENTRY_BYTES for f in large.values())
+                with ranked_by_range(many, order) as ranked:
+                    stored, path, buckets = write_buckets(ranked, needed, database)
+                learned |= stored_dictionaries(stored, large, path, buckets)
     return {c: learned.get(c, ColumnDictionary.of_labels([])) for c in columns}
 
 
-@contextmanager
-def kept(counts: DataFrame) -> Iterator[DataFrame]:
-    """``counts``, computed once for all that is done with them.
+def shuffle_partitions(spark: SparkSession) -> int:
+    set_to = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(set_to) if set_to.isdigit() else 200
 
-    They are written to the shared folder, so that a lost executor does not mean reading the
-    table behind them again. For a table that is soon read again they are only cached.
+
+def write_buckets(rows: DataFrame, needed: int, database: str) -> tuple[DataFrame, str, int]:
+    """``rows``, ``(col_name, label, n, idx)`` of dictionaries that take ``needed`` bytes, written in
+    buckets by the hash of the label: the table with that ``hash``, its folder, and how many buckets
+    there are.
+
+    A task of a join has one bucket, so there are as many as a shuffle has partitions, and more if a
+    hash table would be too large. ``database`` is needed to write them, not to read them.
     """
-    if estimated_bytes(counts) > CACHE_BYTES:
-        path = new_folder(counts.sparkSession, "counts")
-        try:
-            counts.write.parquet(path)
-            yield counts.sparkSession.read.schema(counts.schema).parquet(path)
-        finally:
-            delete_folder(counts.sparkSession, path)
-        return
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield counts
-    finally:
-        counts.unpersist()
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """What Spark expects ``df`` to take at most; a very large number if it cannot tell."""
-    statistics = df._jdf.queryExecution().optimizedPlan().stats()
-    return statistics.sizeInBytes()
-
-
-def write_ranked(counts: DataFrame, order: str) -> str:
-    """Number the labels of large columns; the folder with ``(col_name, label, n, idx)``."""
-    spark = counts.sparkSession
-    path, unfinished = new_folder(spark, "dictionary"), new_folder(spark, "sorted")
-    try:
-        rank_by_range(counts, order, unfinished).write.parquet(path)
-    finally:
-        delete_folder(spark, unfinished)
-    return path
+    spark = rows.sparkSession
+    buckets = max(shuffle_partitions(spark), -(-needed // HASH_BYTES))
+    path, name = new_folder(spark, "dictionary"), f"{database}.dictionary"
+    (
+        rows.withColumn("hash", F.xxhash64("label"))
+        .repartition(buckets, "hash")
+        .write.bucketBy(buckets, "hash")
+        .sortBy("col_name")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name), path, buckets
 
 
 def summarize(rows: DataFrame, given: bool = False) -> dict[str, dict[str, int]]:
@@ -251,19 +273,21 @@ def split_dictionaries(rows: pa.Table) -> dict[str, ColumnDictionary]:
 
 
 def stored_dictionaries(
-    rows: DataFrame, sizes: dict[str, dict[str, int]], path: str | None = None
+    rows: DataFrame, sizes: dict[str, dict[str, int]], path: str | None = None, buckets: int = 0
 ) -> dict[str, ColumnDictionary]:
     """Dictionaries that stay in the table ``rows`` of ``(col_name, label, n, idx)``, which is found
-    in the folder ``path`` if that is given."""
+    in the folder ``path`` if that is given; in ``buckets`` it has a column ``hash``, too."""
+    columns = ["label", "n", "idx", *(["hash"] if buckets else [])]
     return {
         name: ColumnDictionary(
             size=found["size"],
             text_bytes=found["text_bytes"],
             occurrences=found["occurrences"] or 0,
-            stored=rows.where(F.col("col_name") == name).select("label", "n", "idx"),
+            stored=rows.where(F.col("col_name") == name).select(*columns),
             path=path,
             name=name if path else None,
             repeats=found.get("different", found["size"]) < found["size"],
+            buckets=buckets,
         )
         for name, found in sizes.items()
     }

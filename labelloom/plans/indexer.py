@@ -14,10 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from labelloom.functions.keys import require_index_type
-from labelloom.functions.names import fields_of, is_case_sensitive, require_absent, unquote
+from labelloom.functions.keys import require_index_type, value_text
+from labelloom.functions.names import (
+    fields_of,
+    is_case_sensitive,
+    quote,
+    require_absent,
+    unquote,
+)
 from labelloom.operators.inverse import label_column
-from labelloom.operators.lookup import KEEP, UNKNOWN, index_column, memory_bytes
+from labelloom.operators.lookup import (
+    ERROR,
+    KEEP,
+    NULL_MESSAGE,
+    UNKNOWN,
+    UNSEEN_ADVICE,
+    UNSEEN_MESSAGE,
+    index_column,
+)
 from labelloom.plans.dictionary import ColumnDictionary, labels_table, learn_dictionaries
 from labelloom.plans.params import POINTER, IndexerParams, nominal_metadata
 from labelloom.sources.model_store import ModelReader, ModelWriter
@@ -41,6 +55,8 @@ class LabelIndexer(Estimator, IndexerParams, DefaultParamsReadable, DefaultParam
         localLabelLimit: int | None = None,
         metadataLabelLimit: int | None = None,
         broadcastLimit: int | None = None,
+        hotValues: str | None = None,
+        checkFirst: bool | None = None,
     ):
         super().__init__()
         self._set_defaults()
@@ -156,26 +172,48 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
             labels.append(UNKNOWN)
         return nominal_metadata(output, labels)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        pairs = self.check_columns(dataset.schema, allow_missing=True)
-        if len(pairs) != len(self.dictionaries):
-            raise ValueError(
-                f"The model has dictionaries for {len(self.dictionaries)} columns, "
-                f"but {len(pairs)} input columns are set."
-            )
+    def in_buckets(self) -> LabelIndexerModel:
+        """The same model with its large dictionaries in buckets, as they are after a fit: for one
+        that was loaded and will be used many times."""
+        spark = SparkSession.active()
+        model = self.copy()
+        model.dictionaries = [d.in_buckets(spark) for d in self.dictionaries]
+        return model
+
+    def for_table(self, table: DataFrame, most_labels: int = 10_000) -> LabelIndexerModel:
+        """The same model for this small table alone, such as a batch of a stream.
+
+        The labels of the table are collected first, as hashes. Of a dictionary in buckets only those
+        entries are read then, from the buckets they are in, and they are few enough for a broadcast.
+        A column with more than ``most_labels`` different labels uses the whole dictionary.
+        """
+        dictionaries = list(self.dictionaries)
+        for i, (field, _) in enumerate(self.check_columns(table.schema, allow_missing=True)):
+            large = dictionaries[i].entry_bytes > self.getBroadcastLimit()
+            if field is None or not dictionaries[i].buckets or not large:
+                continue
+            label = value_text(quote(field.name), field.dataType)
+            label_hashes = table.selectExpr(f"xxhash64({label}) AS hash", f"octet_length({label}) AS size")
+            own = label_hashes.where("size IS NOT NULL").groupBy("hash").agg(F.max("size").alias("size"))
+            found = own.limit(most_labels + 1).collect()
+            if len(found) <= most_labels:
+                sizes = sum(r["size"] for r in found)
+                dictionaries[i] = dictionaries[i].only([r["hash"] for r in found], sizes)
+        model = self.copy()
+        model.dictionaries = dictionaries
+        return model
+
+    def _looked_up(self, dataset: DataFrame, pairs: list, checked: bool):
+        """The table with all that was looked up, the value of each output by its number, and the
+        helper columns."""
         table = dataset
         values, helpers = {}, []
         to_broadcast = self.getBroadcastLimit()
         # small dictionaries first: more of them can be broadcast, and what they drop under 'skip'
         # need not be shuffled for the others
-        for i in sorted(range(len(pairs)), key=lambda i: memory_bytes(self.dictionaries[i])):
-            field, output = pairs[i]
+        for i in sorted(range(len(pairs)), key=lambda i: self.dictionaries[i].entry_bytes):
+            field, _ = pairs[i]
             if field is None:
-                logger.warning(
-                    "Input column %s does not exist; %s is left out.",
-                    self.in_out_columns()[0][i],
-                    output,
-                )
                 continue
             found = index_column(
                 table,
@@ -184,16 +222,53 @@ class LabelIndexerModel(Model, IndexerParams, MLReadable, MLWritable):
                 self.getHandleInvalid(),
                 tag=f"__labelloom_{i}",
                 broadcast_bytes=to_broadcast,
+                hot_source=self.getHotValues(),
+                checked=checked,
             )
             to_broadcast -= found.broadcast_bytes
             table = found.table
             helpers += found.helpers
-            values[output] = F.expr(found.value).alias(
-                output, metadata=self._metadata(output, i)
+            values[i] = found.value
+        return table, values, helpers
+
+    def _check(self, table: DataFrame, pairs: list, values: dict[int, str]) -> None:
+        """Stop if a value of ``table`` was not found."""
+        totals = []
+        for i, value in values.items():
+            name = quote(pairs[i][0].name)
+            bad = f"{value} IS NULL"
+            totals += [
+                F.expr(f"count_if({bad} AND {name} IS NULL)"),
+                F.expr(f"min(CASE WHEN {bad} THEN CAST({name} AS STRING) END)"),
+            ]
+        found = table.agg(*totals).first()
+        for nulls, unseen in zip(found[::2], found[1::2], strict=True):
+            if unseen is not None:
+                raise ValueError(f"{UNSEEN_MESSAGE}{unseen}{UNSEEN_ADVICE}")
+            if nulls:
+                raise ValueError(NULL_MESSAGE)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        pairs = self.check_columns(dataset.schema, allow_missing=True)
+        if len(pairs) != len(self.dictionaries):
+            raise ValueError(
+                f"The model has dictionaries for {len(self.dictionaries)} columns, "
+                f"but {len(pairs)} input columns are set."
             )
-        outputs = {output: values[output] for _, output in pairs if output in values}
-        if not outputs:
+        for name, (field, output) in zip(self.in_out_columns()[0], pairs):
+            if field is None:
+                logger.warning("Column %s does not exist; %s is left out.", name, output)
+        checked = self.getHandleInvalid() == ERROR and self.getCheckFirst() and not dataset.isStreaming
+        table, values, helpers = self._looked_up(dataset, pairs, checked)
+        if not values:
             return dataset
+        if checked:
+            self._check(table, pairs, values)
+        outputs = {
+            output: F.expr(values[i]).alias(output, metadata=self._metadata(output, i))
+            for i, (_, output) in enumerate(pairs)
+            if i in values
+        }
         return table.withColumns(outputs).drop(*helpers)
 
     def inverse_transform(self, dataset: DataFrame, outputs: dict[str, str]) -> DataFrame:

@@ -15,7 +15,13 @@ from labelloom.functions.names import (
     require_absent,
     require_field,
 )
-from labelloom.operators.lookup import BROADCAST_BYTES, ERROR, POLICIES
+from labelloom.operators.lookup import (
+    BROADCAST_BYTES,
+    ERROR,
+    FROM_TABLE,
+    HOT_SOURCES,
+    POLICIES,
+)
 from labelloom.operators.ranking import FREQUENCY_DESC, ORDERS
 
 #: Beside ``ml_attr`` in the metadata of an index column: where a dictionary too long for it is.
@@ -79,6 +85,24 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
         typeConverter=TypeConverters.toInt,
     )
 
+    hotValues = Param(
+        Params._dummy(),
+        "hotValues",
+        "How to find values of so many rows that a shuffle would bring too many to one task, for a "
+        "dictionary that is not broadcast: 'table' makes a sketch of the column when a table (not a "
+        "stream) is transformed; 'counts' asks the counts of the dictionary, if it has any, which "
+        "takes no pass but knows of no unseen values; 'none' does neither.",
+        typeConverter=one_of(HOT_SOURCES),
+    )
+    checkFirst = Param(
+        Params._dummy(),
+        "checkFirst",
+        "With the policy 'error': look for null and unseen values in a pass of its own when a table "
+        "(not a stream) is transformed, and stop at once. Nothing in the plan can fail then, so "
+        "later filters reach the files.",
+        typeConverter=TypeConverters.toBoolean,
+    )
+
     def _set_defaults(self) -> None:
         self._setDefault(
             handleInvalid=ERROR,
@@ -86,6 +110,8 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
             localLabelLimit=10_000,
             metadataLabelLimit=1_000,
             broadcastLimit=BROADCAST_BYTES,
+            hotValues=FROM_TABLE,
+            checkFirst=False,
         )
 
     def getHandleInvalid(self) -> str:
@@ -103,6 +129,18 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
     def getBroadcastLimit(self) -> int:
         return self.getOrDefault(self.broadcastLimit)
 
+    def getHotValues(self) -> str:
+        return self.getOrDefault(self.hotValues)
+
+    def getCheckFirst(self) -> bool:
+        return self.getOrDefault(self.checkFirst)
+
+    def setHotValues(self, value: str):
+        return self._set(hotValues=value)
+
+    def setCheckFirst(self, value: bool):
+        return self._set(checkFirst=value)
+
     def setInputCols(self, value: list[str]):
         return self._set(inputCols=value)
 
@@ -136,7 +174,7 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
         else:
             inputs, outputs = list(self.getInputCols()), list(self.getOutputCols())
         if len(inputs) != len(outputs):
-            raise ValueError("The number of input columns does not match output columns.")
+            raise ValueError(f"{len(inputs)} input columns need as many outputs, not {len(outputs)}.")
         return inputs, outputs
 
     def check_columns(
@@ -147,7 +185,7 @@ class IndexerParams(InOutParams, HasInputCols, HasOutputCols):
         case_sensitive = is_case_sensitive()
         compared = outputs if case_sensitive else [o.lower() for o in outputs]
         if len(set(compared)) < len(compared):
-            raise ValueError("Output columns should not be duplicate.")
+            raise ValueError("Two outputs have the same name.")
         pairs = []
         for name, output in zip(inputs, outputs):
             find = find_field if allow_missing else require_field

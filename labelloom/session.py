@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,7 +50,14 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/labelloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of ours, wherever its file system is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """The name of a database in the shared folder; it goes, with the tables it manages, when the
+    block ends."""
+    name = f"labelloom_{uuid.uuid4().hex}"
+    path = new_folder(spark, "scratch").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")

@@ -93,7 +93,6 @@ def test_hot_labels_keep_to_the_limit(spark):
 
 
 def test_nothing_is_left_of_a_fit_but_the_dictionary(spark, monkeypatch):
-    monkeypatch.setattr(dictionaries, "CACHE_BYTES", -1)
     folder = f"{shared_folder(spark)}/labelloom"
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -58,13 +58,13 @@ def test_values_outside_their_domain(setting):
         ({"inputCol": "s"}, "set outputCol"),
         ({"inputCol": "s", "outputCols": ["i"]}, "set outputCol"),
         ({"inputCols": ["s"], "outputCols": ["i"], "outputCol": "i"}, "not outputCol"),
-        ({"inputCols": ["s", "k"], "outputCols": ["i"]}, "does not match"),
-        ({"inputCols": ["s", "k"], "outputCols": ["i", "i"]}, "not be duplicate"),
-        ({"inputCols": ["s", "k"], "outputCols": ["i", "I"]}, "not be duplicate"),
+        ({"inputCols": ["s", "k"], "outputCols": ["i"]}, "as many outputs"),
+        ({"inputCols": ["s", "k"], "outputCols": ["i", "i"]}, "the same name"),
+        ({"inputCols": ["s", "k"], "outputCols": ["i", "I"]}, "the same name"),
         ({"inputCol": "s", "outputCol": "k"}, "already exists"),
         ({"inputCol": "s", "outputCol": "K"}, "already exists"),
         ({"inputCol": "nope", "outputCol": "i"}, "does not exist"),
-        ({"inputCol": "flag", "outputCol": "i"}, "string type or numeric type"),
+        ({"inputCol": "flag", "outputCol": "i"}, "labels are strings or numbers"),
     ],
 )
 def test_fit_rejects(df, settings, message):
@@ -184,7 +184,7 @@ def test_copies_and_description(df):
 
 
 def test_inverse_checks(df):
-    with pytest.raises(ValueError, match="must be a numeric type"):
+    with pytest.raises(ValueError, match="an index is a number"):
         IndexToLabel(inputCol="s", outputCol="back", labels=["a"]).transform(df)
     with pytest.raises(ValueError, match="already exists"):
         IndexToLabel(inputCol="k", outputCol="s", labels=["a"]).transform(df)

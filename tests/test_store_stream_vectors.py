@@ -8,6 +8,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -209,3 +210,63 @@ def test_width_of_other_columns(spark):
             num_features(df, name)
     with pytest.raises(ValueError, match="does not exist"):
         num_features(df, "nope")
+
+
+def test_small_batches_read_the_buckets_they_need(spark, tmp_path):
+    labels = spark.range(6_000).select(F.format_string("k%05d", "id").alias("v"))
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.files.maxPartitionBytes": "1k"}
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        model = LabelIndexer(
+            inputCol="v", outputCol="i", handleInvalid="keep", localLabelLimit=0, broadcastLimit=5_000
+        ).fit(labels)
+        batch = spark.createDataFrame([("k00007", 1), ("k04000", 2), ("new", 3), (None, 4)], "v string, n int")
+        small = model.for_table(batch)
+        whole, part = (m.dictionaries[0].stored for m in (model, small))
+        files = lambda df: df.select(F.input_file_name()).distinct().count()
+        assert files(whole) == 32 and files(part) <= 3
+        # a partition of the scan is a piece of a file; files of other buckets have none
+        assert part.rdd.getNumPartitions() < whole.rdd.getNumPartitions() / 8
+        text = small.transform(batch)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+        want = [("k00007", 7.0), ("k04000", 4000.0), ("new", 6000.0), (None, 6000.0)]
+        got = [(r["v"], r["i"]) for r in small.transform(batch).orderBy("n").collect()]
+        assert got == want
+        assert model.for_table(batch, most_labels=2).dictionaries == model.dictionaries
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("by_batch", [False, True])
+def test_stream_with_a_large_dictionary(spark, tmp_path, by_batch):
+    labels = spark.range(3_000).select(F.format_string("k%05d", "id").alias("v"), "id")
+    model = LabelIndexer(
+        inputCol="v", outputCol="i", handleInvalid="keep", localLabelLimit=0, broadcastLimit=0
+    ).fit(labels.where("id < 2500"))
+    stages = PipelineModel([ColumnRenamer(inputCol="id", outputCol="row"), model])
+    labels.repartitionByRange(3, "id").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(labels.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    for _ in range(2):  # the second run finds nothing new
+        query = transform_stream(
+            stages, stream, f"{tmp_path}/out", f"{tmp_path}/c", available_now=True, by_batch=by_batch
+        )
+        query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert ("batch_id" in got.columns) == by_batch
+    rows = {r["row"]: r["i"] for r in got.collect()}
+    assert got.count() == 3_000 and rows == {k: float(min(k, 2_500)) for k in range(3_000)}
+
+
+def test_a_batch_that_is_repeated_replaces_its_folder(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "v string, n int")
+    model = LabelIndexer(inputCol="v", outputCol="i").fit(df)
+    df.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    for checkpoint in ("c", "d"):  # as if the first one had not been noted
+        transform_stream(
+            model, stream, f"{tmp_path}/out", f"{tmp_path}/{checkpoint}", available_now=True, by_batch=True
+        ).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
