@@ -1,7 +1,7 @@
 """Language-model scores by Katz backoff.
 
-The model is a bigram model over a vocabulary of the words that occur ``T`` times or more, one class
-of all others, and the text's start and end:
+The model is a bigram model over all words of the training texts, one slot for words never seen, and
+the text's start and end:
 
 * ``P(w | h) = d(r) r / (c(h) + 1)`` for a pair seen ``r`` times, ``d`` being the Good-Turing discount
   for ``r`` up to ``DISCOUNTED`` and 1 above. The one added to each history keeps mass for what was
@@ -9,50 +9,60 @@ of all others, and the text's start and end:
 * ``P(w | h) = b(h) P(w)`` for other pairs: the backoff weight ``b(h)``, the mass left divided by the
   unigram mass of the unseen, makes every history sum to 1 exactly. (The start counts as a word that
   nothing is followed by, so there always is an unseen one.)
-* A word of the class has the probability of the class times its share in it, by its own count; one
-  slot of the class is for words never seen.
-
-``T`` follows from the size of the corpus, so that about ``VOCABULARY`` words reach it: what is sent to
-every task (the vocabulary's counts) is bounded, while all words and pairs are counted over all
-training texts and the tables of pairs grow with the corpus.
-
-How the counts and the texts meet: a block of documents becomes, for each bucket of keys (words in the
-first pass, pairs in the second), one compressed row of its distinct keys and of who has them how
-often. The task of a bucket sums the counts, writes them as its part of a table, and adds up what each
-document gets from its keys; those sums are added per document. A key of many documents would bring
-all of them to one bucket; so keys that are frequent in a sample (``HOT_KEYS`` at most) are counted
-first, sent to all tasks, and their entries are dealt by document.
+
+Every word and every pair of all training texts is counted, whatever the size of the corpus. A word is
+known by 64 bits, a pair by those of both words.
+
+How the counts and the texts meet: a block of documents becomes, for each bucket, one compressed row
+of its distinct pairs and of who has them how often. A pair goes to the bucket of its second word, so
+the task of a bucket knows the counts of its pairs and of their second words. It adds up what each
+document gets from them, and writes its part of the table of histories: of each first word how many
+pairs were seen how often, and the unigram mass of what was seen. The parts are added up by history,
+which gives the backoff weights; the pairs of documents that were never seen look theirs up there.
+
+Words and pairs that are frequent in a sample, ``HOT_KEYS`` of each at most, are counted first and sent
+to all tasks, as all their rows would go to one bucket else: a pair with such a word is dealt by both
+words, such a pair by document. The sample decides the way alone, never a count.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.words import Hasher, chunks, mixed
 from labelloom.llm.work import small_batches, stored
 
-VOCABULARY = 65_536
 DISCOUNTED = 5
 SAMPLE_DOCUMENTS = 10_000
 HOT_KEYS = 2_048
 #: Text in a block of documents, and text for each bucket of keys.
 BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
-_START, _END, _OTHER = np.uint64(1), np.uint64(2), np.uint64(0)
-_FIRST_ID = 3  # ids 0 to 2 are the class of other words, the start and the end
+_START, _END = np.uint64(1), np.uint64(2)
 
-_PACKED = "bucket int, docs binary, train binary, keys binary, sizes binary, who binary, times binary"
-_NAMES = ["bucket", "docs", "train", "keys", "sizes", "who", "times"]
-_TYPES = [np.int64, np.bool_, np.uint64, np.uint32, np.uint32, np.uint32]
-_FOUND = "kind int, id long, h long, v array<double>, keys binary, counts binary"
+_PACKED = {
+    "bucket": "int",
+    "docs": "binary",
+    "train": "binary",
+    "h": "binary",
+    "w": "binary",
+    "sizes": "binary",
+    "who": "binary",
+    "times": "binary",
+}
+_PACKED_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _PACKED.items())
+_TYPES = [np.int64, np.bool_, np.uint64, np.uint64, np.uint32, np.uint32, np.uint32]
+_FOUND = "kind int, id long, h long, v array<double>"
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -63,271 +73,273 @@ def _unpack(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=kind)
 
 
-def _unpacked(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
-    columns = [table.column(name) for name in _NAMES[1:]]
-    for k in range(table.num_rows):
-        yield tuple(_unpack(c[k].as_py(), t) for c, t in zip(columns, _TYPES, strict=True))
+def _mapped(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
+
 
+def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A number for each pair of words; equal numbers say that pairs may be equal."""
+    return mixed(h * np.uint64(0x9E3779B97F4A7C15) + mixed(w + np.uint64(1)))
 
-def _whole(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of the documents with their starts and ends, and where each document begins."""
-    of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.empty(len(hashes) + 2 * (len(first) - 1), dtype=np.uint64)
-    begin = first + 2 * np.arange(len(first))
-    out[np.arange(len(hashes)) + 2 * of + 1] = hashes
-    out[begin[:-1]], out[begin[1:] - 1] = _START, _END
-    return out, begin
 
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before."""
+    out = np.zeros(len(columns[0]), dtype=bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
-def _pairs(tokens: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(places of the first of each pair, document of each pair)``."""
-    inside = np.ones(len(tokens), dtype=bool)
-    inside[begin[1:] - 1] = False
-    of = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    places = np.flatnonzero(inside)
-    return places, of[places]
 
+def by_pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """An order in which equal pairs stand together, and otherwise as they are."""
+    keys = pair_keys(h, w)
+    order = np.argsort(keys, kind="stable")
+    same = ~_new(keys[order])
+    if (same & _new(h[order], w[order])).any():  # different pairs with one key
+        order = np.lexsort((h, w))
+    return order
 
-class _Keys:
-    """Turns texts into the keys of one pass."""
 
-    def __init__(self, vocabulary: np.ndarray | None) -> None:
-        self.hasher, self.vocabulary = Hasher(), vocabulary
+class _Pairs:
+    """Turns texts into pairs of words; starts and ends are words of their own."""
 
-    def ids(self, tokens: np.ndarray) -> np.ndarray:
-        """Ids of the vocabulary; starts and ends have their own."""
-        out = np.where(tokens <= _END, tokens, _OTHER)
-        if len(self.vocabulary):
-            at = np.minimum(np.searchsorted(self.vocabulary, tokens), len(self.vocabulary) - 1)
-            known = (self.vocabulary[at] == tokens) & (tokens > _END)
-            out[known] = at[known].astype(np.uint64) + np.uint64(_FIRST_ID)
-        return out
+    def __init__(self) -> None:
+        self.hasher = Hasher()
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(keys, document of each)``."""
+    def __call__(self, data: np.ndarray, offsets: np.ndarray):
+        """``(first words, second words, document of each)``; a document has a pair for each word
+        and one for its end."""
         _, _, hashes, first = self.hasher.words(data, offsets)
-        hashes = np.maximum(hashes, np.uint64(16))  # the smallest numbers have a meaning
-        if self.vocabulary is None:
-            return hashes, np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
-        tokens, begin = _whole(hashes, first)
-        ids = self.ids(tokens)
-        places, of = _pairs(tokens, begin)
-        return (ids[places] << np.uint64(32)) | ids[places + 1], of
+        n = len(first) - 1
+        of = np.repeat(np.arange(n), np.diff(first))
+        tokens = np.empty(len(hashes) + 2 * n, dtype=np.uint64)
+        begin = first + 2 * np.arange(n + 1)
+        tokens[np.arange(len(hashes)) + 2 * of + 1] = np.maximum(hashes, np.uint64(16))
+        tokens[begin[:-1]], tokens[begin[1:] - 1] = _START, _END
+        inside = np.ones(len(tokens), dtype=bool)
+        inside[begin[1:] - 1] = False
+        places = np.flatnonzero(inside)
+        return tokens[places], tokens[places + 1], np.repeat(np.arange(n), np.diff(begin) - 1)
+
+
+@dataclass
+class Hot:
+    """Frequent words, sorted, and frequent pairs, sorted by key, with their exact counts; ``tokens``
+    is the number of all tokens."""
+
+    words: np.ndarray
+    word_counts: np.ndarray
+    keys: np.ndarray
+    h: np.ndarray
+    w: np.ndarray
+    pair_counts: np.ndarray
+    tokens: int = 0
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words are among the frequent ones, and whether they are."""
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return at, self.words[at] == words
+
+    def pair_places(self, h: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(h), dtype=np.int64), np.zeros(len(h), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, pair_keys(h, w)), len(self.keys) - 1)
+        return at, (self.h[at] == h) & (self.w[at] == w)
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, n)`` of a sample's training rows."""
-    keys = _Keys(None)
+    """``(h, w, n)`` of words (with ``h`` 0) and of pairs that repeat in a piece of the sample."""
+    pairs = _Pairs()
     for batch in batches:
         for _, _, data, offsets in chunks(batch):
-            words, n = np.unique(keys(data, offsets)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"]
-            )
-
-
-def _sampled_pairs(vocabulary):
-    """``(pair, n)`` of those that repeat in a piece of the sample."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _Keys(vocabulary.value)
-        for batch in batches:
-            for _, _, data, offsets in chunks(batch):
-                pairs, n = np.unique(keys(data, offsets)[0], return_counts=True)
+            h, w, _ = pairs(data, offsets)
+            words, n = np.unique(w, return_counts=True)
+            order = by_pair(h, w)
+            h, w = h[order], w[order]
+            new = np.flatnonzero(_new(h, w))
+            times = np.diff(np.append(new, len(h)))
+            parts = [(np.zeros_like(words), words, n), (h[new], w[new], times)]
+            for h, w, n in parts:
                 often = n > 8
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
-                    ["word", "n"],
-                )
-
-    return run
+                columns = [_mapped(x[often]) for x in (h, w, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "w", "n"])
 
 
-def _counted(vocabulary, hot: np.ndarray):
-    """``(key, n)``: a task's counts of the hot keys in training rows."""
+def _counted(shared):
+    """``(place, n)``: a task's counts of the hot words, then of the hot pairs, then of all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, total = _Keys(vocabulary and vocabulary.value), np.zeros(len(hot) + 1, dtype=np.int64)
+        pairs, hot = _Pairs(), shared.value
+        words, both = len(hot.words), len(hot.keys)
+        total = np.zeros(words + both + 1, dtype=np.int64)
         for batch in batches:
             for _, _, data, offsets in chunks(batch):
-                own = keys(data, offsets)[0]
-                at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
-                total[: len(hot)] += np.bincount(at[hot[at] == own], minlength=len(hot))
+                h, w, _ = pairs(data, offsets)
+                at, own = hot.places(w)
+                total[:words] += np.bincount(at[own], minlength=words)
+                at, own = hot.pair_places(h[own], w[own])  # the second word of a hot pair is hot
+                total[words:-1] += np.bincount(at[own], minlength=both)
+                total[-1] += len(w)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hot.view(np.int64)), pa.array(total[: len(hot)])], ["key", "n"]
+            [pa.array(np.arange(len(total))), pa.array(total)], ["place", "n"]
         )
 
     return run
 
 
-def _dealt(vocabulary, hot: np.ndarray, buckets: int, block_bytes: int):
-    """The rows of blocks, one for each bucket of keys."""
+def _dealt(shared, buckets: int, block_bytes: int):
+    """The rows of blocks, one for each bucket of pairs, and one with the ids of the documents."""
 
-    def rows(block: list[tuple]) -> Iterator[pa.RecordBatch]:
-        docs = np.concatenate([x[0] for x in block])
+    def rows(block: list[tuple], row: int) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
         train = np.concatenate([x[1] for x in block])
-        shift = np.cumsum([0, *(len(x[0]) for x in block)])
-        keys = np.concatenate([x[2] for x in block])
-        who = np.concatenate([x[3] + s for x, s in zip(block, shift[:-1], strict=True)])
-        order = np.argsort(keys, kind="stable")  # documents are in order and stay so
-        keys, who = keys[order], who[order]
-        new = np.flatnonzero((np.diff(keys, prepend=~keys[:1]) != 0) | (np.diff(who, prepend=-1) != 0))
-        times = np.diff(np.append(new, len(keys)))
-        keys, who = keys[new], who[new]
-        bucket = mixed(keys) % np.uint64(buckets)
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
-            common = hot[at] == keys
-            bucket[common] = mixed(docs[who[common]].view(np.uint64)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
+        docs = np.arange(row, row + len(train))
+        shift = np.cumsum([0, *(len(x[1]) for x in block)])
+        h, w = (np.concatenate([x[k] for x in block]) for k in (2, 3))
+        who = np.concatenate([x[4] + s for x, s in zip(block, shift[:-1], strict=True)])
+        order = by_pair(h, w)  # documents are in order and stay so
+        h, w, who = h[order], w[order], who[order]
+        new = np.flatnonzero(_new(h, w, who))
+        times = np.diff(np.append(new, len(h)))
+        h, w, who = h[new], w[new], who[new]
+        bucket = mixed(w) % np.uint64(buckets)
+        common = np.flatnonzero(hot.places(w)[1])
+        bucket[common] = pair_keys(h[common], w[common]) % np.uint64(buckets)
+        common = common[hot.pair_places(h[common], w[common])[1]]
+        bucket[common] = mixed(docs[who[common]].astype(np.uint64)) % np.uint64(buckets)
+        order = np.argsort(w, kind="stable")  # equal words side by side take little room
+        small = np.uint16 if buckets < 1 << 16 else np.uint32
+        order = order[np.argsort(bucket[order].astype(small), kind="stable")]
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
         for b in range(buckets):
             mine = order[cuts[b] : cuts[b + 1]]
             if not len(mine):
                 continue
-            own, sizes = np.unique(keys[mine], return_counts=True)
+            new = np.flatnonzero(_new(h[mine], w[mine]))
+            sizes = np.diff(np.append(new, len(mine)))
             present, local = np.unique(who[mine], return_inverse=True)
-            parts = (docs[present], train[present], own, sizes, local, times[mine])
+            first = mine[new]
+            parts = (docs[present], train[present], h[first], w[first], sizes, local, times[mine])
             packed = [_pack(p.astype(t)) for p, t in zip(parts, _TYPES, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], _NAMES
+                [pa.array([b], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)],
+                list(_PACKED),
             )
+        ids = pa.concat_arrays([x[0] for x in block])
+        told = [_pack(docs), _pack(ids.is_valid().to_numpy(zero_copy_only=False))]
+        told.append(_pack(ids.fill_null(0).to_numpy().view(np.uint64)))
+        told += [None] * (len(_PACKED) - 1 - len(told))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row % buckets], pa.int32()), *(pa.array([p], pa.binary()) for p in told)],
+            list(_PACKED),
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, block, size = _Keys(vocabulary and vocabulary.value), [], 0
+        pairs, block, size, n = _Pairs(), [], 0, 0
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            docs = batch.column(batch.schema.get_field_index("doc")).to_numpy()
-            train = batch.column(batch.schema.get_field_index("train")).to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id")
+            train = batch.column("train").to_numpy(zero_copy_only=False)
             for a, b, data, offsets in chunks(batch):
-                keys, who = make(data, offsets)
-                if len(keys):
-                    block.append((docs[a:b], train[a:b], keys, who))
-                size += len(data)
-                if size >= block_bytes and block:
-                    yield from rows(block)
-                    block, size = [], 0
+                block.append((ids[a:b], train[a:b], *pairs(data, offsets)))
+                size, n = size + len(data), n + b - a
+                if size >= block_bytes:
+                    yield from rows(block, row)
+                    block, size, row, n = [], 0, row + n, 0
         if block:
-            yield from rows(block)
+            yield from rows(block, row)
 
     return run
 
 
-def _sums(table: pa.Table, hot: np.ndarray, hot_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(keys, counts in training rows)`` of a bucket; hot keys have their counts of the corpus."""
-    parts = []
-    for _, train, own, sizes, who, times in _unpacked(table):
-        entry = np.repeat(np.arange(len(own)), sizes)
-        n = np.bincount(entry, times * train[who], minlength=len(own))
-        parts.append((own, n.astype(np.uint32)))
-    if not parts:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0)
-    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    order = np.argsort(keys)
-    counts = counts[order]
-    keys = keys[order]
-    del order
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, counts = keys[new], np.add.reduceat(counts, new, dtype=np.float64)
-    if len(hot) and len(keys):
-        at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
-        common = hot[at] == keys
-        counts[common] = hot_counts[at[common]]
-    return keys, counts
-
-
-def _told(kind: int, ids: np.ndarray, v: np.ndarray, h=None) -> pa.RecordBatch:
+def _told(kind: int, ids: np.ndarray, h: np.ndarray | pa.Array | None = None, v=None) -> pa.RecordBatch:
     n = len(ids)
-    lists = pa.ListArray.from_arrays(
-        np.arange(n + 1, dtype=np.int32) * v.shape[1], pa.array(np.ascontiguousarray(v).ravel())
-    )
-    none = pa.nulls(n, pa.binary())
+    v = np.zeros((n, 0)) if v is None else np.ascontiguousarray(v, dtype=float)
+    lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * v.shape[1], pa.array(v.ravel()))
+    if h is None:
+        h = pa.nulls(n, pa.int64())
+    elif isinstance(h, np.ndarray):
+        h = _mapped(h)
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(n, kind, dtype=np.int32)),
-            pa.array(ids.astype(np.int64)),
-            pa.array(np.zeros(n, dtype=np.int64) if h is None else h.astype(np.int64)),
-            lists.cast(pa.list_(pa.float64())),
-            none,
-            none,
-        ],
-        ["kind", "id", "h", "v", "keys", "counts"],
+        [pa.array(np.full(n, kind, dtype=np.int32)), _mapped(ids), h, lists.cast(pa.list_(pa.float64()))],
+        ["kind", "id", "h", "v"],
     )
 
 
-def _table_row(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """A bucket's counts, the part of the table that it stands for."""
-    row = _told(3, np.zeros(1, dtype=np.int64), np.zeros((1, 1)))
-    packed = [pa.array([_pack(x)], pa.binary()) for x in (keys, counts.astype(np.int64))]
-    return pa.RecordBatch.from_arrays([*row.columns[:4], *packed], row.schema.names)
-
-
-def _of_words(hot, least: int):
-    """0: a document's sums; 1: the vocabulary; 2: totals of the bucket; 3: the counts."""
-
-    def run(table: pa.Table) -> pa.Table:
-        common, common_counts = hot.value
-        keys, counts = _sums(table, common, common_counts)
-        out = []
-        for docs, _, own, sizes, who, times in _unpacked(table):
-            c = counts[np.searchsorted(keys, np.repeat(own, sizes))]
-            log, rare = times * np.log10(c + 1), c < least
-            parts = (times, times * (c > 0), log, times * rare, log * rare)
-            out.append(_told(0, docs, np.column_stack([np.bincount(who, p, len(docs)) for p in parts])))
-        mine = ~np.isin(keys, common)
-        keys, counts = keys[mine], counts[mine]
-        frequent, seen = counts >= least, counts > 0
-        out.append(_told(1, keys[frequent].view(np.int64), counts[frequent][:, None]))
-        rare = seen & ~frequent
-        totals = [counts.sum(), seen.sum(), counts[rare].sum(), rare.sum()]
-        out.append(_told(2, np.zeros(1, dtype=np.int64), np.array([totals], dtype=float)))
-        out.append(_table_row(keys[seen], counts[seen]))
-        return pa.Table.from_batches(out)
-
-    return run
-
-
-def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def history_sums(h: np.ndarray, r: np.ndarray, mass: np.ndarray):
+    """``(history, how many pairs were seen once, ... DISCOUNTED + 1 times, the sum of all larger
+    counts than DISCOUNTED, unigram mass of the seen)`` of distinct pairs."""
+    ids, at = np.unique(h, return_inverse=True)
+    times = [np.bincount(at, r == k, len(ids)) for k in range(1, DISCOUNTED + 2)]
+    large = np.bincount(at, r * (r > DISCOUNTED), len(ids))
+    return ids, np.column_stack([*times, large, np.bincount(at, mass, len(ids))])
 
 
-def _history_sums(pairs: np.ndarray, counts: np.ndarray, unigram: np.ndarray):
-    """``(history, seen once, ... DISCOUNTED + 1 times, sum of all larger than DISCOUNTED, unigram
-    mass of the seen)`` of distinct pairs."""
-    h, w = _split(pairs)
-    ids, at = np.unique(h, return_inverse=True)
-    times = [np.bincount(at, counts == r, len(ids)) for r in range(1, DISCOUNTED + 2)]
-    large = np.bincount(at, counts * (counts > DISCOUNTED), len(ids))
-    return ids, np.column_stack([*times, large, np.bincount(at, unigram[w], len(ids))])
+def unigram(counts: np.ndarray, tokens: int, ends: np.ndarray | bool = False) -> np.ndarray:
+    """The chance of words by their counts: one more for the end, one slot for the never seen, and
+    one for the start, which never follows anything."""
+    return np.maximum(counts + ends, 1) / (tokens + 3)
 
 
-def _of_pairs(hot, about):
-    """0: a document's sums; 1: what each history needs; 2: pairs to back off; 3: the counts."""
+def _of_pairs(shared):
+    """0: a document's sums; 1: the parts of the histories; 2: pairs to back off, by document and
+    first word; 3: how many words a bucket has seen; 4: the ids of documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        common, common_counts = hot.value
-        unigram, history = about.value
-        keys, counts = _sums(table, common, common_counts)
-        out = []
-        for docs, _, own, sizes, who, times in _unpacked(table):
-            pairs = np.repeat(own, sizes)
-            r = counts[np.searchsorted(keys, pairs)]
-            h, w = _split(pairs)
-            seen = r > 0
-            large = np.where(r > DISCOUNTED, np.log10(np.maximum(r, 1)), 0.0)
-            parts = [
-                times * np.where(seen, large - np.log10(history[h] + 1), np.log10(unigram[w])),
-                *(times * (r == k) for k in range(1, DISCOUNTED + 1)),
+        hot, out, parts, entries = shared.value, [], [], []
+        columns = [table.column(name) for name in list(_PACKED)[1:]]
+        for k in range(table.num_rows):
+            packed = [c[k].as_py() for c in columns]
+            if packed[-1] is None:
+                docs, valid, ids = (_unpack(x, t) for x, t in zip(packed, _TYPES[:3], strict=False))
+                out.append(_told(4, docs, pa.array(ids.view(np.int64), mask=~valid)))
+                continue
+            docs, train, h, w, sizes, who, times = (_unpack(x, t) for x, t in zip(packed, _TYPES, strict=True))
+            pair = np.repeat(np.arange(len(h), dtype=np.int32), sizes)
+            parts.append((h, w, np.bincount(pair, times * train[who], len(h))))
+            entries.append((docs, pair, who, times))
+        if not parts:
+            return pa.Table.from_batches(out)
+        h, w, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        starts = np.cumsum([0, *(len(x[0]) for x in parts)])
+        del parts
+        order = by_pair(h, w)
+        new = _new(h[order], w[order])
+        number = np.empty(len(h), dtype=np.int32)
+        number[order] = np.cumsum(new, dtype=np.int32) - 1
+        first = np.flatnonzero(new)
+        r = np.add.reduceat(n[order], first)
+        h, w = h[order][first], w[order][first]
+        del order, new, n
+        at, hot_pair = hot.pair_places(h, w)
+        r[hot_pair] = hot.pair_counts[at[hot_pair]]
+        words, of = np.unique(w, return_inverse=True)
+        c = np.bincount(of, r, len(words))
+        at, hot_word = hot.places(words)
+        c[hot_word] = hot.word_counts[at[hot_word]]  # the others' pairs are all in this bucket
+        out.append(_told(3, np.zeros(1, dtype=np.int64), v=[[((c > 0) & ~hot_word).sum()]]))
+        chance = unigram(c, hot.tokens, words == _END)[of]
+        known, log_c, log_chance = (c > 0)[of], np.log10(c + 1)[of], np.log10(chance)
+        seen = r > 0
+        large = np.where(r > DISCOUNTED, np.log10(np.maximum(r, 1)), 0.0)
+        for (docs, pair, who, times), start in zip(entries, starts, strict=False):
+            p = number[start + pair]
+            own = r[p]
+            sums = [
+                times,
+                times * known[p],
+                times * log_c[p],
+                times * np.where(own > 0, large[p], log_chance[p]),
+                *(times * (own == k) for k in range(1, DISCOUNTED + 1)),
             ]
-            out.append(_told(0, docs, np.column_stack([np.bincount(who, p, len(docs)) for p in parts])))
-            rest = ~seen
+            out.append(_told(0, docs, v=np.column_stack([np.bincount(who, x, len(docs)) for x in sums])))
+            rest = own == 0
             if rest.any():
-                out.append(_told(2, docs[who[rest]], times[rest][:, None].astype(float), h[rest]))
-        mine = ~np.isin(keys, common) & (counts > 0)
-        keys, counts = keys[mine], counts[mine]
-        ids, sums = _history_sums(keys, counts, unigram)
-        out.append(_told(1, ids, sums))
-        out.append(_table_row(keys, counts))
+                out.append(_told(2, docs[who[rest]], h[p[rest]], times[rest][:, None]))
+        mine = seen & ~hot_pair
+        ids, sums = history_sums(h[mine], r[mine], chance[mine])
+        out.append(_told(1, ids, v=sums))
         return pa.Table.from_batches(out)
 
     return run
@@ -349,10 +361,62 @@ def discounts(seen: list[float]) -> list[float]:
     return out
 
 
+def _hot(learned: DataFrame, sample: DataFrame, most: int) -> Hot:
+    """The frequent words and pairs of the sample, with their counts in all of ``learned``."""
+    found = stored(
+        sample.mapInArrow(_sampled, "h long, w long, n long")
+        .groupBy("h", "w")
+        .agg(F.sum("n").alias("n")),
+        "often",
+    )
+    top = lambda pairs: found.where(pairs).orderBy(F.desc("n"), "h", "w").limit(most).toPandas()
+    as_ids = lambda x: x.to_numpy(dtype=np.int64).view(np.uint64)
+    pairs = top("h <> 0")
+    h, w = as_ids(pairs["h"]), as_ids(pairs["w"])
+    order = np.argsort(pair_keys(h, w))
+    h, w = h[order], w[order]
+    words = np.unique(np.concatenate([as_ids(top("h = 0")["w"]), w, [_END]]).astype(np.uint64))
+    hot = Hot(words, np.zeros(len(words)), pair_keys(h, w), h, w, np.zeros(len(h)))
+    counts = learned.mapInArrow(
+        _counted(learned.sparkSession.sparkContext.broadcast(hot)), "place long, n long"
+    )
+    counts = counts.groupBy("place").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(len(words) + len(h) + 1)
+    for row in counts:
+        total[row["place"]] = row["n"]
+    hot.word_counts, hot.pair_counts = total[: len(words)], total[len(words) : -1]
+    hot.tokens = int(total[-1])
+    return hot
+
+
+def histories(found: DataFrame, hot: Hot) -> tuple[DataFrame, list[float]]:
+    """``(h, weight, seen)``, a row for each history: the logarithms of its backoff weight and of its
+    count and one; and the discounts."""
+    spark = found.sparkSession
+    names = [f"r{r}" for r in range(1, DISCOUNTED + 2)] + ["large", "mass"]
+    parts = found.where("kind = 1").select(
+        F.col("id").alias("h"), *(F.col("v")[k].alias(name) for k, name in enumerate(names))
+    )
+    own = hot.pair_counts > 0
+    if own.any():
+        at, _ = hot.places(hot.w[own])
+        chance = unigram(hot.word_counts[at], hot.tokens, hot.w[own] == _END)
+        h, sums = history_sums(hot.h[own], hot.pair_counts[own], chance)
+        rows = [(int(a), *map(float, s)) for a, s in zip(h.view(np.int64), sums, strict=True)]
+        parts = parts.union(spark.createDataFrame(rows, parts.schema))
+    whole = stored(parts.groupBy("h").agg(*(F.sum(n).alias(n) for n in names)), "histories")
+    n_seen = whole.agg(*(F.sum(n) for n in names[: DISCOUNTED + 1])).first()
+    d = discounts([v or 0.0 for v in n_seen])
+    of_count = [(r, F.col(f"r{r}"), d[r - 1]) for r in range(1, DISCOUNTED + 1)]
+    total = sum((n * r for r, n, _ in of_count), F.col("large"))
+    used = sum((n * r * x for r, n, x in of_count), F.col("large"))
+    weight = (1 - used / (total + 1)) / F.greatest(1 - F.col("mass"), F.lit(1e-12))
+    return whole.select("h", F.log10(weight).alias("weight"), F.log10(total + 1).alias("seen")), d
+
+
 def katz_scores(
     docs: DataFrame,
     train: Column,
-    vocabulary: int = VOCABULARY,
     block_bytes: int = BLOCK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
     sample_documents: int = SAMPLE_DOCUMENTS,
@@ -362,137 +426,67 @@ def katz_scores(
     the rows for which ``train`` holds are learned from.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z alone), and one end follows them. A null text
-    is an empty one and has the end alone. Rows that repeat ``doc_id`` and text count each and score
-    the same. Without training rows every word is a never seen one. No input: no rows.
+    is an empty one and has the end alone. Rows count each, also if they repeat ``doc_id`` or have
+    none; equal texts score the same. A very long text is a block of its own. Without training rows
+    every word is a never seen one. Other columns do not matter. No input: no rows.
     """
     small_batches(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    text = F.coalesce(F.col("text"), F.lit(""))
     named = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),
-        F.xxhash64(F.col("doc_id"), text).alias("doc"),
     )
-    n_docs, n_train, n_bytes = named.agg(
-        F.count("*"), F.count_if("train"), F.sum(F.octet_length("text").cast("long"))
+    n_train, n_bytes = named.agg(
+        F.count_if("train"), F.sum(F.octet_length("text").cast("long"))
     ).first()
     buckets = max(1, math.ceil((n_bytes or 0) / bucket_bytes))
-    rows = named.select("doc", "train", "text")
-    learned = rows.where("train").select("text")
-    # A sample decides from which count on a word is in the vocabulary, and which keys are hot.
+    learned = named.where("train").select("text")
     sample = learned
     if n_train > sample_documents:
         sample = stored(learned.sample(sample_documents / n_train, seed=11), "sample")
-    often = sample.mapInArrow(_sampled, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = often.orderBy(F.desc("n"), "word").limit(vocabulary).toPandas()
-    share = max(1.0, n_train / sample_documents)
-    least = max(1, math.ceil(top["n"].min() * share)) if len(top) == vocabulary else 1
-
-    def hot_of(found, ids) -> tuple[np.ndarray, np.ndarray]:
-        hot = np.sort(found.head(hot_keys)["word"].to_numpy(dtype=np.int64).view(np.uint64))
-        if not len(hot):
-            return hot, np.zeros(0)
-        n = learned.mapInArrow(_counted(ids, hot), "key long, n long").groupBy("key")
-        n = n.agg(F.sum("n").alias("n")).toPandas()
-        at = np.searchsorted(hot, n["key"].to_numpy(dtype=np.int64).view(np.uint64))
-        counts = np.zeros(len(hot))
-        counts[at] = n["n"]
-        return hot, counts
-
-    hot, hot_counts = hot_of(top, None)
-    words = stored(
-        rows.mapInArrow(_dealt(None, hot, buckets, block_bytes), _PACKED)
+    hot = _hot(learned, sample, hot_keys)
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    found = stored(
+        named.mapInArrow(_dealt(shared, buckets, block_bytes), _PACKED_SCHEMA)
         .groupBy("bucket")
-        .applyInArrow(_of_words(context.broadcast((hot, hot_counts)), least), _FOUND),
-        "words",
+        .applyInArrow(_of_pairs(shared), _FOUND),
+        "pairs",
         "kind",
     )
-    totals = words.where("kind = 2").select(*(F.sum(F.col("v")[k]) for k in range(4))).first()
-    n_words, n_kinds, n_other, kinds_other = (v or 0.0 for v in totals)
-    seen, frequent = hot_counts > 0, hot_counts >= least
-    rare = seen & ~frequent
-    n_words += hot_counts.sum()
-    n_kinds += seen.sum()
-    n_other += hot_counts[rare].sum()
-    kinds_other += rare.sum()
-    known = words.where("kind = 1").select("id", F.col("v")[0].alias("n")).toPandas()
-    ids = np.concatenate([known["id"].to_numpy(dtype=np.int64).view(np.uint64), hot[frequent]])
-    counts = np.concatenate([known["n"].to_numpy(dtype=float), hot_counts[frequent]])
-    order = np.argsort(ids)
-    ids, counts = ids[order], counts[order]
-    tokens = n_words + n_train  # the ends are tokens, too
-    # Unigrams of the vocabulary, the class (with its slot for the never seen) and the end.
-    # A start never follows anything; its slot leaves every history something unseen.
-    unigram = np.concatenate([[n_other + 1, 1.0, n_train + 1], counts]) / (tokens + 3)
-    history = np.concatenate([[n_other, n_train, 0.0], counts])
-
-    shared = context.broadcast(ids)
-    pairs = sample.mapInArrow(_sampled_pairs(shared), "word long, n long")
-    pairs = pairs.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
-    hot, hot_counts = hot_of(pairs.limit(hot_keys).toPandas(), shared)
-    about = context.broadcast((unigram, history))
-    ngrams = stored(
-        rows.mapInArrow(_dealt(shared, hot, buckets, block_bytes), _PACKED)
-        .groupBy("bucket")
-        .applyInArrow(_of_pairs(context.broadcast((hot, hot_counts)), about), _FOUND),
-        "ngrams",
-        "kind",
-    )
-    names = [f"r{r}" for r in range(1, DISCOUNTED + 2)] + ["large", "mass"]
-    per_history = ngrams.where("kind = 1").select(
-        F.col("id").alias("h"), *(F.col("v")[k].alias(name) for k, name in enumerate(names))
-    )
-    if len(hot):
-        own = hot_counts > 0
-        h, sums = _history_sums(hot[own], hot_counts[own], unigram)
-        rows_of_hot = [(int(a), *map(float, s)) for a, s in zip(h, sums, strict=True)]
-        if rows_of_hot:
-            per_history = per_history.union(
-                docs.sparkSession.createDataFrame(rows_of_hot, per_history.schema)
-            )
-    per_history = per_history.groupBy("h").agg(*(F.sum(n).alias(n) for n in names))
-    per_history = stored(per_history, "histories")
-    n_seen = per_history.agg(*(F.sum(n) for n in names[: DISCOUNTED + 1])).first()
-    d = discounts([v or 0.0 for v in n_seen])
-    of_count = [(r, F.col(f"r{r}"), d[r - 1]) for r in range(1, DISCOUNTED + 1)]
-    total = sum((n * r for r, n, _ in of_count), F.col("large"))
-    used = sum((n * r * x for r, n, x in of_count), F.col("large"))
-    weight = (1 - used / (total + 1)) / F.greatest(1 - F.col("mass"), F.lit(1e-12))
-    backoff = per_history.select("h", F.log10(weight).alias("weight"))  # as long as the vocabulary
+    table, d = histories(found, hot)
+    table = stored(table, "backoff")
 
-    by_words = words.where("kind = 0").groupBy("id").agg(
-        *(F.sum(F.col("v")[k]).alias(f"w{k}") for k in range(5))
-    )
-    by_pairs = ngrams.where("kind = 0").groupBy("id").agg(
-        *(F.sum(F.col("v")[k]).alias(f"p{k}") for k in range(DISCOUNTED + 1))
+    # Pairs never seen: their first words are in the table of histories; the hot ones by broadcast.
+    hot_words = docs.sparkSession.createDataFrame(
+        [(int(w),) for w in [*hot.words.view(np.int64), int(_START)]], "h long"
     )
-    backed_off = (
-        ngrams.where("kind = 2")
-        .join(F.broadcast(backoff), "h", "left")
-        .groupBy("id")
-        # After a history never seen the unigrams alone decide.
-        .agg(F.sum(F.col("v")[0] * F.coalesce("weight", F.lit(0.0))).alias("b"))
+    hot_table = table.join(F.broadcast(hot_words), "h")
+    unseen = found.where("kind = 2").select("id", "h", F.col("v")[0].alias("times"))
+    of_hot = unseen.join(F.broadcast(hot_words), "h").join(F.broadcast(hot_table), "h", "left")
+    others = unseen.join(F.broadcast(hot_words), "h", "left_anti").join(table, "h", "left")
+    # After a history never seen the unigrams alone decide.
+    both = F.coalesce(F.col("weight") + F.col("seen"), F.lit(0.0))
+    gains = of_hot.unionByName(others).groupBy("id").agg(F.sum(F.col("times") * both).alias("backed"))
+
+    names = ["tokens", "known", "logs", "score", *(f"r{r}" for r in range(1, DISCOUNTED + 1))]
+    sums = found.where("kind = 0").groupBy("id").agg(
+        *(F.sum(F.col("v")[k]).alias(name) for k, name in enumerate(names))
     )
-    same = named.select("doc_id", "doc")
-    copies = same.groupBy(F.col("doc").alias("id")).agg(F.count("*").alias("copies"))
-    sums = (
-        copies.join(by_words, "id", "left").join(by_pairs, "id", "left").join(backed_off, "id", "left")
-    )
-    part = lambda name: F.coalesce(name, F.lit(0.0)) / F.col("copies")
-    seen_log = sum(
-        (part(f"p{r}") * math.log10(d[r - 1] * r) for r in range(1, DISCOUNTED + 1)), part("p0")
-    )
-    class_log = part("w4") - part("w3") * math.log10(n_other + kinds_other + 1)
-    n_tokens = part("w0") + 1
-    all_kinds = n_kinds + (n_train > 0)
-    base = part("w2") + math.log10(n_train + 1) - n_tokens * math.log10(tokens + all_kinds + 1)
-    scored = sums.select(
-        "id",
-        F.round(n_tokens).cast("long").alias("n_tokens"),
-        (F.round(part("w1")).cast("long") + F.lit(int(n_train > 0))).alias("n_known"),
-        F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (seen_log + class_log + part("b")).alias("score"),
+    n_words = found.where("kind = 3").agg(F.sum(F.col("v")[0])).first()[0] or 0
+    n_words += int((hot.word_counts > 0).sum())
+    ids = found.where("kind = 4").select("id", F.col("h").alias("doc_id"))
+    seen = sum((F.col(f"r{r}") * math.log10(d[r - 1] * r) for r in range(1, DISCOUNTED + 1)), F.col("score"))
+    # Every token but the start is the second word of a pair, every one but the end the first word of
+    # one; starts and ends are as many. So the logarithms of the counts add up to the same for both.
+    return (
+        ids.join(sums, "id")
+        .join(gains, "id", "left")
+        .select(
+            "doc_id",
+            F.round("tokens").cast("long").alias("n_tokens"),
+            F.round("known").cast("long").alias("n_known"),
+            F.lit(hot.tokens).cast("long").alias("train_tokens"),
+            (F.col("logs") - F.col("tokens") * math.log10(hot.tokens + n_words + 1)).alias("base_score"),
+            (seen - F.col("logs") + F.coalesce("backed", F.lit(0.0))).alias("score"),
+        )
     )
-    return same.join(scored, same["doc"] == scored["id"]).drop("doc", "id")

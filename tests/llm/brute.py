@@ -8,7 +8,6 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from labelloom.llm.lm import discounts
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,6 +56,20 @@ def repeats(rows, span=100):
     return out
 
 
+def good_turing(seen):
+    """Discounts of the counts 1 to 5 from how many pairs were seen 1 to 6 times (Katz 1987)."""
+    out = []
+    for r in range(1, 6):
+        n, further = seen.get(r, 0), seen.get(r + 1, 0)
+        tail = 6 * seen.get(6, 0) / seen[1] if seen.get(1, 0) else 1.0
+        if n and further and tail < 1:
+            d = ((r + 1) * further / (r * n) - tail) / (1 - tail)
+            out.append(d if 0 < d < 1 else 1.0)
+        else:
+            out.append(1.0)
+    return out
+
+
 def katz(rows, least=1):
     tokens = {d: words(t) for d, t in rows}
     train = [d for d in tokens if zlib.crc32(str(d).encode()) % 7 != 2]
@@ -68,7 +81,7 @@ def katz(rows, least=1):
     seq = {d: [1, *(w if w in known else 0 for w in tokens[d]), 2] for d in tokens}
     pairs = Counter(p for d in train for p in zip(seq[d], seq[d][1:], strict=False))
     seen = Counter(pairs.values())
-    d = [*discounts([seen[r] for r in range(1, 7)]), 1.0]
+    d = [*good_turing(seen), 1.0]
     after = defaultdict(dict)
     for (h, w), r in pairs.items():
         after[h][w] = r

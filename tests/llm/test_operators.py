@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import duckdb
+import numpy as np
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from labelloom.llm import queries
+from labelloom.llm import lm, queries
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
 from labelloom.llm.encode import decoded, encoded
 from labelloom.llm.exact import bucket_of, exact_groups
@@ -127,17 +129,17 @@ def test_repeats(small, odd, settings):
         assert found == brute.repeats(rows, settings.get("span", 100))
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_lm(small, odd, few):
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {},
+        {"block_bytes": 5_000, "bucket_bytes": 9_000, "hot_keys": 5},
+        {"block_bytes": 1, "bucket_bytes": 50_000, "hot_keys": 0, "sample_documents": 3},
+    ],
+)
+def test_lm(small, odd, settings):
     for docs, rows in (small, odd):
-        least, settings = 1, {}
-        if few:
-            settings = {"vocabulary": 40, "block_bytes": 5_000, "bucket_bytes": 9_000, "hot_keys": 5}
-            counts = brute.Counter(
-                w for d, t in rows if brute.zlib.crc32(str(d).encode()) % 7 != 2 for w in brute.words(t)
-            )
-            least = sorted(counts.values(), reverse=True)[39]
-        expected, chance, words = brute.katz(rows, least)
+        expected, chance, words = brute.katz(rows)
         found = by_id(katz_scores(docs, _learned(), **settings))
         assert found.keys() == expected.keys()
         for d, row in expected.items():
@@ -146,6 +148,75 @@ def test_lm(small, odd, few):
             assert sum(chance(history, w) for w in words) == pytest.approx(1)
 
 
+def test_lm_is_one_model_in_any_layout(small):
+    docs, _ = small
+    first = by_id(katz_scores(docs.repartition(1), _learned()))
+    for parts, settings in ((5, {"sample_documents": 60}), (40, {"hot_keys": 50, "sample_documents": 20})):
+        other = by_id(katz_scores(docs.repartition(parts), _learned(), bucket_bytes=100_000, **settings))
+        assert other.keys() == first.keys()
+        for d, row in first.items():
+            assert other[d] == pytest.approx(row, rel=1e-9)
+
+
+def test_lm_histories_sum_to_one(spark):
+    """The operator's own scores of all words after a history, taken apart from texts of one or two."""
+    learned = "a b a c a b d a b . c c b a b a c d d a a b".split()
+    words = [*sorted(set(learned)), "unseen"]
+    texts = [" ".join(learned), " ".join(learned[::2])] + words
+    texts += [f"{h} {w}" for h in words for w in words]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = by_id(katz_scores(df, F.col("doc_id") < 2, hot_keys=2), "score")
+    score = {t: found[i][0] for i, t in enumerate(texts)}
+    n = 2 + len(learned) + len(learned[::2])  # tokens learned from
+    slot = math.log10(1 / (n + 3))  # after a word never seen, as of the start, unigrams alone decide
+    ends = {"unseen": math.log10(3 / (n + 3))}
+    ends |= {w: score[f"unseen {w}"] - score["unseen"] + ends["unseen"] - _unigram(learned, w, n) for w in words[:-1]}
+    for h in words:
+        total = 10 ** ends[h]
+        for w in words:
+            total += 10 ** (score[f"{h} {w}"] - ends[w] - (score[h] - ends[h]))
+        total += 10 ** _backoff(score, ends, h, slot) * 10**slot  # the start, which nothing is followed by
+        assert total == pytest.approx(1, rel=1e-9), h
+
+
+def _unigram(learned, w, n):
+    return math.log10((learned + learned[::2]).count(w) / (n + 3))
+
+
+def _backoff(score, ends, h, slot):
+    """The weight of a history, by what it gives to a word never seen."""
+    return score[f"{h} unseen"] - ends["unseen"] - (score[h] - ends[h]) - slot
+
+
+def test_lm_tells_words_apart_whose_letters_swap_places(spark):
+    first = "a"
+    for _ in range(10):
+        first += first.translate(str.maketrans("ab", "ba"))
+    other = first.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, first), (2, other), (3, first)], "doc_id long, text string")
+    found = by_id(katz_scores(df, F.col("doc_id") != 2), "n_tokens", "n_known")
+    assert found == {1: (2, 2), 2: (2, 1), 3: (2, 2)}
+
+
+def test_lm_rows_that_share_an_id(spark):
+    rows = [(1, "a b c"), (1, "d e"), (None, "a b"), (None, None), (2, "a b c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = katz_scores(df, F.lit(True)).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in out) == [
+        ("1", 3), ("1", 4), ("2", 4), ("None", 1), ("None", 3),
+    ]
+    same = {r["score"] for r in out if r["n_tokens"] == 4}
+    assert len(same) == 1
+
+
+def test_pair_orders_survive_colliding_keys(monkeypatch):
+    monkeypatch.setattr(lm, "pair_keys", lambda h, w: (h + w) % np.uint64(3))
+    random = np.random.default_rng(1)
+    h, w = random.integers(0, 9, size=(2, 500), dtype=np.uint64)
+    order = lm.by_pair(h, w)
+    assert lm._new(h[order], w[order]).sum() == len(set(zip(h.tolist(), w.tolist(), strict=True)))
+
+
 def test_encode(small, odd):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     for docs, rows in (small, odd):
