@@ -13,10 +13,12 @@ mean varies less than that of as many values of half the permutations would.
 * What is left is confirmed on the full sets.
 
 Under a key not all sets meet: the one that meets the most sets over all its keys, which the original
-of many copies does, is compared with the others first. Keys under which the sets are not all connected
-by then get another such set from outside that component, ``ROUNDS`` times in all; then only sets of
-different components under a key are compared, the sets of a large key block by block. Nothing is
-left out.
+of many copies does, is compared with the others first. Keys under which the others are not all
+connected by then go on. Of their sets the shingles that sets of different components share are counted:
+no two sets can have more in common than the lesser of their counts, so a copy with too many words of
+its own meets nobody again. The next pivot of a key comes from outside the component of the first. After
+``ROUNDS`` of them, or when keys have few sets left, only sets of different components under a key are
+compared, the sets of a large key block by block. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +45,10 @@ PERMUTATIONS = 96
 BAND = 3
 #: Probability that the sketches of two sets that just are similar enough differ by too many bits.
 SKETCH_MISS = 1e-7
-ROUNDS = 3
-#: Sets under a key that meet in one task.
+ROUNDS = 2
+#: Sets under a key that meet in one task, and up to which they need no further pivot.
 BLOCK_SETS = 2_000
+FEW_SETS = 200
 #: Names of sets that a task remembers.
 SEEN_SETS = 500_000
 
@@ -95,11 +99,13 @@ def most_differing(bits: int, similarity: int, miss: float = SKETCH_MISS) -> int
     return k
 
 
-def _digest(shingles: np.ndarray) -> bytes:
+def digest_of(shingles: np.ndarray) -> bytes:
+    """A name for the set that depends on all of it."""
     return hashlib.blake2b(shingles, digest_size=16).digest()
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch], words: int):
+def sets_of(batches: Iterator[pa.RecordBatch], words: int):
+    """``(doc ids, shingle sets)`` for pieces of the batches."""
     hasher = Hasher()
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("doc_id"))
@@ -113,10 +119,10 @@ def _signed(words: int, permutations: int, band: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign, seen = MinMax(permutations), set()
         row = TaskContext.get().partitionId() << 36
-        for ids, sets in _sets_of(batches, words):
+        for ids, sets in sets_of(batches, words):
             digests, keys, sketches = [], [], []
             for s in sets:
-                digests.append(_digest(s) if len(s) else None)
+                digests.append(digest_of(s) if len(s) else None)
                 if len(s) and digests[-1] not in seen:
                     seen.add(digests[-1])
                     values = sign(s)
@@ -147,8 +153,8 @@ def _contents(words: int):
     """``(digest, shingles)`` of whole sets, each once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets_of(batches, words):
-            found = {_digest(s): s.tobytes() for s in sets}
+        for _, sets in sets_of(batches, words):
+            found = {digest_of(s): s.tobytes() for s in sets}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
                 ["digest", "shingles"],
@@ -157,13 +163,29 @@ def _contents(words: int):
     return run
 
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(node, component, shingle)`` from ``(node, component, shingles)``."""
+    for batch in batches:
+        sizes = pc.divide(pc.binary_length(batch.column("shingles")), 8).to_numpy()
+        of = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+        whole = b"".join(batch.column("shingles").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("node").take(of),
+                batch.column("component").take(of),
+                pa.array(np.frombuffer(whole, dtype=np.int64)),
+            ],
+            ["node", "component", "shingle"],
+        )
+
+
 def _confirmed(similarity: int):
     """The pairs whose full sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
                 x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
                 both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
@@ -172,84 +194,119 @@ def _confirmed(similarity: int):
     return run
 
 
-class _Search:
-    """Finds links among the distinct sets ``(node, n, digest, first, keys, sketch)``."""
+class Search:
+    """Finds links among the distinct sets ``(node, n, digest, first, keys, ...)``, by sets that share
+    a key. ``carried`` are columns of a set that decide whether two of them ``fits``."""
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int, bits: int):
+    carried: tuple[str, ...] = ()
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> None:
         self.docs, self.sets, self.words, self.similarity = docs, sets, words, similarity
-        self.most = most_differing(bits, similarity)
-        self.sketches = [f"s{k}" for k in range(bits // 64)]
 
     def under_keys(self) -> DataFrame:
-        """``(key, node, n, s0, ..., met)`` of the keys that several sets have; ``met`` is how many
-        sets a set meets under its keys."""
-        rows = self.sets.select(
-            F.explode("keys").alias("key"),
-            "node",
-            "n",
-            *(F.col("sketch")[k].alias(s) for k, s in enumerate(self.sketches)),
+        """The sets of each key that several have, ``(key, node, n, met, usable, component, done)`` and
+        what is carried: ``met`` is larger for a better pivot, ``usable`` is how many shingles a set may
+        share, ``done`` whether it has been compared with all others of the key."""
+        raise NotImplementedError
+
+    def fits(self) -> Column:
+        """Whether what is known of ``a`` and ``b`` allows a link."""
+        raise NotImplementedError
+
+    def sizes_fit(self) -> Column:
+        sizes = 100 * F.least("n_a", "n_b") >= self.similarity * F.greatest("n_a", "n_b")
+        both = (100 + self.similarity) * F.least("usable_a", "usable_b")
+        return sizes & (both >= self.similarity * (F.col("n_a") + F.col("n_b")))
+
+    def with_both(self, pairs: DataFrame, about: DataFrame) -> DataFrame:
+        """``pairs`` with the columns of ``about`` for ``a`` and for ``b``, side by side."""
+        names = [c for c in about.columns if c != "node"]
+        of = lambda x: about.select(
+            F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names)
         )
-        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        rows = stored(rows.join(stored(sizes, "key-sizes"), "key"), "members")
-        met = rows.groupBy(F.col("node").alias("of")).agg(F.sum("size").alias("met"))
-        met = stored(met, "met")
-        return stored(rows.join(met, rows["node"] == met["of"]).drop("of"), "members-met")
+        joined = pairs.join(of("a"), "a").join(of("b"), "b")
+        return joined.select("a", "b", *(f"{c}_{x}" for c in names for x in "ab"))
 
-    def _fits(self) -> Column:
-        """Whether the sizes and sketches of ``a`` and ``b`` allow a link."""
-        apart = [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in self.sketches]
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        return (100 * small >= self.similarity * large) & (sum(apart, F.lit(0)) <= self.most)
+    def _names(self) -> list[str]:
+        return ["node", "n", "usable", "component", *self.carried]
 
     def _side(self, rows: DataFrame, x: str, *more: str) -> DataFrame:
-        names = ["node", "n", "component", *self.sketches]
-        return rows.select(*more, *(F.col(c).alias(f"{c}_{x}") for c in names))
+        return rows.select(*more, *(F.col(c).alias(f"{c}_{x}") for c in self._names()))
 
     def _pairs(self, joined: DataFrame) -> DataFrame:
-        fit = joined.where((F.col("component_a") != F.col("component_b")) & self._fits())
+        fit = joined.where((F.col("component_a") != F.col("component_b")) & self.fits())
         return fit.select(
             F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
         ).distinct()
 
-    def open_rows(self, rows: DataFrame, found: DataFrame | None) -> DataFrame:
-        """``rows`` with their ``component``, of the keys that have several."""
-        if found is None:
-            return rows.withColumn("component", F.col("node"))
-        found = found.withColumnRenamed("node", "of")
-        placed = stored(
-            rows.drop("component")
-            .join(found, rows["node"] == found["of"], "left")
-            .withColumn("component", F.coalesce("component", "node"))
-            .drop("of"),
-            "placed-members",
-        )
+    def open_rows(self, rows: DataFrame) -> DataFrame:
+        """The rows of keys whose sets that are not done are in several components."""
         several = (
-            placed.groupBy("key")
+            rows.where("NOT done")
+            .groupBy("key")
             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
             .where("low < high")
             .select("key")
         )
-        return stored(placed.join(several, "key"), "open-members")
-
-    def with_pivots(self, rows: DataFrame, past: DataFrame | None):
-        """``(pairs, pivots)``: the pairs of each key's pivot and its other sets, and the pivots so far.
-        A pivot comes from outside the components of those before it."""
-        order = F.struct("met", F.xxhash64("node"), "node", "n", "component", *self.sketches)
-        choice = rows
-        if past is not None:
-            # A past pivot is a set of its key, so its component by now is known here.
-            used = rows.join(past, ["key", "node"]).select("key", "component").distinct()
-            choice = rows.join(used, ["key", "component"], "left_anti")
-        pivots = stored(choice.groupBy("key").agg(F.max(order).alias("p")), "pivots")
-        names = ["node", "n", "component", *self.sketches]
-        side = pivots.select("key", *(F.col("p")[c].alias(f"{c}_b") for c in names))
-        pairs = self._pairs(self._side(rows, "a", "key").join(side, "key"))
-        own = pivots.select("key", F.col("p.node").alias("node"))
-        return pairs, own if past is None else past.union(own)
+        return stored(rows.join(several, "key"), "open-members")
+
+    def largest(self, rows: DataFrame) -> int:
+        """The number of sets under the largest key."""
+        sizes = rows.where("NOT done").groupBy("key").agg(F.count("*").alias("size"))
+        return sizes.agg(F.max("size")).first()[0] or 0
+
+    def after(self, rows: DataFrame, pivots: DataFrame, found: DataFrame | None) -> DataFrame:
+        """The rows still open after the comparison with ``pivots``."""
+        past = pivots.select("key", F.col("p.node").alias("node"), F.lit(True).alias("past"))
+        rows = rows.join(past, ["key", "node"], "left")
+        rows = rows.withColumn("done", F.col("done") | F.coalesce("past", F.lit(False))).drop("past")
+        if found is not None:
+            found = found.select(F.col("node").alias("of"), F.col("component").alias("by_now"))
+            rows = rows.join(found, rows["node"] == found["of"], "left")
+            rows = rows.withColumn("component", F.coalesce("by_now", "component")).drop("of", "by_now")
+        return self.open_rows(stored(rows, "placed-members"))
+
+    def pruned(self, rows: DataFrame, contents: DataFrame) -> DataFrame:
+        """The open rows of sets that can have a link to another component, by the shingles that open
+        sets of different components share; ``contents`` has the shingles."""
+        nodes = rows.where("NOT done").select("node", "component").distinct()
+        each = nodes.join(contents, "node").mapInArrow(
+            _each_shingle, "node long, component long, shingle long"
+        )
+        each = stored(each, "shingles-of-open")
+        shared = (
+            each.groupBy("shingle")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low < high")
+            .select("shingle")
+        )
+        usable = each.join(shared, "shingle").groupBy(F.col("node").alias("of")).agg(F.count("*").alias("u"))
+        usable = stored(usable, "usable-of-open")
+        least = rows.where("NOT done").groupBy("key").agg(F.min("n").alias("least"))
+        rows = rows.join(usable, rows["node"] == usable["of"], "left").join(least, "key")
+        rows = rows.withColumn("usable", F.coalesce("u", F.lit(0))).drop("of", "u")
+        # the smallest partner that a set can have under the key
+        partner = F.greatest(F.ceil(F.col("n") * self.similarity / F.lit(100)), "least")
+        enough = (100 + self.similarity) * F.col("usable") >= self.similarity * (F.col("n") + partner)
+        return self.open_rows(stored(rows.where(F.col("done") | enough).drop("least"), "pruned-members"))
+
+    def pivots(self, rows: DataFrame) -> DataFrame:
+        """``(key, p)``: the set of each key that the others are compared with; one from outside the
+        components of those before it."""
+        order = F.struct("met", F.xxhash64("node"), *self._names())
+        used = rows.where("done").select("key", "component").distinct()
+        choice = rows.where("NOT done").join(used, ["key", "component"], "left_anti")
+        return stored(choice.groupBy("key").agg(F.max(order).alias("p")), "pivots")
+
+    def with_pivots(self, rows: DataFrame, pivots: DataFrame) -> DataFrame:
+        """The pairs of each key's pivot and its other sets."""
+        side = pivots.select("key", *(F.col("p")[c].alias(f"{c}_b") for c in self._names()))
+        return self._pairs(self._side(rows.where("NOT done"), "a", "key").join(side, "key"))
 
     def across(self, rows: DataFrame) -> DataFrame:
         """The pairs under a key from different components. The sets of a large key are dealt into
         blocks, and each pair of blocks has a task to itself."""
+        rows = rows.where("NOT done")
         sizes = rows.groupBy("key").agg(F.count("*").alias("left"))
         rows = rows.join(sizes, "key")
         blocks = F.ceil(F.col("left") / F.lit(BLOCK_SETS)).cast("int")
@@ -267,10 +324,9 @@ class _Search:
         once = once | ((F.col("block_a") == F.col("i")) & (F.col("block_b") == F.col("j")) & (F.col("i") < F.col("j")))
         return self._pairs(joined.where(once))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs``: their sets are made again from the texts and compared."""
-        pairs = stored(pairs, "pairs")
-        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    def contents(self, nodes: DataFrame) -> DataFrame:
+        """``(node, shingles)``: the full sets, made again from the texts."""
+        wanted = stored(nodes.select("node").distinct(), "wanted")
         names = stored(
             only(self.sets.select("node", "first", "digest"), wanted, "node"), "wanted-names"
         )
@@ -280,10 +336,103 @@ class _Search:
         )
         # A repeated ``doc_id`` brings other sets and the same set again.
         made = made.groupBy("digest").agg(F.first("shingles").alias("shingles"))
-        contents = stored(names.join(made, "digest").select("node", "shingles"), "contents")
-        of = lambda x, s: contents.select(F.col("node").alias(x), F.col("shingles").alias(s))
-        joined = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y")
-        return stored(joined.mapInArrow(_confirmed(self.similarity), "a long, b long"), "links")
+        return stored(names.join(made, "digest").select("node", "shingles"), "contents")
+
+    def confirmed(self, pairs: DataFrame, contents: DataFrame | None) -> DataFrame:
+        """The links among ``pairs``, by their full sets; these are in ``contents`` if it is given."""
+        pairs = stored(pairs, "pairs")
+        if contents is None:
+            contents = self.contents(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        both = self.with_both(pairs, contents)
+        return stored(both.mapInArrow(_confirmed(self.similarity), "a long, b long"), "links")
+
+
+class _Banded(Search):
+    """The search with keys of bands, and with sketches."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int, bits: int):
+        super().__init__(docs, sets, words, similarity)
+        self.most = most_differing(bits, similarity)
+        self.carried = tuple(f"s{k}" for k in range(bits // 64))
+
+    def under_keys(self) -> DataFrame:
+        """``met`` is how many sets a set meets under its keys."""
+        rows = self.sets.select(
+            F.explode("keys").alias("key"),
+            "node",
+            "n",
+            *(F.col("sketch")[k].alias(s) for k, s in enumerate(self.carried)),
+        )
+        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        rows = stored(rows.join(stored(sizes, "key-sizes"), "key"), "members")
+        met = rows.groupBy(F.col("node").alias("of")).agg(F.sum("size").alias("met"))
+        met = stored(met, "met")
+        rows = rows.join(met, rows["node"] == met["of"]).drop("of", "size")
+        rows = rows.withColumn("usable", F.col("n")).withColumn("component", F.col("node"))
+        return stored(rows.withColumn("done", F.lit(False)), "members-met")
+
+    def fits(self) -> Column:
+        apart = [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in self.carried]
+        return self.sizes_fit() & (sum(apart, F.lit(0)) <= self.most)
+
+
+def named_sets(rows: DataFrame, *about: str) -> tuple[DataFrame, DataFrame]:
+    """Of documents ``(row, doc_id, n_shingles, digest, ...)``: ``(digest, node, first)``, a number and
+    the smallest id of each set; and the sets ``(node, n, digest, first, ...)`` with what is told
+    ``about`` them in the first row of a set in each task."""
+    names = stored(
+        rows.where("digest IS NOT NULL")
+        .groupBy("digest")
+        .agg(F.min("row").alias("node"), F.min("doc_id").alias("first")),
+        "names",
+    )
+    # The first row of a set is the first of its task, too, so it is one that tells.
+    firsts = only(
+        rows.where(f"{about[0]} IS NOT NULL").select("row", "n_shingles", *about),
+        names.select(F.col("node").alias("row")),
+        "row",
+    )
+    firsts = firsts.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), *about)
+    return names, stored(firsts.join(names, "node"), "distinct-sets")
+
+
+def linked(search: Search, rounds: int) -> DataFrame | None:
+    """``(node, component)`` of the sets that have links; none if none has."""
+    members = search.under_keys()
+    links = found = contents = None
+    for turn in range(rounds + 1):
+        if members.isEmpty():
+            break
+        if turn:
+            # Later rounds are about sets that are open now.
+            contents = search.contents(members.where("NOT done")) if contents is None else contents
+            members = search.pruned(members, contents)
+        last = turn >= rounds or turn and search.largest(members) <= FEW_SETS
+        pivots = None if last else search.pivots(members)
+        pairs = search.across(members) if pivots is None else search.with_pivots(members, pivots)
+        more = search.confirmed(pairs, contents)
+        if not more.isEmpty():
+            links = more if links is None else links.union(more)
+            found = stored(components(links), "components")
+        if last:
+            break
+        members = search.after(members, pivots, found)
+    return found
+
+
+def lowest_ids(names: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``(digest, lowest)``: the smallest id of each set's component."""
+    if found is None:
+        return names.select("digest", F.col("first").alias("lowest"))
+    found = found.withColumnRenamed("node", "of")
+    placed = stored(
+        names.join(found, names["node"] == found["of"], "left").select(
+            "digest", "first", F.coalesce("component", "node").alias("component")
+        ),
+        "placed",
+    )
+    least = placed.groupBy("component").agg(F.min("first").alias("lowest"))
+    return placed.join(least, "component").select("digest", "lowest")
 
 
 def min_max_groups(
@@ -305,49 +454,9 @@ def min_max_groups(
     """
     docs = documents(docs)
     rows = stored(docs.mapInArrow(_signed(words, permutations, band), _SETS), "signed")
-    names = stored(
-        rows.where("digest IS NOT NULL")
-        .groupBy("digest")
-        .agg(F.min("row").alias("node"), F.min("doc_id").alias("first")),
-        "names",
-    )
-    # The first row of a set is the first of its task, too, so it has the set's keys.
-    firsts = only(
-        rows.where("keys IS NOT NULL").select("row", "n_shingles", "digest", "keys", "sketch"),
-        names.select(F.col("node").alias("row")),
-        "row",
-    )
-    firsts = firsts.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "keys", "sketch")
-    firsts = stored(firsts.join(names, "node"), "sets")
-    search = _Search(docs, firsts, words, similarity, 2 * permutations)
-    members = search.under_keys()
-
-    links = found = past = None
-    for turn in range(rounds + 1):
-        members = search.open_rows(members, found)
-        if members.isEmpty():
-            break
-        if turn < rounds:
-            pairs, past = search.with_pivots(members, past)
-        else:
-            pairs = search.across(members)
-        more = search.confirmed(pairs)
-        if more.isEmpty():
-            continue
-        links = more if links is None else links.union(more)
-        found = stored(components(links), "components")
-    if found is None:
-        lowest = names.select("digest", F.col("first").alias("lowest"))
-    else:
-        of = found.withColumnRenamed("node", "of")
-        placed = stored(
-            names.join(of, names["node"] == of["of"], "left").select(
-                "digest", "first", F.coalesce("component", "node").alias("component")
-            ),
-            "placed",
-        )
-        least = placed.groupBy("component").agg(F.min("first").alias("lowest"))
-        lowest = placed.join(least, "component").select("digest", "lowest")
+    names, firsts = named_sets(rows, "keys", "sketch")
+    search = _Banded(docs, firsts, words, similarity, 2 * permutations)
+    lowest = lowest_ids(names, linked(search, rounds))
     component = F.coalesce("lowest", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, component.isNull())
     return rows.select("doc_id", "n_shingles", "digest").join(lowest, "digest", "left").select(

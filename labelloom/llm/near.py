@@ -18,26 +18,29 @@ those that repeat within blocks often enough are sent to all tasks, the most fre
 
 Under each key one set is the pivot, and the others are compared with it first: a group of thousands
 of near copies is linked by as many comparisons. The first pivot is the set with the smallest share of
-shingles that only it has, which the original of many copies is. Only sets that share a key and are not
-connected by then are compared with each other. Nothing is left out. A pair is dropped when its overlap
-is bound too low: by the keys that each of the sets has for itself, and as shared shingles that are not
-among its shared single keys come, in one of the sets, after the last of these. Of the other pairs, sets
-of half hashes are intersected, which finds no fewer common shingles than there are, and where those
-suffice whole sets are.
+shingles that only it has, which the original of many copies is. Keys under which the others are not all
+connected by then go on as in ``minmax``: sets with too few shingles that open sets of other components
+share meet nobody again, and in the end only sets of different components under a key are compared, the
+sets of a large key block by block. Nothing is left out.
+
+A pair is dropped when its overlap is bound too low: by the keys that each of the sets has for itself,
+and as shared shingles that are not among its shared single keys come, in one of the sets, after the
+last of these. Of the other pairs, sets of half hashes are intersected, which finds no fewer common
+shingles than there are, and where those suffice whole sets are.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.components import components
-from labelloom.llm.words import Hasher, chunks, mixed, shingle_sets
+from labelloom.llm.minmax import Search, digest_of, linked, lowest_ids, named_sets, sets_of
+from labelloom.llm.words import mixed
 from labelloom.llm.work import documents, only, stored
 
 SIMILARITY = 80
@@ -47,30 +50,20 @@ FREQUENT_FROM = 48
 #: Frequent shingles sent to every task, 8 bytes each.
 FREQUENT_SHINGLES = 1 << 18
 #: Shingles counted at a time.
-BLOCK_SHINGLES = 4 << 20
+BLOCK_SHINGLES = 2 << 20
+#: Names of sets that a task remembers.
+SEEN_SETS = 500_000
 #: Rounds of comparing with a pivot before sets under a key are compared with each other.
 PIVOT_ROUNDS = 2
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch], words: int):
-    """``(doc ids, shingle sets)`` for pieces of the batches."""
-    hasher = Hasher()
-    for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        for a, b, data, offsets in chunks(batch):
-            yield ids[a:b], shingle_sets(hasher, data, offsets, words)
-
-
-def _set_id(shingles: np.ndarray) -> int:
-    """A name for the set that depends on all of it."""
-    return int.from_bytes(hashlib.blake2b(shingles, digest_size=8).digest(), "little", signed=True)
-
-
 def _repeats(words: int, block: int):
     """``(shingle, n)``: how many of the different sets of a block have it, if more than one does."""
 
     def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
-        shingles, n = np.unique(np.concatenate(sets), return_counts=True)
+        shingles = np.concatenate(sets)
+        sets.clear()
+        shingles, n = np.unique(shingles, return_counts=True)
         again = n > 1
         return pa.RecordBatch.from_arrays(
             [pa.array(shingles[again].view(np.int64)), pa.array(n[again].astype(np.int64))],
@@ -79,9 +72,9 @@ def _repeats(words: int, block: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
-        for _, sets in _sets_of(batches, words):
+        for _, sets in sets_of(batches, words):
             for s in sets:
-                if len(s) and (name := _set_id(s)) not in seen:
+                if len(s) and (name := digest_of(s)) not in seen:
                     seen.add(name)
                     held.append(s)
                     size += len(s)
@@ -130,16 +123,17 @@ def all_rare(n: int, singles: int, similarity: int) -> bool:
 
 
 def _indexed(frequent, words: int, similarity: int):
-    """Of each document its set's name and size; with the first document of a set in a batch also
+    """Of each document its set's digest and size; with the first document of a set in a task also
     the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = frequent.value
-        seen: set[int] = set()
-        for ids, sets in _sets_of(batches, words):
+        seen: set[bytes] = set()
+        row = TaskContext.get().partitionId() << 36
+        for ids, sets in sets_of(batches, words):
             names, keys, singles = [], [], []
             for s in sets:
-                name = _set_id(s) if len(s) else None
+                name = digest_of(s) if len(s) else None
                 names.append(name)
                 if name is None or name in seen:
                     keys.append(None)
@@ -149,36 +143,34 @@ def _indexed(frequent, words: int, similarity: int):
                     k, single = keys_of(s, common, similarity)
                     keys.append(k.view(np.int64))
                     singles.append(single)
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN_SETS:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(np.arange(row, row + len(sets))),
                     ids,
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(names, pa.int64()),
+                    pa.array(names, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(singles, pa.int32()),
                 ],
-                ["doc_id", "n_shingles", "set_id", "keys", "singles"],
+                ["row", "doc_id", "n_shingles", "digest", "keys", "singles"],
             )
+            row += len(sets)
 
     return run
 
 
-def _contents(words: int, kind: type):
-    """Whole sets, as hashes of this kind in ascending order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets_of(batches, words):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_set_id(s) for s in sets], pa.int64()),
-                    pa.array([np.sort(s.astype(kind)).tobytes() for s in sets], pa.binary()),
-                ],
-                ["set_id", "shingles"],
-            )
-
-    return run
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(node, shingles)`` with half of each hash, in ascending order."""
+    for batch in batches:
+        halves = [
+            np.sort(np.frombuffer(x.as_buffer(), dtype=np.uint64).astype(np.uint32)).tobytes()
+            for x in batch.column("shingles")
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(halves, pa.binary())], ["node", "shingles"]
+        )
 
 
 def _similar(similarity: int, kind: type):
@@ -225,147 +217,68 @@ def _possible(similarity: int):
     return run
 
 
-def _size_fits(similarity: int, x: str, y: str):
-    return 100 * F.least(x, y) >= similarity * F.greatest(x, y)
+class _Join(Search):
+    """The search with keys of rare shingles and of pairs of frequent ones. ``reach`` bounds the
+    overlap of two sets from one side: for the one whose keys end first."""
 
+    carried = ("reach",)
 
-class _Comparer:
-    """Compares pairs of sets; reads the keys, and then the texts, of those alone."""
-
-    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> None:
-        self.docs, self.words, self.similarity = docs, words, similarity
-        self.sets = sets.where("set_id IS NOT NULL")
-
-    def _with_both(self, pairs: DataFrame, about: DataFrame) -> DataFrame:
-        """``pairs`` with the columns of ``about`` for ``a`` and for ``b``, side by side."""
-        names = [c for c in about.columns if c != "set_id"]
-        of = lambda x: about.select(
-            F.col("set_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names)
-        )
-        joined = pairs.join(of("a"), "a").join(of("b"), "b")
-        return joined.select("a", "b", *(f"{c}_{x}" for c in names for x in "ab"))
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        in_pairs = lambda p: p.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-        keys = only(
-            self.sets.where("keys IS NOT NULL").select("set_id", "n_shingles", "singles", "keys"),
-            stored(in_pairs(pairs), "wanted"),
-            "set_id",
-        )
-        possible = stored(
-            self._with_both(pairs, keys)
-            .mapInArrow(_possible(self.similarity), "a long, b long")
-            .distinct(),
-            "possible",
+    def under_keys(self) -> DataFrame:
+        rows = self.sets.select(
+            F.col("n").cast("int").alias("n"),
+            "node",
+            "singles",
+            F.posexplode("keys").alias("position", "key"),
         )
-        for kind in (np.uint32, np.uint64):
-            possible = self._compared(possible, kind)
-        return possible
-
-    def _compared(self, pairs: DataFrame, kind: type) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-        chosen = (
-            only(self.sets.select("set_id", "doc_id"), stored(wanted, "wanted"), "set_id")
-            .groupBy("set_id")
-            .agg(F.min("doc_id").alias("doc_id"))
+        rows = rows.select(
+            "key",
+            F.hash("key").alias("part"),
+            "node",
+            "n",
+            "singles",
+            (F.col("position") < F.col("singles")).alias("single"),
         )
-        contents = only(self.docs, stored(chosen, "chosen")).mapInArrow(
-            _contents(self.words, kind), "set_id long, shingles binary"
+        # Half the bits of a key are enough to drop nearly all that occur once, at half the cost.
+        repeated = rows.groupBy("part").agg(F.count("*").alias("times")).where("times > 1").select("part")
+        met = stored(rows.join(repeated, "part").drop("part"), "met")
+        # Shingles of a set that are keys of others, too, or no keys.
+        reach = met.groupBy(F.col("node").alias("of")).agg(
+            F.least(F.max(F.col("n") - F.col("singles")) + F.count_if("single"), F.max("n"))
+            .cast("int")
+            .alias("reach")
         )
-        joined = self._with_both(pairs, stored(contents, "contents"))
+        reach = stored(reach, "reach")
+        rows = met.drop("singles", "single").join(reach, met["node"] == reach["of"]).drop("of")
         return stored(
-            joined.mapInArrow(_similar(self.similarity, kind), "a long, b long"), "links"
+            rows.withColumn("met", F.col("reach") / F.col("n"))
+            .withColumn("usable", F.col("n"))
+            .withColumn("component", F.col("node"))
+            .withColumn("done", F.lit(False)),
+            "shared",
         )
 
+    def fits(self) -> Column:
+        """Whether two sets can have enough in common. What the further keys of the set whose keys end
+        last share may be no key of the other set, so the larger reach counts."""
+        both = (100 + self.similarity) * F.greatest("reach_a", "reach_b")
+        return self.sizes_fit() & (both >= self.similarity * (F.col("n_a") + F.col("n_b")))
 
-def _usable(shared: DataFrame) -> DataFrame:
-    """``(of, usable)``: how many shingles of a set are keys of others, too, or no keys. Of two sets,
-    this bounds the overlap for the one whose keys end first alone."""
-    found = shared.groupBy(F.col("set_id").alias("of")).agg(
-        F.max(F.col("n_shingles") - F.col("singles")).alias("rest"),
-        F.max("n_shingles").alias("n"),
-        F.count(F.when(F.col("position") >= 0, 1)).alias("met"),
-    )
-    usable = F.least(F.col("rest") + F.col("met"), "n").cast("int")
-    return stored(found.select("of", usable.alias("usable")), "usable")
-
-
-def _open_rows(shared: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The rows of keys whose sets are not yet all in one component, with that ``component``."""
-    if found is None:
-        return shared.withColumn("component", F.col("set_id"))
-    rows = stored(
-        shared.join(found, shared["set_id"] == found["node"], "left").select(
-            shared["*"], F.coalesce("component", "set_id").alias("component")
-        ),
-        "in-components",
-    )
-    mixed_keys = (
-        rows.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least < most")
-        .select("key")
-    )
-    return rows.join(mixed_keys, "key", "left_semi")
-
-
-def _overlap_fits(similarity: int):
-    """Whether two sets ``a`` and ``b`` can have enough in common, by their usable shingles: those of
-    the set whose keys end first. What the other one's further keys share may be no key of this set."""
-    most = (100 + similarity) * F.greatest("usable_a", "usable_b")
-    return most >= similarity * (F.col("n_a") + F.col("n_b"))
-
-
-def _pivot_pairs(rows: DataFrame, similarity: int, turn: int) -> DataFrame:
-    by = F.xxhash64("set_id", F.lit(turn))
-    if turn == 0:
-        by = F.struct(-F.col("usable") / F.col("n_shingles"), by)
-    by = F.struct(by, "set_id", "n_shingles", "component", "usable")
-    pivots = rows.groupBy("key").agg(F.min(by).alias("pivot"))
-    joined = rows.join(pivots, "key").select(
-        F.col("set_id").alias("a"),
-        F.col("n_shingles").alias("n_a"),
-        F.col("component").alias("c_a"),
-        F.col("usable").alias("usable_a"),
-        F.col("pivot.usable").alias("usable_b"),
-        F.col("pivot.set_id").alias("b"),
-        F.col("pivot.n_shingles").alias("n_b"),
-        F.col("pivot.component").alias("c_b"),
-    )
-    fit = joined.where((F.col("c_a") != F.col("c_b")) & _size_fits(similarity, "n_a", "n_b"))
-    fit = fit.where(_overlap_fits(similarity))
-    return fit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
-    """All pairs under a key from different components whose overlap can be large enough."""
-    side = lambda s: rows.select(
-        "key",
-        F.col("set_id").alias(s),
-        F.col("n_shingles").alias(f"n_{s}"),
-        F.col("position").alias(f"at_{s}"),
-        F.col("singles").alias(f"singles_{s}"),
-        F.col("usable").alias(f"usable_{s}"),
-        F.col("component").alias(f"c_{s}"),
-    )
-    # A pair has the sizes of its sets, so these do not multiply it.
-    met = (
-        side("a")
-        .join(side("b"), "key")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        .where(_size_fits(similarity, "n_a", "n_b") & _overlap_fits(similarity))
-        .groupBy("a", "b", "n_a", "n_b", "singles_a", "singles_b")
-        .agg(F.count(F.when(F.col("at_a") >= 0, 1)).alias("shared"))
-    )
-    # The same bound as in ``_possible``, but for not knowing whose keys end first: between components
-    # every shared key is met here.
-    rest = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
-    spare = lambda x: F.col(f"n_{x}") - F.ceil(F.col(f"n_{x}") * similarity / 100.0)
-    whole = (F.col("singles_a") <= spare("a")) & (F.col("singles_b") <= spare("b"))
-    most = F.col("shared") + F.when(whole, F.least(*rest)).otherwise(F.greatest(*rest))
-    enough = (100 + similarity) * most >= similarity * (F.col("n_a") + F.col("n_b"))
-    return met.where(enough).select("a", "b")
+    def confirmed(self, pairs: DataFrame, contents: DataFrame | None) -> DataFrame:
+        """The links among ``pairs``; reads the keys, and then the texts, of those alone."""
+        pairs = stored(pairs, "pairs")
+        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+        keys = only(self.sets.select("node", "n", "singles", "keys"), wanted, "node")
+        possible = stored(
+            self.with_both(pairs, keys).mapInArrow(_possible(self.similarity), "a long, b long"),
+            "possible",
+        )
+        if contents is None:
+            contents = self.contents(possible.select(F.explode(F.array("a", "b")).alias("node")))
+        halves = contents.mapInArrow(_halves, "node long, shingles binary")
+        for kind, shingles in ((np.uint32, halves), (np.uint64, contents)):
+            both = self.with_both(possible, shingles)
+            possible = stored(both.mapInArrow(_similar(self.similarity, kind), "a long, b long"), "links")
+        return possible
 
 
 def near_groups(
@@ -395,52 +308,16 @@ def near_groups(
         .toPandas()["shingle"]
     )
     frequent = context.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(np.uint64)))
-    sets = stored(
+    rows = stored(
         docs.mapInArrow(
             _indexed(frequent, words, similarity),
-            "doc_id long, n_shingles long, set_id long, keys array<long>, singles int",
+            "row long, doc_id long, n_shingles long, digest binary, keys array<long>, singles int",
         ),
         "sets",
     )
-    rows = sets.where("keys IS NOT NULL").select(
-        "set_id",
-        F.col("n_shingles").cast("int").alias("n_shingles"),
-        "singles",
-        F.posexplode("keys").alias("position", "key"),
-    )
-    rows = rows.select(
-        "key",
-        F.hash("key").alias("part"),
-        "set_id",
-        "n_shingles",
-        "singles",
-        F.when(F.col("position") < F.col("singles"), F.col("position")).otherwise(-1).alias("position"),
-    )
-    # Half the bits of a key are enough to drop nearly all that occur once, at half the cost.
-    repeated = rows.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
-    met = stored(rows.join(repeated, "part").drop("part"), "met")
-    usable = _usable(met)
-    shared = stored(met.join(usable, met["set_id"] == usable["of"]).drop("of"), "shared")
-    comparer = _Comparer(docs, sets, words, similarity)
-    links = comparer.links(_pivot_pairs(_open_rows(shared, None), similarity, 0))
-    found = stored(components(links), "components")
-    for turn in range(1, pivot_rounds):
-        links = links.union(
-            comparer.links(_pivot_pairs(_open_rows(shared, found), similarity, turn))
-        )
-        found = stored(components(links), "components")
-    links = links.union(comparer.links(_cross_pairs(_open_rows(shared, found), similarity)))
-    found = stored(components(links), "components")
-
-    firsts = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    placed = stored(
-        firsts.join(found, firsts["set_id"] == found["node"], "left").select(
-            "set_id", "first", F.coalesce("component", "set_id").alias("component")
-        ),
-        "placed",
-    )
-    lowest = placed.groupBy("component").agg(F.min("first").alias("lowest"))
-    groups = stored(placed.join(lowest, "component").select("set_id", "lowest"), "groups")
-    return sets.join(groups, "set_id", "left").select(
+    names, firsts = named_sets(rows, "keys", "singles")
+    search = _Join(docs, firsts, words, similarity)
+    lowest = lowest_ids(names, linked(search, pivot_rounds))
+    return rows.select("doc_id", "n_shingles", "digest").join(lowest, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("lowest", "doc_id").alias("component_id")
     )

@@ -89,7 +89,7 @@ def _families(seed=3):
     return [(k, " ".join(t)) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("rounds,block", [(3, 2_000), (0, 7), (1, 2_000)])
+@pytest.mark.parametrize("rounds,block", [(2, 2_000), (0, 7), (1, 2_000), (3, 50)])
 def test_families(spark, monkeypatch, rounds, block):
     monkeypatch.setattr(minmax, "BLOCK_SETS", block)
     rows = _families()
