@@ -19,8 +19,9 @@ A byte goes if a ``SPAN``-byte string that covers it also starts earlier: in a d
    instead, each of which then is a region for itself.
 4. The repeats come together by document, where they are merged and cut out.
 
-A null text is empty. Rows that repeat a ``doc_id`` must repeat its text; they are one document and are
-cut alike. A null ``doc_id`` comes last. No input: no rows.
+A null text is empty. Rows that repeat a ``doc_id`` and its text are one document and are cut alike;
+rows of one ``doc_id``, or without one, with different texts are different documents, in the order of the
+SHA-256 of their texts. Null ids come last. A very long text is a chunk of its own. No input: no rows.
 """
 
 from __future__ import annotations
@@ -349,14 +350,45 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, ``(doc_id, text)``, with a number ``doc`` for each different row, in their order.
+
+    That is the ``doc_id`` where each has one text, which one pass over the digests tells. Else the
+    different rows are sorted over the cluster and numbered by their places.
+    """
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    marked = docs.select("doc_id", digest.alias("digest"))
+    odd = (
+        marked.groupBy("doc_id")
+        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+        .where("low <> high OR doc_id IS NULL")
+    )
+    if odd.isEmpty():
+        return docs.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+    place = F.monotonically_increasing_id()  # the partition above 33 bits, and the place in it
+    placed = stored(
+        marked.distinct().orderBy(F.asc_nulls_last("doc_id"), "digest").withColumn("place", place), "order"
+    )
+    part = F.shiftright("place", 33)
+    sizes = sorted(map(tuple, placed.groupBy(part.alias("part")).count().collect()))
+    before = dict(zip((p for p, _ in sizes), np.cumsum([0, *(n for _, n in sizes)]).tolist(), strict=False))
+    shift = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
+    numbers = placed.select(
+        F.col("doc_id").alias("own"),
+        "digest",
+        (shift[part] + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("doc"),
+    )
+    marked = docs.withColumn("digest", digest)
+    same = marked["doc_id"].eqNullSafe(numbers["own"]) & (marked["digest"] == numbers["digest"])
+    return marked.join(numbers, same).select("doc", "doc_id", "text")
+
+
 def without_repeats(
     docs: DataFrame, span: int = SPAN, gram: int = GRAM, group_regions: int = GROUP_REGIONS
 ) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` for every row of ``docs``: the
     remaining bytes, which may cut a character, and how many maximal runs went."""
-    docs = documents(docs).select(
-        F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "doc_id", "text"
-    )
+    docs = numbered(documents(docs))
     texts = docs.select("doc", "text")
     counts = texts.mapInArrow(_grams(span, gram), "part int, n int")
     repeated = counts.groupBy("part").agg(F.sum("n").alias("n")).where("n > 1").select("part")

@@ -129,6 +129,26 @@ def test_repeats(small, odd, settings):
         assert found == brute.repeats(rows, settings.get("span", 100))
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """Different texts of one id, or without one, are documents of their own."""
+    random = np.random.default_rng(8)
+    text = lambda n: "".join(random.choice(list("abcdefgh"), n))
+    a, b, c, d = (text(400) for _ in range(4))
+    for rows in (
+        [(1, a), (None, a), (None, b)],
+        [(1, a), (2, a), (2, b)],
+        [(1, a), (2, c + a), (2, b), (2, b), (None, c), (None, d + b[:200]), (3, d), (None, ""), (None, None)],
+    ):
+        order = sorted(
+            set(rows), key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest())
+        )
+        plain = brute.repeats([(k, t) for k, (_, t) in enumerate(order)])
+        expected = sorted((str(i), *plain[order.index((i, t))]) for i, t in rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        out = without_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert sorted((str(r[0]), *r[1:]) for r in out.collect()) == expected
+
+
 @pytest.mark.parametrize(
     "settings",
     [
