@@ -149,6 +149,9 @@ ADDED = [
     ),
 ]
 
+#: Matches whose places are found in one go; those of a longer list are found block by block.
+BLOCK_MATCHES = 256
+
 
 def spans_of(text: Column, kind: Kind) -> Column:
     """The places of the kept matches: code points, end exclusive."""
@@ -168,8 +171,34 @@ def spans_of(text: Column, kind: Kind) -> Column:
         return F.struct(end.alias("at"), kept.otherwise(so_far["spans"]).alias("spans"))
 
     start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("spans"))
+
+    def few(matches: Column) -> Column:
+        return F.aggregate(matches, start, added, lambda x: x["spans"])
+
+    def many(matches: Column) -> Column:
+        """The same block by block: each step copies the spans so far, so it should have few."""
+        no_blocks = F.array().cast(f"array<{_SPANS}>")
+
+        def block(so_far: Column, k: Column) -> Column:
+            own = F.slice(matches, k * BLOCK_MATCHES + 1, F.lit(BLOCK_MATCHES))
+            inner = F.struct(so_far["at"].alias("at"), nothing.alias("spans"))
+            return F.aggregate(
+                F.array(F.aggregate(own, inner, added)),  # computed once, used twice
+                F.struct(so_far["at"].alias("at"), so_far["blocks"].alias("blocks")),
+                lambda s, x: F.struct(
+                    x["at"].alias("at"), F.concat(s["blocks"], F.array(x["spans"])).alias("blocks")
+                ),
+            )
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK_MATCHES).cast("int"))
+        first = F.struct(F.lit(0).cast("long").alias("at"), no_blocks.alias("blocks"))
+        return F.flatten(F.aggregate(blocks, first, block, lambda x: x["blocks"]))
+
     matched = F.filter(found, lambda x: x["match"].isNotNull())
-    places = F.aggregate(matched, start, added, lambda x: x["spans"])
+    # As the element of a list it is computed once, however often it is used.
+    places = F.transform(
+        F.array(matched), lambda m: F.when(F.size(m) <= BLOCK_MATCHES, few(m)).otherwise(many(m))
+    )[0]
     if kind.needs:
         return F.when(F.contains(text, F.lit(kind.needs)), places).otherwise(nothing)
     return places

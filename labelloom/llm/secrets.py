@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -86,10 +88,15 @@ def further_candidates(text: str, taken: list[tuple]) -> list[tuple[int, int, st
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
         if mixed and _entropy(value) >= ENTROPY:
             found.append((m.start(), m.end(), "entropy", value))
-    out = []
+    spans = sorted((a, b) for a, b, *_ in taken)
+    starts = [a for a, _ in spans]
+    ends = list(accumulate((b for _, b in spans), max))  # the last end of all spans up to one
+    out, last = [], 0
     for x in sorted(found, key=lambda x: (x[0], ADDED_KINDS.index(x[2]))):
-        if all(x[1] <= a or b <= x[0] for a, b, *_ in [*taken, *out]):
+        before = bisect_left(starts, x[1])  # so many spans begin before this one ends
+        if x[0] >= last and not (before and ends[before - 1] > x[0]):
             out.append(x)
+            last = x[1]
     return out
 
 

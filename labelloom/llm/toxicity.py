@@ -95,7 +95,7 @@ def _features(model: Model, hasher: Hasher, batch: pa.RecordBatch):
     for _, _, data, offsets in chunks(batch):
         starts, ends, hashes, first = hasher.words(data, offsets)
         odds, known = model.odds_of(hashes, hasher.heads(starts, ends, HEAD))
-        lead = (data & 0xC0) != 0x80  # first bytes of characters
+        chars_to = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before a byte
         for d in range(len(offsets) - 1):
             a, b = int(first[d]), int(first[d + 1])
             places = np.flatnonzero(known[a:b])
@@ -105,9 +105,8 @@ def _features(model: Model, hasher: Hasher, batch: pa.RecordBatch):
                 base = offsets[d]
                 for x, y, s in maximal_segments(places, odds[a:b][places] - DRIFT, DRIFT):
                     surprise = model.rate * s - np.log(model.scale * n)  # -log of the expected number
-                    start, end = starts[a + x], ends[a + y]
-                    chars = int(lead[base:start].sum()), int(lead[base:end].sum())
-                    found.append((*chars, float(s), float(np.exp(-np.clip(surprise, -50, 700)))))
+                    place = (int(chars_to[at] - chars_to[base]) for at in (starts[a + x], ends[a + y]))
+                    found.append((*place, float(s), float(np.exp(-np.clip(surprise, -50, 700)))))
             toxic = [x for x in found if x[3] <= SIGNIFICANT]
             gains = [-np.log(max(x[3], 1e-300)) for x in found]
             best = max(gains, default=-np.log(model.scale * max(n, 1)))
