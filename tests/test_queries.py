@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pyarrow as pa
@@ -48,6 +50,18 @@ def test_query_matches_sql(spark, duck, name):
     assert got.to_pydict() == want.to_pydict()
 
 
+@pytest.mark.parametrize("hidden", ["zstandard", "public_tokenizers", "labelloom.llm", "corpus_pipeline"])
+def test_the_library_works_without_the_corpus_operators(hidden):
+    code = f"""
+import sys
+sys.modules[{hidden!r}] = None
+import __spark_entry__ as e
+assert e.queries().keys() == e.oracle_sql().keys() and "transform_multi" in e.queries()
+assert not [name for name in e.queries() if name.startswith("op") or name == "pipeline"]
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry_points.__file__))
+
+
 def test_flagship(spark):
     rows = entry_points.entry(spark)
     assert rows.columns == ["l_orderkey", "l_linenumber", "flag_idx", "status_idx"]
