@@ -1,16 +1,15 @@
 """Quality by importance resampling.
 
 Two generative models over hashed words and word pairs, one of the target (documents labelled as
-good) and one of the raw text (all documents), give each document a log weight: the logarithm of how
-much likelier the target is to produce it than the raw text. Its mean per n-gram, ``PRIOR_GRAMS`` neutral
-ones included so that a few words prove little, is calibrated on labelled rows by a logistic curve.
-A Gumbel variate drawn from ``doc_id`` is added to the logarithm of the calibrated odds, divided by
-``TEMPERATURE``, and the ``k`` largest sums are sampled, ``k`` being the number of documents that the
-curve calls good.
-
-The raw model covers all documents. The target model and the calibration take at most
-``LABELLED_ROWS`` labelled documents, those with the smallest hash of ``doc_id``; they decide
-two rows of numbers of a fixed size. Only those models leave a task.
+good) and one of the raw text (all documents), give each document an importance weight: how much
+likelier the target is to produce it than the raw text. A Gumbel variate drawn from ``doc_id`` is added
+to the logarithm of the weight, and the ``k`` largest sums are sampled, which draws ``k`` documents
+without replacement in proportion to their weights. ``k`` is a share of all documents: that of good ones
+among the labelled rows, if no other is given.
+
+The raw model covers all documents. The target model takes at most ``LABELLED_ROWS`` labelled documents,
+those with the smallest hash of ``doc_id``; they decide one row of numbers of a fixed size. Only the two
+models leave a task.
 """
 
 from __future__ import annotations
@@ -23,13 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.words import WITH_SIGNS, Hasher, chunks, sequences
-from labelloom.llm.work import documents, stored
+from labelloom.llm.work import documents, stored, tidy
 
 BUCKETS = 10_000
 #: The bound of the labelled sample.
 LABELLED_ROWS = 50_000
-PRIOR_GRAMS = 20
-TEMPERATURE = 0.25
 SEED = 17
 _BINS = 4096
 
@@ -67,11 +64,11 @@ def _counts(buckets: int):
             ["kind", "bucket", "n"],
         )
 
-    return run
+    return tidy(run)
 
 
 def _ratios(ratio):
-    """``(doc_id, n_grams, log_weight, mean_ratio)``; 0 n-grams have the mean 0."""
+    """``(doc_id, n_grams, log_weight)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, log_ratio = Hasher(WITH_SIGNS), ratio.value
@@ -87,12 +84,11 @@ def _ratios(ratio):
                     batch.column(batch.schema.get_field_index("doc_id")),
                     pa.array(n),
                     pa.array(weight),
-                    pa.array(weight / (n + PRIOR_GRAMS)),
                 ],
-                ["doc_id", "n_grams", "log_weight", "mean_ratio"],
+                ["doc_id", "n_grams", "log_weight"],
             )
 
-    return run
+    return tidy(run)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -135,16 +131,19 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
 def quality_sample(
     docs: DataFrame,
     labels: DataFrame,
+    share: float | None = None,
     buckets: int = BUCKETS,
     labelled_rows: int = LABELLED_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``(doc_id, n_grams, log_weight, quality, gumbel_key, kept)`` for every row of ``docs``.
-
-    ``quality`` is the calibrated probability of being good, ``kept`` says whether the row is in the
-    sample; rows that tie with the last one are all in it. A null or empty text has no n-grams, the
-    log weight 0 and the quality of the curve at 0. Without any labelled row of either kind
-    everything is kept. A document labelled twice counts as bad if one label says so.
+    """``(doc_id, n_grams, log_weight, gumbel_key, kept)`` for every row of ``docs``.
+
+    ``kept`` says whether the row is in the sample of ``share`` of all rows (rounded to a whole number);
+    without a share it is that of the good ones among the labelled rows. Rows that tie with the last
+    one are all in it, so rows that repeat a ``doc_id`` and its text go or stay together. A null or empty
+    text has no n-grams and the log weight 0. Without any good or any bad labelled row everything is
+    kept. A document labelled twice counts as bad if one label says so. Whole texts are read, very long
+    ones as a chunk of their own. Other columns do not matter. No input: no rows.
     """
     docs = documents(docs)
     context = docs.sparkSession.sparkContext
@@ -156,9 +155,9 @@ def quality_sample(
         .orderBy(F.xxhash64("doc_id"))
         .limit(labelled_rows)
     )
-    marked = F.broadcast(stored(marked, "labelled"))
+    marked = stored(marked, "labelled")
     counts = (
-        docs.join(marked, "doc_id", "left")
+        docs.join(F.broadcast(marked), "doc_id", "left")
         .select("doc_id", "text", "quality")
         .mapInArrow(_counts(buckets), "kind int, bucket int, n long")
         .groupBy("kind", "bucket")
@@ -169,32 +168,17 @@ def quality_sample(
     model[counts["kind"], counts["bucket"]] += counts["n"]
     model /= model.sum(axis=1, keepdims=True)
     ratio = context.broadcast(np.log(model[1] / model[0]))
-    scored = stored(
-        docs.mapInArrow(
-            _ratios(ratio), "doc_id long, n_grams long, log_weight double, mean_ratio double"
-        ),
-        "ratios",
-    )
-    known = scored.join(marked, "doc_id").select("mean_ratio", "quality").toPandas()
-    if known["quality"].nunique() < 2:
-        slope, constant = 0.0, 1.0
-    else:
-        spread = known["mean_ratio"].std() or 1.0
-        slope, constant = logistic(
-            known[["mean_ratio"]].to_numpy() / spread, known["quality"].to_numpy(dtype=float)
-        )
-        slope /= spread
-    logit = F.lit(float(slope)) * F.col("mean_ratio") + F.lit(float(constant))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    weighed = scored.select(
-        "doc_id",
-        "n_grams",
-        "log_weight",
-        (1 / (1 + F.exp(-logit))).alias("quality"),
-        (logit / TEMPERATURE - F.log(-F.log(uniform))).alias("gumbel_key"),
+    weighed = stored(
+        docs.mapInArrow(_ratios(ratio), "doc_id long, n_grams long, log_weight double").withColumn(
+            "gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))
+        ),
+        "weighed",
     )
-    if slope == 0.0:
+    good, labelled = marked.agg(F.sum("quality"), F.count("*")).first()
+    if not good or good == labelled:
         return weighed.withColumn("kept", F.lit(True))
-    k = weighed.where("quality >= 0.5").count()
+    share = good / labelled if share is None else share
+    k = round(share * weighed.count())
     least = kth_largest(weighed, "gumbel_key", k) if k else float("inf")
     return weighed.withColumn("kept", F.col("gumbel_key") >= F.lit(least))

@@ -162,6 +162,50 @@ def secret_spans(text):
     return (*counts, hashlib.sha256(",".join(x[2] for x in sorted(told)).encode()).hexdigest())
 
 
+TERMS = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
+def leaks(rows, items):
+    """``{(doc_id, item_id)}``: the shingles of question and answer that a text has, four fifths or more."""
+    parts = {
+        i: [shingles(TERMS.findall((x or "").translate(LOWER))) for x in (q, a)] for i, q, a in items
+    }
+    found = set()
+    for d, t in rows:
+        own = TERMS.findall((t or "").translate(LOWER))
+        grams = {tuple(own[i : i + k]) for k in range(1, 6) for i in range(len(own) - k + 1)}
+        for item, (q, a) in parts.items():
+            if q | a and len(q & grams) + len(a & grams) >= 0.8 * (len(q) + len(a)):
+                found.add((d, item))
+    return found
+
+
+def quality(rows, labels, uniform, buckets, hashed, share=None):
+    """``{doc_id: (n_grams, log_weight, gumbel_key, kept)}``: target and raw counts of hashed words and
+    word pairs, one added to each; ``hashed`` gives the hash of a word, and of a pair of hashes."""
+    kinds = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0D]+")
+    grams = {}
+    for d, t in rows:
+        own = [hashed(w) for w in kinds.findall((t or "").translate(LOWER).encode())]
+        first = [h % (buckets - 1) + 1 for h in own]
+        both = [0 if a == b else hashed(a, b) % (buckets - 1) + 1 for a, b in zip(own, own[1:], strict=False)]
+        grams[d] = Counter(first + both)
+    raw, target = Counter(), Counter()
+    for d, own in grams.items():
+        raw.update(own)
+        if labels.get(d) == 1:
+            target.update(own)
+    n_raw, n_target = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    keys = {}
+    for d, own in grams.items():
+        weight = sum(n * math.log((target[g] + 1) / n_target * n_raw / (raw[g] + 1)) for g, n in own.items())
+        keys[d] = (sum(own.values()), weight, weight - math.log(-math.log(uniform[d])))
+    share = sum(labels.values()) / len(labels) if share is None else share
+    k = round(share * len(rows))
+    least = sorted((x[2] for x in keys.values()), reverse=True)[k - 1] if k else math.inf
+    return {d: (*x, x[2] >= least) for d, x in keys.items()}
+
+
 def exact(rows):
     groups = defaultdict(list)
     for d, t in rows:

@@ -2,9 +2,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from labelloom.llm.quality import SEED
+from labelloom.llm.words import WITH_SIGNS, Hasher, sequences
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -50,3 +54,17 @@ def by_id(df, *columns):
     """The rows as a dictionary from ``doc_id`` to the tuple of ``columns``."""
     names = columns or [c for c in df.columns if c != "doc_id"]
     return {r["doc_id"]: tuple(r[c] for c in names) for r in df.collect()}
+
+
+def hashed(first, second=None):
+    """The hash of a word, or of two hashes, by the operators' own hasher."""
+    if second is not None:
+        return int(sequences(np.array([first, second], dtype=np.uint64), 2)[0])
+    data = np.frombuffer(first, dtype=np.uint8)
+    return int(Hasher(WITH_SIGNS).words(data, np.array([0, len(data)]))[2][0])
+
+
+def drawn(docs, seed=SEED):
+    """The uniform variates of documents."""
+    uniform = (F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return {r[0]: r[1] for r in docs.select("doc_id", uniform).collect()}

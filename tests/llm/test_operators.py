@@ -24,7 +24,7 @@ from labelloom.llm.repeats import without_repeats
 from labelloom.llm.secrets import secrets
 from labelloom.llm.toxicity import maximal_segments, toxicity, train
 from tests.llm import brute
-from tests.llm.conftest import SMALL, by_id
+from tests.llm.conftest import SMALL, by_id, drawn, hashed
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -314,6 +314,21 @@ def test_toxicity_without_labels(spark, odd):
     assert len(scores) == len(rows) and all(0 <= s <= 1 for (s,) in scores.values())
 
 
+@pytest.mark.parametrize("share", [None, 0.3])
+def test_quality(spark, small, odd, share):
+    names = ("n_grams", "log_weight", "gumbel_key", "kept")
+    for docs, rows in (small, odd):
+        marked = {r["doc_id"]: r["quality"] for r in _labels(spark).collect()}
+        if docs is odd[0]:
+            marked = {d: int(d % 3 > 0) for d in range(0, 160, 2)}
+        labels = spark.createDataFrame(list(marked.items()), "doc_id long, quality int")
+        found = by_id(quality_sample(docs, labels, share, buckets=500), *names)
+        plain = brute.quality(rows, marked, drawn(docs), 500, hashed, share)
+        assert found.keys() == plain.keys()
+        for d, row in plain.items():
+            assert found[d] == pytest.approx(row, rel=1e-9, abs=1e-9)
+
+
 def test_quality_keeps_good_rows(spark, odd):
     folder = SMALL.replace("0.001", "0.01")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -338,19 +353,9 @@ def test_kth_largest(spark):
 @pytest.mark.parametrize("slice_postings", [500_000, 300])
 def test_decontaminate(spark, small, odd, slice_postings):
     items = _items(spark)
-    terms = brute.re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
-    parts = {
-        r["item_id"]: [brute.shingles(terms.findall(x.translate(brute.LOWER))) for x in r[1:]]
-        for r in items.collect()
-    }
+    told = [tuple(r) for r in items.collect()]
     for docs, rows in (small, odd):
-        expected = set()
-        for d, t in rows:
-            own = terms.findall((t or "").translate(brute.LOWER))
-            grams = {tuple(own[i : i + k]) for k in range(1, 6) for i in range(len(own) - k + 1)}
-            for item, (q, a) in parts.items():
-                if len(q & grams) + len(a & grams) >= 0.8 * (len(q) + len(a)):
-                    expected.add((d, item))
+        expected = brute.leaks(rows, told)
         found = leaked_items(docs, items, slice_postings=slice_postings).collect()
         assert {(r["doc_id"], r["item_id"]) for r in found} == expected
 
