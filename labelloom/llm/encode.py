@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.work import documents
+from labelloom.llm.work import documents, tidy
 
 #: Documents read to find out which words are common.
 SAMPLE_DOCUMENTS = 50_000
@@ -110,7 +110,7 @@ def _word_counts(tokenizer):
             ["word", "n"],
         )
 
-    return run
+    return tidy(run)
 
 
 def _encoded_words(tokenizer):
@@ -122,7 +122,7 @@ def _encoded_words(tokenizer):
                 [words, pa.array(encode(words.to_pylist()), pa.binary())], ["word", "ids"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def _other_words(tokenizer, common):
                 ["doc", "word", "place"],
             )
 
-    return run
+    return tidy(run)
 
 
 def _encode_runs(tokenizer):
@@ -176,7 +176,7 @@ def _encode_runs(tokenizer):
                 [batch.column("doc"), batch.column("place"), found], ["doc", "place", "ids"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _packed(dictionary):
@@ -190,7 +190,7 @@ def _packed(dictionary):
                 [batch.column("doc_id"), batch.column("doc"), packed], ["doc_id", "doc", "packed"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _replaced(tokenizer, common, dictionary):
@@ -215,7 +215,7 @@ def _replaced(tokenizer, common, dictionary):
                 [batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _dictionary(texts: list[str]) -> bytes:
@@ -307,7 +307,7 @@ def _decoded(pieces, with_text: bool):
                 columns, names = [*columns, pa.array(texts, pa.string())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return tidy(run)
 
 
 def decoded(ids: DataFrame, tokenizer_path: str, with_text: bool = True) -> DataFrame:

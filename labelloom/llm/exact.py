@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.work import documents, only, stored
+from labelloom.llm.work import documents, only, stored, tidy
 
 #: Bytes of distinct text in one table.
 TABLE_BYTES = 64 << 20
@@ -83,7 +83,7 @@ def _collapse(table_bytes: int):
                 ["doc_id", "n_chars", "first_id", "digest", "content"],
             )
 
-    return run
+    return tidy(run)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     the most code points, then the smallest ``doc_id``, stays of each group of equal texts."""
     docs = documents(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     digests = stored(
-        docs.mapInArrow(_digests, "doc_id long, n_chars long, n_bytes long, digest binary"),
+        docs.mapInArrow(tidy(_digests), "doc_id long, n_chars long, n_bytes long, digest binary"),
         "digests",
     )
     repeated = stored(
@@ -161,7 +161,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
         .select("first_id", "digest", "content", "bucket")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_compare, "first_id long, digest binary, class int")
+        .mapInArrow(tidy(_compare), "first_id long, digest binary, class int")
         .distinct(),
         "classes",
     )

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.words import Hasher, chunks, mixed
-from labelloom.llm.work import small_batches, stored
+from labelloom.llm.work import small_batches, stored, tidy
 
 DISCOUNTED = 5
 SAMPLE_DOCUMENTS = 10_000
@@ -185,7 +185,7 @@ def _counted(shared):
             [pa.array(np.arange(len(total))), pa.array(total)], ["place", "n"]
         )
 
-    return run
+    return tidy(run)
 
 
 def _dealt(shared, buckets: int, block_bytes: int):
@@ -250,7 +250,7 @@ def _dealt(shared, buckets: int, block_bytes: int):
         if block:
             yield from rows(block, row)
 
-    return run
+    return tidy(run)
 
 
 def _told(kind: int, ids: np.ndarray, h: np.ndarray | pa.Array | None = None, v=None) -> pa.RecordBatch:
@@ -342,7 +342,7 @@ def _of_pairs(shared):
         out.append(_told(1, ids, v=sums))
         return pa.Table.from_batches(out)
 
-    return run
+    return tidy(run)
 
 
 def discounts(seen: list[float]) -> list[float]:

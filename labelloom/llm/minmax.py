@@ -8,8 +8,8 @@ mean varies less than that of as many values of half the permutations would.
 
 * Banding: the values of ``BAND`` permutations make the key of a band. At a similarity of 0.85 two
   sets share none of the 32 bands with a probability of 3 in 10 million.
-* A bit of each value makes a sketch of 24 bytes. Pairs under a key whose sketches differ in more bits
-  than similar sets do (but for 1 in 10 million) go no further.
+* Four bits of each value make a sketch of 192 bytes. Pairs under a key whose sketches differ in more
+  values than those of similar sets do (but for 1 in 10 million) go no further.
 * What is left is confirmed on the full sets.
 
 Under a key not all sets meet: the one that meets the most sets over all its keys, which the original
@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +37,19 @@ from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
 from labelloom.llm.words import Hasher, chunks, mixed, shingle_sets
-from labelloom.llm.work import documents, only, stored
+from labelloom.llm.work import documents, only, stored, tidy
 
 SIMILARITY = 85
 SHINGLE_WORDS = 3
-PERMUTATIONS = 96
-#: Permutations in a band, two values each.
+PERMUTATIONS = 192
+#: Permutations in a band, two values each, and in all bands; the sketches have values of all.
 BAND = 3
-#: Probability that the sketches of two sets that just are similar enough differ by too many bits.
+BANDED = 96
+#: Bits of each value in a sketch.
+SKETCH_BITS = 4
+#: Probability that the sketches of two sets that just are similar enough differ in too many values.
 SKETCH_MISS = 1e-7
-ROUNDS = 2
+ROUNDS = 1
 #: Sets under a key that meet in one task, and up to which they need no further pivot.
 BLOCK_SETS = 2_000
 FEW_SETS = 200
@@ -84,18 +88,21 @@ def band_keys(values: np.ndarray, band: int = BAND) -> np.ndarray:
     return keys
 
 
-def sketch(values: np.ndarray) -> np.ndarray:
-    """A bit of each value, 64 in a number."""
-    bits = (mixed(values.ravel()) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
+def sketch(values: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Some bits of each value: the first ones of 64 values in a number each, then the second ones."""
+    stirred = mixed(values.ravel())
+    planes = [(stirred >> np.uint64(k)) & np.uint64(1) for k in range(bits)]
+    return np.packbits(np.concatenate(planes).astype(np.uint8)).view(np.int64)
 
 
-def most_differing(bits: int, similarity: int, miss: float = SKETCH_MISS) -> int:
-    """The number of bits by which sketches of similar sets differ at most, but for ``miss``."""
-    p, beyond, k = (100 - similarity) / 200, 1.0, -1
-    while beyond > miss and k < bits:
+def most_differing(
+    values: int, similarity: int, bits: int = SKETCH_BITS, miss: float = SKETCH_MISS
+) -> int:
+    """The number of values in which sketches of similar sets differ at most, but for ``miss``."""
+    p, beyond, k = (1 - similarity / 100) * (1 - 0.5**bits), 1.0, -1
+    while beyond > miss and k < values:
         k += 1
-        beyond -= math.comb(bits, k) * p**k * (1 - p) ** (bits - k)
+        beyond -= math.comb(values, k) * p**k * (1 - p) ** (values - k)
     return k
 
 
@@ -113,7 +120,7 @@ def sets_of(batches: Iterator[pa.RecordBatch], words: int):
             yield ids[a:b], shingle_sets(hasher, data, offsets, words)
 
 
-def _signed(words: int, permutations: int, band: int):
+def _signed(words: int, permutations: int, band: int, banded: int):
     """A row for each document; the first of a set in a task has the set's keys and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +133,7 @@ def _signed(words: int, permutations: int, band: int):
                 if len(s) and digests[-1] not in seen:
                     seen.add(digests[-1])
                     values = sign(s)
-                    keys.append(band_keys(values, band).view(np.int64))
+                    keys.append(band_keys(values[:banded], band).view(np.int64))
                     sketches.append(sketch(values))
                 else:
                     keys.append(None)
@@ -146,7 +153,7 @@ def _signed(words: int, permutations: int, band: int):
             )
             row += len(sets)
 
-    return run
+    return tidy(run)
 
 
 def _contents(words: int):
@@ -160,7 +167,7 @@ def _contents(words: int):
                 ["digest", "shingles"],
             )
 
-    return run
+    return tidy(run)
 
 
 def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +198,7 @@ def _confirmed(similarity: int):
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return tidy(run)
 
 
 class Search:
@@ -271,7 +278,7 @@ class Search:
         sets of different components share; ``contents`` has the shingles."""
         nodes = rows.where("NOT done").select("node", "component").distinct()
         each = nodes.join(contents, "node").mapInArrow(
-            _each_shingle, "node long, component long, shingle long"
+            tidy(_each_shingle), "node long, component long, shingle long"
         )
         each = stored(each, "shingles-of-open")
         shared = (
@@ -350,29 +357,33 @@ class Search:
 class _Banded(Search):
     """The search with keys of bands, and with sketches."""
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int, bits: int):
+    def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int, values: int):
         super().__init__(docs, sets, words, similarity)
-        self.most = most_differing(bits, similarity)
-        self.carried = tuple(f"s{k}" for k in range(bits // 64))
+        self.most, self.numbers = most_differing(values, similarity), values // 64
+        self.carried = tuple(f"s{k}" for k in range(SKETCH_BITS * self.numbers))
 
     def under_keys(self) -> DataFrame:
         """``met`` is how many sets a set meets under its keys."""
-        rows = self.sets.select(
-            F.explode("keys").alias("key"),
-            "node",
+        rows = self.sets.select(F.explode("keys").alias("key"), "node")
+        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        rows = stored(rows.join(stored(sizes, "key-sizes"), "key"), "members")
+        about = self.sets.select(
+            F.col("node").alias("of"),
             "n",
             *(F.col("sketch")[k].alias(s) for k, s in enumerate(self.carried)),
         )
-        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        rows = stored(rows.join(stored(sizes, "key-sizes"), "key"), "members")
-        met = rows.groupBy(F.col("node").alias("of")).agg(F.sum("size").alias("met"))
-        met = stored(met, "met")
-        rows = rows.join(met, rows["node"] == met["of"]).drop("of", "size")
+        met = rows.groupBy("node").agg(F.sum("size").alias("met"))
+        met = stored(met.join(about, met["node"] == about["of"]).drop("of"), "met")
+        rows = rows.drop("size").join(met, "node")
         rows = rows.withColumn("usable", F.col("n")).withColumn("component", F.col("node"))
         return stored(rows.withColumn("done", F.lit(False)), "members-met")
 
     def fits(self) -> Column:
-        apart = [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in self.carried]
+        apart = []
+        for k in range(self.numbers):
+            planes = (f"s{k + j * self.numbers}" for j in range(SKETCH_BITS))
+            differ = (F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b")) for s in planes)
+            apart.append(F.bit_count(reduce(Column.bitwiseOR, differ)))
         return self.sizes_fit() & (sum(apart, F.lit(0)) <= self.most)
 
 
@@ -441,19 +452,20 @@ def min_max_groups(
     words: int = SHINGLE_WORDS,
     permutations: int = PERMUTATIONS,
     band: int = BAND,
+    banded: int = BANDED,
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``: the smallest ``doc_id``
     that links lead to, a link being a Jaccard similarity of ``similarity`` percent or more.
 
-    ``permutations`` is a multiple of ``band`` and of 32. A null text and one without words have no
+    ``permutations`` is a multiple of 32, and ``banded`` of them, a multiple of ``band``, make the keys. A null text and one without words have no
     shingles and no links; with fewer than ``words`` words all of them are one shingle. Rows of equal
     sets are one group, whatever their ids. A null ``doc_id`` never names a group that has another; a
     row without one is kept if its group has none. Whole texts are read, very long ones in slices of
     their shingles. Other columns of ``docs`` do not matter. No input: no rows.
     """
     docs = documents(docs)
-    rows = stored(docs.mapInArrow(_signed(words, permutations, band), _SETS), "signed")
+    rows = stored(docs.mapInArrow(_signed(words, permutations, band, banded), _SETS), "signed")
     names, firsts = named_sets(rows, "keys", "sketch")
     search = _Banded(docs, firsts, words, similarity, 2 * permutations)
     lowest = lowest_ids(names, linked(search, rounds))

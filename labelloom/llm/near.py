@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm.minmax import Search, digest_of, linked, lowest_ids, named_sets, sets_of
 from labelloom.llm.words import mixed
-from labelloom.llm.work import documents, only, stored
+from labelloom.llm.work import documents, only, stored, tidy
 
 SIMILARITY = 80
 SHINGLE_WORDS = 5
@@ -51,10 +51,12 @@ FREQUENT_FROM = 48
 FREQUENT_SHINGLES = 1 << 18
 #: Shingles counted at a time.
 BLOCK_SHINGLES = 2 << 20
+#: Texts that go to a task at a time: their shingles take more room than they do.
+TEXTS = 250
 #: Names of sets that a task remembers.
 SEEN_SETS = 500_000
 #: Rounds of comparing with a pivot before sets under a key are compared with each other.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 
 
 def _repeats(words: int, block: int):
@@ -84,7 +86,7 @@ def _repeats(words: int, block: int):
         if held:
             yield counted(held)
 
-    return run
+    return tidy(run)
 
 
 def levels(n: int, similarity: int) -> range:
@@ -158,7 +160,7 @@ def _indexed(frequent, words: int, similarity: int):
             )
             row += len(sets)
 
-    return run
+    return tidy(run)
 
 
 def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +189,7 @@ def _similar(similarity: int, kind: type):
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return tidy(run)
 
 
 def _possible(similarity: int):
@@ -214,7 +216,7 @@ def _possible(similarity: int):
                 keep.append((100 + similarity) * most >= similarity * (m + n))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return tidy(run)
 
 
 class _Join(Search):
@@ -274,7 +276,7 @@ class _Join(Search):
         )
         if contents is None:
             contents = self.contents(possible.select(F.explode(F.array("a", "b")).alias("node")))
-        halves = contents.mapInArrow(_halves, "node long, shingles binary")
+        halves = contents.mapInArrow(tidy(_halves), "node long, shingles binary")
         for kind, shingles in ((np.uint32, halves), (np.uint64, contents)):
             both = self.with_both(possible, shingles)
             possible = stored(both.mapInArrow(_similar(self.similarity, kind), "a long, b long"), "links")
@@ -295,7 +297,7 @@ def near_groups(
     A null text and one without words have no shingles and no links. Rows of equal words are one
     group. A null ``doc_id`` never names a group that has another. No input: no rows.
     """
-    docs = documents(docs)
+    docs = documents(docs, TEXTS)
     context = docs.sparkSession.sparkContext
     often = (
         docs.mapInArrow(_repeats(words, block_shingles), "shingle long, n long")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,16 +33,41 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, most: int = TEXTS_PER_BATCH) -> None:
     """Let fewer rows go to Python at a time: whole texts are long, and batches of them are what
     tasks hold most of. A smaller number that the session already has stays."""
-    if int(spark.conf.get(_BATCH_ROWS)) > TEXTS_PER_BATCH:
-        spark.conf.set(_BATCH_ROWS, TEXTS_PER_BATCH)
+    if int(spark.conf.get(_BATCH_ROWS)) > most:
+        spark.conf.set(_BATCH_ROWS, most)
 
 
-def documents(df: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` alone, so that no other column can clash; no text is an empty text."""
-    small_batches(df.sparkSession)
+def tidy(run: Callable) -> Callable:
+    """A task's function that gives the memory it has freed back to the machine when it ends: the
+    process goes on to serve other tasks, and what it keeps is missing elsewhere."""
+
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim:
+            trim(0)
+
+    @functools.wraps(run)
+    def of_batches(batches):
+        yield from run(batches)
+        give_back()
+
+    @functools.wraps(run)
+    def of_table(table):
+        out = run(table)
+        give_back()
+        return out
+
+    return of_batches if inspect.isgeneratorfunction(run) else of_table
+
+
+def documents(df: DataFrame, most: int = TEXTS_PER_BATCH) -> DataFrame:
+    """``doc_id`` and ``text`` alone, so that no other column can clash; no text is an empty text. At
+    most ``most`` of them go to Python at a time."""
+    small_batches(df.sparkSession, most)
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
