@@ -14,11 +14,10 @@ mean varies less than that of as many values of half the permutations would.
 
 Under a key not all sets meet: the one that meets the most sets over all its keys, which the original
 of many copies does, is compared with the others first. Keys under which the others are not all
-connected by then go on. Of their sets the shingles that sets of different components share are counted:
-no two sets can have more in common than the lesser of their counts, so a copy with too many words of
-its own meets nobody again. The next pivot of a key comes from outside the component of the first. After
-``ROUNDS`` of them, or when keys have few sets left, only sets of different components under a key are
-compared, the sets of a large key block by block. Nothing is left out.
+connected by then go on: only sets of different components under a key are compared. Where these are
+more than ``FEW_SETS``, their shingles that sets of different components share are counted before: no two
+sets can have more in common than the lesser of their counts, so a copy with too many words of its own
+meets nobody again. What is left of a large key meets block by block. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -50,9 +49,9 @@ SKETCH_BITS = 4
 #: Probability that the sketches of two sets that just are similar enough differ in too many values.
 SKETCH_MISS = 1e-7
 ROUNDS = 1
-#: Sets under a key that meet in one task, and up to which they need no further pivot.
+#: Sets under a key that meet in one task, and up to which their shingles need not be counted.
 BLOCK_SETS = 2_000
-FEW_SETS = 200
+FEW_SETS = 64
 #: Names of sets that a task remembers.
 SEEN_SETS = 500_000
 
@@ -206,6 +205,8 @@ class Search:
     a key. ``carried`` are columns of a set that decide whether two of them ``fits``."""
 
     carried: tuple[str, ...] = ()
+    #: What is known of a set under one key.
+    of_rows: tuple[str, ...] = ()
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> None:
         self.docs, self.sets, self.words, self.similarity = docs, sets, words, similarity
@@ -246,6 +247,10 @@ class Search:
             F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
         ).distinct()
 
+    def met(self, joined: DataFrame) -> DataFrame:
+        """The pairs that may be links among the sets that meet."""
+        return self._pairs(joined)
+
     def open_rows(self, rows: DataFrame) -> DataFrame:
         """The rows of keys whose sets that are not done are in several components."""
         several = (
@@ -257,10 +262,12 @@ class Search:
         )
         return stored(rows.join(several, "key"), "open-members")
 
-    def largest(self, rows: DataFrame) -> int:
-        """The number of sets under the largest key."""
+    def split(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The open rows of keys with few sets, and those of the other keys."""
         sizes = rows.where("NOT done").groupBy("key").agg(F.count("*").alias("size"))
-        return sizes.agg(F.max("size")).first()[0] or 0
+        rows = stored(rows.where("NOT done").join(sizes, "key"), "open-by-size")
+        parts = rows.where(F.col("size") <= FEW_SETS), rows.where(F.col("size") > FEW_SETS)
+        return tuple(part.drop("size") for part in parts)
 
     def after(self, rows: DataFrame, pivots: DataFrame, found: DataFrame | None) -> DataFrame:
         """The rows still open after the comparison with ``pivots``."""
@@ -324,12 +331,12 @@ class Search:
         each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         rows = rows.withColumn("other", each)
         low, high = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-        left = self._side(rows, "a", "key", low, high, F.col("block").alias("block_a"))
+        left = self._side(rows, "a", "key", low, high, F.col("block").alias("block_a"), *self.of_rows)
         right = self._side(rows, "b", "key", low, high, F.col("block").alias("block_b"))
         joined = left.join(right, ["key", "i", "j"])
         once = (F.col("i") == F.col("j")) & (F.col("node_a") < F.col("node_b"))
         once = once | ((F.col("block_a") == F.col("i")) & (F.col("block_b") == F.col("j")) & (F.col("i") < F.col("j")))
-        return self._pairs(joined.where(once))
+        return self.met(joined.where(once))
 
     def contents(self, nodes: DataFrame) -> DataFrame:
         """``(node, shingles)``: the full sets, made again from the texts."""
@@ -345,11 +352,10 @@ class Search:
         made = made.groupBy("digest").agg(F.first("shingles").alias("shingles"))
         return stored(names.join(made, "digest").select("node", "shingles"), "contents")
 
-    def confirmed(self, pairs: DataFrame, contents: DataFrame | None) -> DataFrame:
-        """The links among ``pairs``, by their full sets; these are in ``contents`` if it is given."""
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs``, by their full sets."""
         pairs = stored(pairs, "pairs")
-        if contents is None:
-            contents = self.contents(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        contents = self.contents(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         both = self.with_both(pairs, contents)
         return stored(both.mapInArrow(_confirmed(self.similarity), "a long, b long"), "links")
 
@@ -410,24 +416,25 @@ def named_sets(rows: DataFrame, *about: str) -> tuple[DataFrame, DataFrame]:
 def linked(search: Search, rounds: int) -> DataFrame | None:
     """``(node, component)`` of the sets that have links; none if none has."""
     members = search.under_keys()
-    links = found = contents = None
+    links = found = None
     for turn in range(rounds + 1):
         if members.isEmpty():
             break
-        if turn:
-            # Later rounds are about sets that are open now.
-            contents = search.contents(members.where("NOT done")) if contents is None else contents
-            members = search.pruned(members, contents)
-        last = turn >= rounds or turn and search.largest(members) <= FEW_SETS
-        pivots = None if last else search.pivots(members)
-        pairs = search.across(members) if pivots is None else search.with_pivots(members, pivots)
-        more = search.confirmed(pairs, contents)
+        if turn < rounds:
+            pivots = search.pivots(members)
+            pairs = search.with_pivots(members, pivots)
+        else:
+            light, heavy = search.split(members)
+            pairs = search.across(light)
+            if not heavy.isEmpty():
+                heavy = search.pruned(heavy, search.contents(heavy))
+                pairs = pairs.union(search.across(heavy)).distinct()
+        more = search.confirmed(pairs)
         if not more.isEmpty():
             links = more if links is None else links.union(more)
             found = stored(components(links), "components")
-        if last:
-            break
-        members = search.after(members, pivots, found)
+        if turn < rounds:
+            members = search.after(members, pivots, found)
     return found
 
 

@@ -17,11 +17,11 @@ those that repeat within blocks often enough are sent to all tasks, the most fre
 ``FREQUENT_SHINGLES`` at most.
 
 Under each key one set is the pivot, and the others are compared with it first: a group of thousands
-of near copies is linked by as many comparisons. The first pivot is the set with the smallest share of
+of near copies is linked by as many comparisons. The pivot is the set with the smallest share of
 shingles that only it has, which the original of many copies is. Keys under which the others are not all
-connected by then go on as in ``minmax``: sets with too few shingles that open sets of other components
-share meet nobody again, and in the end only sets of different components under a key are compared, the
-sets of a large key block by block. Nothing is left out.
+connected by then go on as in ``minmax``: only sets of different components under a key are compared, and
+under keys of many sets those with too few shingles that open sets of other components share meet
+nobody again. Nothing is left out.
 
 A pair is dropped when its overlap is bound too low: by the keys that each of the sets has for itself,
 and as shared shingles that are not among its shared single keys come, in one of the sets, after the
@@ -223,7 +223,8 @@ class _Join(Search):
     """The search with keys of rare shingles and of pairs of frequent ones. ``reach`` bounds the
     overlap of two sets from one side: for the one whose keys end first."""
 
-    carried = ("reach",)
+    carried = ("reach", "singles", "extra")
+    of_rows = ("single",)
 
     def under_keys(self) -> DataFrame:
         rows = self.sets.select(
@@ -250,22 +251,47 @@ class _Join(Search):
             .alias("reach")
         )
         reach = stored(reach, "reach")
-        rows = met.drop("singles", "single").join(reach, met["node"] == reach["of"]).drop("of")
+        rows = met.join(reach, met["node"] == reach["of"]).drop("of")
         return stored(
             rows.withColumn("met", F.col("reach") / F.col("n"))
             .withColumn("usable", F.col("n"))
+            .withColumn("extra", F.col("singles"))
             .withColumn("component", F.col("node"))
             .withColumn("done", F.lit(False)),
             "shared",
         )
 
+    def split(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``extra`` is how many single keys of a set are not among the rows."""
+        light, heavy = super().split(rows)
+        others = heavy.groupBy(F.col("node").alias("of")).agg(F.count_if("single").alias("others"))
+        light = light.join(others, light["node"] == others["of"], "left").drop("of", "extra")
+        light = light.withColumn("extra", F.coalesce("others", F.lit(0)).cast("int")).drop("others")
+        return stored(light, "light"), heavy
+
+    def met(self, joined: DataFrame) -> DataFrame:
+        """Between components every shared key of few sets is met here. The same bound as in
+        ``_possible``, but for not knowing whose keys end first."""
+        about = [f"{c}_{x}" for c in ("node", "n", "singles", "extra") for x in "ab"]
+        fit = joined.where((F.col("component_a") != F.col("component_b")) & self.fits())
+        met = fit.groupBy(*about).agg(F.count_if("single").alias("shared"))
+        rest = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
+        spare = lambda x: F.col(f"n_{x}") - F.ceil(F.col(f"n_{x}") * self.similarity / 100.0)
+        whole = (F.col("singles_a") <= spare("a")) & (F.col("singles_b") <= spare("b"))
+        most = F.when(whole, F.least(*rest)).otherwise(F.greatest(*rest))
+        most = most + F.col("shared") + F.least("extra_a", "extra_b")
+        enough = (100 + self.similarity) * most >= self.similarity * (F.col("n_a") + F.col("n_b"))
+        return met.where(enough).select(
+            F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+        )
+
     def fits(self) -> Column:
         """Whether two sets can have enough in common. What the further keys of the set whose keys end
         last share may be no key of the other set, so the larger reach counts."""
         both = (100 + self.similarity) * F.greatest("reach_a", "reach_b")
         return self.sizes_fit() & (both >= self.similarity * (F.col("n_a") + F.col("n_b")))
 
-    def confirmed(self, pairs: DataFrame, contents: DataFrame | None) -> DataFrame:
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among ``pairs``; reads the keys, and then the texts, of those alone."""
         pairs = stored(pairs, "pairs")
         wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
@@ -274,8 +300,7 @@ class _Join(Search):
             self.with_both(pairs, keys).mapInArrow(_possible(self.similarity), "a long, b long"),
             "possible",
         )
-        if contents is None:
-            contents = self.contents(possible.select(F.explode(F.array("a", "b")).alias("node")))
+        contents = self.contents(possible.select(F.explode(F.array("a", "b")).alias("node")))
         halves = contents.mapInArrow(tidy(_halves), "node long, shingles binary")
         for kind, shingles in ((np.uint32, halves), (np.uint64, contents)):
             both = self.with_both(possible, shingles)
