@@ -29,7 +29,7 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     to it, also if executors are lost."""
     spark = df.sparkSession
     path = f"{folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partitions).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partitions).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
