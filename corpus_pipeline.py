@@ -2,7 +2,9 @@
 
 Each stage reads what the one before it kept and returns the columns of the documents it was given;
 the last returns the encoded documents. Rows are told apart by ``doc_id``. A stage that removes rows
-names the ones that go, so a document it knows nothing about stays.
+names the ones that go, so a document it knows nothing about stays: a row without ``doc_id`` stays in
+every stage, and rows that repeat a ``doc_id`` go or stay together. Null texts are empty texts. Other
+columns are passed on, also if an operator has one of the same name. No input: no rows.
 """
 
 from __future__ import annotations
