@@ -14,10 +14,11 @@ mean varies less than that of as many values of half the permutations would.
 
 Under a key not all sets meet: the one that meets the most sets over all its keys, which the original
 of many copies does, is compared with the others first. Keys under which the others are not all
-connected by then go on: only sets of different components under a key are compared. Where these are
-more than ``FEW_SETS``, their shingles that sets of different components share are counted before: no two
-sets can have more in common than the lesser of their counts, so a copy with too many words of its own
-meets nobody again. What is left of a large key meets block by block. Nothing is left out.
+connected by then go on. Of their sets the shingles that sets of different components share are counted:
+no two sets can have more in common than the lesser of their counts, so a copy with too many words of
+its own meets nobody again. The next pivot of a key comes from outside the component of the first; after
+``ROUNDS`` of them, only sets of different components under a key are compared, the sets of a large
+key block by block. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -48,10 +49,9 @@ BANDED = 96
 SKETCH_BITS = 4
 #: Probability that the sketches of two sets that just are similar enough differ in too many values.
 SKETCH_MISS = 1e-7
-ROUNDS = 1
-#: Sets under a key that meet in one task, and up to which their shingles need not be counted.
+ROUNDS = 2
+#: Sets under a key that meet in one task.
 BLOCK_SETS = 2_000
-FEW_SETS = 64
 #: Names of sets that a task remembers.
 SEEN_SETS = 500_000
 
@@ -207,6 +207,9 @@ class Search:
     carried: tuple[str, ...] = ()
     #: What is known of a set under one key.
     of_rows: tuple[str, ...] = ()
+    #: Sets under a key up to which their shingles need not be counted; 0: those of all keys are, and
+    #: before each further pivot.
+    few = 0
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> None:
         self.docs, self.sets, self.words, self.similarity = docs, sets, words, similarity
@@ -266,7 +269,7 @@ class Search:
         """The open rows of keys with few sets, and those of the other keys."""
         sizes = rows.where("NOT done").groupBy("key").agg(F.count("*").alias("size"))
         rows = stored(rows.where("NOT done").join(sizes, "key"), "open-by-size")
-        parts = rows.where(F.col("size") <= FEW_SETS), rows.where(F.col("size") > FEW_SETS)
+        parts = rows.where(F.col("size") <= self.few), rows.where(F.col("size") > self.few)
         return tuple(part.drop("size") for part in parts)
 
     def after(self, rows: DataFrame, pivots: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -416,13 +419,18 @@ def named_sets(rows: DataFrame, *about: str) -> tuple[DataFrame, DataFrame]:
 def linked(search: Search, rounds: int) -> DataFrame | None:
     """``(node, component)`` of the sets that have links; none if none has."""
     members = search.under_keys()
-    links = found = None
+    links = found = contents = None
     for turn in range(rounds + 1):
         if members.isEmpty():
             break
+        if turn and not search.few:
+            contents = search.contents(members.where("NOT done")) if contents is None else contents
+            members = search.pruned(members, contents)
         if turn < rounds:
             pivots = search.pivots(members)
             pairs = search.with_pivots(members, pivots)
+        elif not search.few:
+            pairs = search.across(members)
         else:
             light, heavy = search.split(members)
             pairs = search.across(light)

@@ -55,8 +55,10 @@ BLOCK_SHINGLES = 2 << 20
 TEXTS = 250
 #: Names of sets that a task remembers.
 SEEN_SETS = 500_000
+#: Sets under a key up to which their shared shingles need not be counted.
+FEW_SETS = 64
 #: Rounds of comparing with a pivot before sets under a key are compared with each other.
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 2
 
 
 def _repeats(words: int, block: int):
@@ -225,6 +227,7 @@ class _Join(Search):
 
     carried = ("reach", "singles", "extra")
     of_rows = ("single",)
+    few = FEW_SETS
 
     def under_keys(self) -> DataFrame:
         rows = self.sets.select(

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.llm import minmax, queries
+from labelloom.llm import minmax, near, queries
 from labelloom.llm.near import near_groups
 from labelloom.llm.minmax import MinMax, band_keys, min_max_groups, most_differing, sketch
 from tests.llm import brute
@@ -94,7 +94,7 @@ def _families(seed=3):
 @pytest.mark.parametrize("rounds,block", [(2, 2_000), (0, 7), (1, 2_000), (3, 50)])
 def test_families(spark, monkeypatch, rounds, block):
     monkeypatch.setattr(minmax, "BLOCK_SETS", block)
-    monkeypatch.setattr(minmax, "FEW_SETS", 64 if block > 100 else 1)
+    monkeypatch.setattr(minmax.Search, "few", 64 if block > 100 else 1)
     rows = _families()
     assert by_id(min_max_groups(_frame(spark, rows, 7), rounds=rounds)) == _plain(rows)
 
@@ -103,7 +103,7 @@ def test_families(spark, monkeypatch, rounds, block):
 def test_families_by_n_grams(spark, monkeypatch, rounds, block, few):
     """The join of five-word shingles searches in the same way."""
     monkeypatch.setattr(minmax, "BLOCK_SETS", block)
-    monkeypatch.setattr(minmax, "FEW_SETS", few)
+    monkeypatch.setattr(near._Join, "few", few)
     rows = _families(9)
     found = by_id(near_groups(_frame(spark, rows, 5), frequent_from=6, pivot_rounds=rounds))
     assert found == brute.near(rows)
