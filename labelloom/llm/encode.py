@@ -125,6 +125,25 @@ def _encoded_words(tokenizer):
     return tidy(run)
 
 
+def _known(table: bytes) -> dict[str, bytes]:
+    words = pa.ipc.open_stream(pa.py_buffer(table)).read_all()
+    return dict(zip(words["word"].to_pylist(), words["ids"].to_pylist(), strict=True))
+
+
+class Known:
+    """The ids of words as two columns, which is how they are sent. In a task it is a dictionary, which
+    takes more than ten times the room."""
+
+    def __init__(self, table: pa.Table) -> None:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        self.table = sink.getvalue().to_pybytes()
+
+    def __reduce__(self):
+        return _known, (self.table,)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
@@ -253,8 +272,8 @@ def encoded(
         .limit(common_words)
         .select("word")
     )
-    table = counted.mapInArrow(_encoded_words(tokenizer), "word string, ids binary").toPandas()
-    common = context.broadcast(dict(zip(table["word"], map(bytes, table["ids"]), strict=True)))
+    table = counted.mapInArrow(_encoded_words(tokenizer), "word string, ids binary").toArrow()
+    common = context.broadcast(Known(table))
     del table
     some = [r["text"][:20_000] for r in sample.select("text").limit(2_000).collect()]
     dictionary = context.broadcast(_dictionary(some))

@@ -335,9 +335,9 @@ def near_groups(
         .orderBy(F.desc("n"), "shingle")
         .limit(FREQUENT_SHINGLES)
         .select("shingle")
-        .toPandas()["shingle"]
+        .toArrow()["shingle"]
     )
-    frequent = context.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(np.uint64)))
+    frequent = context.broadcast(np.sort(often.to_numpy().view(np.uint64)))
     rows = stored(
         docs.mapInArrow(
             _indexed(frequent, words, similarity),

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from labelloom.llm import lm, queries
 from labelloom.llm.decontaminate import leaked_items, questions_and_answers
-from labelloom.llm.encode import decoded, encoded
+from labelloom.llm.encode import Known, decoded, encoded
 from labelloom.llm.exact import bucket_of, exact_groups
 from labelloom.llm.lm import katz_scores
 from labelloom.llm.near import near_groups
@@ -397,3 +400,14 @@ def test_decontaminate_finds_items_without_a_whole_part(spark):
     assert {(k, k) for k in range(len(items))} <= expected
     found = {(r["doc_id"], r["item_id"]) for r in leaked_items(docs, table).collect()}
     assert found == expected
+
+
+def test_word_table_is_no_dictionary_on_the_driver(small, monkeypatch):
+    table = pa.table({"word": ["a", "é", ""], "ids": [b"1234", b"12345678", b""]})
+    assert pickle.loads(pickle.dumps(Known(table))) == {"a": b"1234", "é": b"12345678", "": b""}
+    sent, send = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda context, x: sent.append(x) or send(context, x))
+    encoded(small[0], TOKENIZER)
+    assert not [x for x in sent if isinstance(x, dict)]
+    (known,) = (x for x in sent if isinstance(x, Known))
+    assert len(known.table) < 40 * len(pickle.loads(pickle.dumps(known)))
