@@ -12,10 +12,10 @@ A byte goes if a ``SPAN``-byte string that covers it also starts earlier: in a d
    has is one row for each block.
 3. Different regions of one gram share strings or not. Their first occurrences are fetched, cut to
    what can be shared by comparing them outwards from the anchor; of those that are then equal the
-   earliest stays. They are put into one text for a number of grams, whose suffixes are sorted
-   (``suffixes``). Suffixes that agree in ``SPAN`` bytes are then
-   neighbours; of each such group all strings but the earliest are repeats. A gram with more than
-   ``GROUP_REGIONS`` regions (the edges of a passage that everybody has) is dealt by its strings
+   earliest stays. They are put into one text for a number of grams, in which a longest run of bytes
+   that the same pieces agree in is one symbol, and its suffixes are sorted (``suffixes``). Suffixes
+   that agree in the symbols of a string are then neighbours; of each such group all strings but the
+   earliest are repeats. A gram with more than ``GROUP_REGIONS`` regions is dealt by its strings
    instead, each of which then is a region for itself.
 4. The repeats come together by document, where they are merged and cut out.
 
@@ -37,14 +37,16 @@ from pyspark.sql import functions as F
 
 from labelloom.llm.suffixes import suffix_array
 from labelloom.llm.words import _FACTOR, _INVERSE, _powers, chunks, mixed
-from labelloom.llm.work import documents, only, stored
+from labelloom.llm.work import documents, only, stored, tidy
 
 SPAN = 100
 GRAM = 24
-GROUP_REGIONS = 512
-#: Anchors of a block of documents, and bytes of regions sorted at a time.
+GROUP_REGIONS = 1 << 14
+#: Bytes of text whose anchors are found at a time: few enough that what is made of them stays near.
+CHUNK_BYTES = 128 << 10
+#: Anchors of a block of documents, and symbols of regions sorted at a time.
 BLOCK_ANCHORS = 1 << 20
-SORT_BYTES = 1 << 16
+SORT_SYMBOLS = 1 << 16
 LATER_ROWS = 20_000
 
 _LAST = (1 << 63) - 1
@@ -70,12 +72,9 @@ class Anchors:
         self._letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
         self._up = self._down = np.ones(1, dtype=np.uint64)
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray):
-        """``(gram, region, document, start, length, offset)``: hashes, and where in the document the
-        region starts, how long it is and where in it the anchor is."""
+    def _places(self, data: np.ndarray, offsets: np.ndarray):
+        """The anchors' places, all grams, sums of the bytes before, and of each string the least gram."""
         n, width = len(data), self.width
-        if n < self.span:
-            return (np.zeros(0, dtype=np.uint64),) * 2 + (np.zeros(0, dtype=np.int64),) * 4
         if len(self._up) <= n:
             self._up, self._down = _powers(_FACTOR, n), _powers(_INVERSE, n)
         sums = np.zeros(n + 1, dtype=np.uint64)
@@ -88,7 +87,22 @@ class Anchors:
         least[np.arange(len(least)) + self.span > ends] = 0
         around = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         most = _sliding(around, width, np.maximum, np.uint64(0))
-        at = np.flatnonzero(most == grams)
+        return np.flatnonzero(most == grams), grams, sums, around
+
+    def grams(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The grams of the anchors alone."""
+        if len(data) < self.span:
+            return np.zeros(0, dtype=np.uint64)
+        at, grams, *_ = self._places(data, offsets)
+        return grams[at]
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray):
+        """``(gram, region, document, start, length, offset)``: hashes, and where in the document the
+        region starts, how long it is and where in it the anchor is."""
+        width = self.width
+        if len(data) < self.span:
+            return (np.zeros(0, dtype=np.uint64),) * 2 + (np.zeros(0, dtype=np.int64),) * 4
+        at, grams, sums, around = self._places(data, offsets)
         # The strings of an anchor: those that cover it and have it as the least.
         view = np.lib.stride_tricks.sliding_window_view(around, width)
         first, last = np.empty_like(at), np.empty_like(at)
@@ -117,8 +131,8 @@ def _grams(span: int, gram: int):
             )
 
         for batch in batches:
-            for _, _, data, offsets in chunks(batch):
-                held.append(_half(find(data, offsets)[0]))
+            for _, _, data, offsets in chunks(batch, CHUNK_BYTES):
+                held.append(_half(find.grams(data, offsets)))
                 size += len(held[-1])
             if size >= BLOCK_ANCHORS:
                 yield counted()
@@ -126,7 +140,7 @@ def _grams(span: int, gram: int):
         if held:
             yield counted()
 
-    return run
+    return tidy(run)
 
 
 def _half(grams: np.ndarray) -> np.ndarray:
@@ -163,7 +177,7 @@ def _regions(span: int, gram: int):
         find, held, size = Anchors(span, gram), [], 0
         for batch in batches:
             docs = batch.column(0).to_numpy()
-            for a, b, data, offsets in chunks(batch):
+            for a, b, data, offsets in chunks(batch, CHUNK_BYTES):
                 grams, regions, document, *rest = find(data, offsets)
                 held.append((grams, regions, docs[a:b][document], *rest))
                 size += len(grams)
@@ -173,7 +187,7 @@ def _regions(span: int, gram: int):
         if held:
             yield rows(held)
 
-    return run
+    return tidy(run)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +223,7 @@ def _fetched(span: int):
                     rows = []
             yield _fetched_batch(rows)
 
-    return run
+    return tidy(run)
 
 
 def _fetched_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -231,8 +245,8 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def shareable(group: list[tuple], span: int) -> list[tuple]:
-    """``(doc, start, content)`` of a gram's regions ``(doc, start, offset, content)``, each cut to what
-    agrees, outwards from the anchor, with some other; none if that is shorter than a span."""
+    """``(doc, start, content, offset)`` of a gram's regions ``(doc, start, offset, content)``, each cut to
+    what agrees, outwards from the anchor, with some other; none if that is shorter than a span."""
     left, right = [0] * len(group), [0] * len(group)
     for side, most in ((0, left), (1, right)):
         parts = [x[3][x[2] :] if side else x[3][: x[2]][::-1] for x in group]
@@ -243,84 +257,149 @@ def shareable(group: list[tuple], span: int) -> list[tuple]:
     out = []
     for (doc, start, offset, content), a, b in zip(group, left, right, strict=True):
         if a + b >= span:
-            out.append((doc, start + offset - a, content[offset - a : offset + b]))
+            out.append((doc, start + offset - a, content[offset - a : offset + b], a))
     return out
 
 
 def distinct(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """The earliest of equal pieces, and ``(doc, first, stop)`` of the others."""
-    first: dict[bytes, tuple] = {}
+    """The earliest of equal pieces with the anchor at one place, and ``(doc, first, stop)`` of the
+    others."""
+    first: dict[tuple, tuple] = {}
     later = []
     for piece in sorted(pieces, key=lambda x: x[:2]):
-        if first.setdefault(piece[2], piece)[:2] != piece[:2]:  # two anchors may have the same piece
+        if first.setdefault(piece[2:], piece)[:2] != piece[:2]:
             later.append((piece[0], piece[1], piece[1] + len(piece[2])))
     return list(first.values()), later
 
 
-def later_strings(pieces: list[tuple], span: int) -> list[tuple]:
-    """``(doc, first, stop)``: the bytes of the pieces ``(doc, start, content)`` covered by strings that
-    start earlier in another piece."""
-    text = b"".join(x[2] for x in pieces)
-    sizes = np.array([len(x[2]) for x in pieces])
-    stops = np.repeat(np.cumsum(sizes), sizes)
-    order = np.array(suffix_array(text), dtype=np.int64)
-    order = order[order + span <= stops[order]]  # strings within a piece
-    if len(order) < 2:
-        return []
-    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), span)
-    new = np.ones(len(order), dtype=bool)
-    for a in range(1, len(order), 4096):
-        b = min(a + 4096, len(order))
-        new[a:b] = (view[order[a:b]] != view[order[a - 1 : b - 1]]).any(axis=1)
-    kind = np.cumsum(new)
-    of = np.repeat(np.arange(len(pieces)), sizes)[order]
-    docs = np.array([x[0] for x in pieces])[of]
-    begins = np.array([x[1] for x in pieces]) - np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    starts = order + begins[of]
-    by = np.lexsort((starts, docs, kind))
-    kind, docs, starts = kind[by], docs[by], starts[by]
-    head = np.diff(kind, prepend=0) != 0
-    first = np.flatnonzero(head)[np.cumsum(head) - 1]
-    later = (docs != docs[first]) | (starts != starts[first])
-    docs, starts = docs[later], starts[later]
-    by = np.lexsort((starts, docs))
-    docs, starts = docs[by], starts[by]
-    if not len(docs):
-        return []
-    breaks = np.flatnonzero((np.diff(docs) != 0) | (np.diff(starts) > span)) + 1
-    cuts = [0, *breaks.tolist(), len(docs)]
-    return [
-        (int(docs[a]), int(starts[a]), int(starts[b - 1]) + span) for a, b in zip(cuts, cuts[1:], strict=False)
-    ]
+def tree(parts: list[bytes]) -> tuple[list[int], list[int], list[int]]:
+    """``(depth, up, leaf)`` of the tree in which parts go together as far as they agree: how long what
+    leads to a node is, the node above it (the first node is the root), and where each part ends."""
+    depth, up, path, leaf, before = [0], [-1], [0], [0] * len(parts), b""
+    for i in sorted(range(len(parts)), key=parts.__getitem__):
+        n, last = _common(before, parts[i]), -1
+        while depth[path[-1]] > n:
+            last = path.pop()
+        for size in (n, len(parts[i])):
+            if depth[path[-1]] < size:
+                if size == n:
+                    up[last] = len(depth)
+                up.append(path[-1])
+                path.append(len(depth))
+                depth.append(size)
+        leaf[i], before = path[-1], parts[i]
+    return depth, up, leaf
+
+
+class Runs:
+    """Pieces of a number of grams as one text whose suffixes are sorted. A symbol is a longest run of
+    bytes, on one side of the anchor, in which the same pieces of a gram agree; so pieces share a string
+    just if they share the symbols it touches."""
+
+    def __init__(self, span: int) -> None:
+        self.span, self.text, self.symbols, self.rows = span, [], 0, []
+
+    def add(self, pieces: list[tuple]) -> None:
+        """Pieces ``(doc, start, content, offset)`` of a gram."""
+        left, above, outer = tree([x[2][: x[3]][::-1] for x in pieces])
+        right, below, inner = tree([x[2][x[3] :] for x in pieces])
+        centre = self.symbols
+        rights = centre + len(left) - 1
+        self.symbols = rights + len(right)
+        for (doc, start, _, offset), v, w in zip(pieces, outer, inner, strict=True):
+            before, after = [v], []
+            while v:
+                v = above[v]
+                before.append(v)
+            while w:
+                after.append(w)
+                w = below[w]
+            after.reverse()
+            at, k, a, q = len(self.text), 0, left[before[0]], 0
+            self.text += [centre + v for v in before]
+            self.text += [rights + w for w in after]
+            while a >= 0:
+                while q < len(after) and right[after[q]] < self.span - a:
+                    q += 1
+                if q == len(after):
+                    break
+                end = left[before[k + 1]] + 1 if before[k] else 0
+                low = max(end, self.span - right[after[q]])
+                first = start + offset - a
+                self.rows.append((at + k, len(before) - k + q + 1, doc, first, first + a - low + self.span))
+                a = low - 1
+                k += low == end
+
+    def later(self) -> list[tuple]:
+        """``(doc, first, stop)``: the bytes of the pieces covered by strings that start earlier in
+        another piece."""
+        if not self.rows:
+            return []
+        at, size, doc, first, stop = np.array(self.rows, dtype=np.int64).T
+        order = np.array(suffix_array(self.text), dtype=np.int64)
+        text = np.append(np.array(self.text, dtype=np.int64), -1)
+        agree = np.zeros(len(order), dtype=np.int64)  # symbols shared with the suffix before
+        alive = np.arange(1, len(order))
+        for k in range(int(size.max())):
+            x, y = order[alive] + k, order[alive - 1] + k
+            alive = alive[(np.maximum(x, y) < len(order)) & (text[np.minimum(x, len(order))] == text[np.minimum(y, len(order))])]
+            agree[alive] += 1
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        kind = np.empty_like(at)
+        for k in np.unique(size):
+            own = size == k
+            kind[own] = np.cumsum(agree < k)[rank[at[own]]]
+        by = np.lexsort((first, doc, kind, size))
+        doc, first, stop = doc[by], first[by], stop[by]
+        head = np.ones(len(by), dtype=bool)
+        head[1:] = (np.diff(kind[by]) != 0) | (np.diff(size[by]) != 0)
+        least = np.flatnonzero(head)[np.cumsum(head) - 1]
+        again = (doc != doc[least]) | (first != first[least])  # two anchors may have the same piece
+        doc, first, stop = doc[again], first[again], stop[again]
+        if not len(doc):
+            return []
+        by = np.lexsort((first, doc))
+        doc, first, stop = doc[by], first[by], stop[by]
+        # Where each run of a document starts beyond all before it.
+        text_of = np.cumsum(np.diff(doc, prepend=doc[0]) != 0) * (int(stop.max()) + 1)
+        so_far = np.maximum.accumulate(stop + text_of)
+        breaks = np.flatnonzero((first + text_of)[1:] > so_far[:-1]) + 1
+        cuts = np.concatenate([[0], breaks])
+        lasts = np.concatenate([breaks, [len(doc)]]) - 1
+        ends = so_far[lasts] - text_of[lasts]
+        return list(zip(doc[cuts].tolist(), first[cuts].tolist(), ends.tolist(), strict=True))
 
 
 def _resolved(span: int):
     """Rows sorted by gram: the repeats among the regions of each."""
 
-    def batch_of(pieces: list[tuple], later: list[tuple]) -> pa.RecordBatch:
-        found = later + (later_strings(pieces, span) if pieces else [])
-        columns = list(zip(*found, strict=True)) or [[]] * 3
+    def batch_of(runs: Runs, later: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*later, *runs.later(), strict=True)) or [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "first", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, group, pieces, later, size = None, [], [], [], 0
+        gram, group, runs, later = None, [], Runs(span), []
+
+        def settle() -> None:
+            own, same = distinct(shareable(group, span))
+            later.extend(same)
+            if len(own) > 1:
+                runs.add(own)
+
         for batch in batches:
             for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != gram:
-                    own, same = distinct(shareable(group, span))
-                    later += same
-                    if len(own) > 1:
-                        pieces += own
-                        size += sum(len(x[2]) for x in own)
+                    settle()
                     gram, group = g, []
-                    if size >= SORT_BYTES or len(later) >= LATER_ROWS:
-                        yield batch_of(pieces, later)
-                        pieces, later, size = [], [], 0
+                    if len(runs.text) >= SORT_SYMBOLS or len(later) >= LATER_ROWS:
+                        yield batch_of(runs, later)
+                        runs, later = Runs(span), []
                 group.append(tuple(row))
-        own, same = distinct(shareable(group, span))
-        yield batch_of(pieces + own, later + same)
+        settle()
+        yield batch_of(runs, later)
 
-    return run
+    return tidy(run)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,7 +503,7 @@ def without_repeats(
     )
     wanted = stored(wanted, "wanted")
     some = only(texts, wanted.select(F.col("of").alias("doc")), "doc").dropDuplicates(["doc"])
-    some = some.mapInArrow(_pack, "doc long, packed binary")
+    some = some.mapInArrow(tidy(_pack), "doc long, packed binary")
     fetched = stored(
         some.join(wanted, some["doc"] == wanted["of"])
         .select("doc", "packed", "wanted")
@@ -461,12 +540,12 @@ def without_repeats(
         .groupBy(F.col("doc").alias("of"))
         .agg(F.collect_list(F.struct("first", "stop")).alias("cuts"))
     )
-    packed = docs.mapInArrow(_pack, "doc long, doc_id long, packed binary")
+    packed = docs.mapInArrow(tidy(_pack), "doc long, doc_id long, packed binary")
     return (
         packed.join(cuts, packed["doc"] == cuts["of"], "left")
         .select("doc_id", "packed", "cuts")
         .mapInArrow(
-            _kept,
+            tidy(_kept),
             "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
         )
     )

@@ -23,7 +23,7 @@ from labelloom.llm.lm import katz_scores
 from labelloom.llm.near import near_groups
 from labelloom.llm.pii import personal_data
 from labelloom.llm.quality import kth_largest, quality_sample
-from labelloom.llm.repeats import without_repeats
+from labelloom.llm.repeats import GROUP_REGIONS, Runs, without_repeats
 from labelloom.llm.secrets import secrets
 from labelloom.llm.toxicity import maximal_segments, toxicity, train
 from tests.llm import brute
@@ -411,3 +411,36 @@ def test_word_table_is_no_dictionary_on_the_driver(small, monkeypatch):
     assert not [x for x in sent if isinstance(x, dict)]
     (known,) = (x for x in sent if isinstance(x, Known))
     assert len(known.table) < 40 * len(pickle.loads(pickle.dumps(known)))
+
+
+def test_repeats_of_periodic_texts(spark):
+    """One piece may have its anchor at several places."""
+    random = np.random.default_rng(3)
+    rows = []
+    for k in range(60):
+        period = "".join(random.choice(list("ab c"), random.integers(1, 40)))
+        rows.append((k, "".join((period * 20)[: random.integers(50, 300)] for _ in range(3))))
+        rows.append((k + 100, rows[random.integers(len(rows))][1][random.integers(9) :] + period))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for settings in ({}, {"group_regions": 2}):
+        out = by_id(without_repeats(df, **settings), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert out == brute.repeats(rows)
+
+
+def test_repeats_sort_runs_of_bytes():
+    """Edges of a passage that thousands have are sorted as few symbols, also in one group."""
+    random = np.random.default_rng(4)
+    passage = random.integers(97, 123, 176, dtype=np.uint8).tobytes()
+    ends = random.integers(1, 60, 2_000)
+    pieces = [(k, 10, passage[: 176 - n], 76) for k, n in enumerate(ends.tolist())]
+    runs = Runs(100)
+    runs.add(pieces)
+    assert len(pieces) <= GROUP_REGIONS
+    assert len(runs.text) < sum(len(x[2]) for x in pieces) / 3
+    first = {}
+    plain = set()
+    for doc, start, content, _ in pieces:
+        for k in range(len(content) - 99):
+            if first.setdefault(content[k : k + 100], doc) != doc:
+                plain.update((doc, b) for b in range(start + k, start + k + 100))
+    assert {(d, b) for d, f, stop in runs.later() for b in range(f, stop)} == plain
