@@ -127,7 +127,7 @@ def _encoded_words(tokenizer):
 
 def _known(table: bytes) -> dict[str, bytes]:
     words = pa.ipc.open_stream(pa.py_buffer(table)).read_all()
-    return dict(zip(words["word"].to_pylist(), words["ids"].to_pylist(), strict=True))
+    return dict(zip(words["word"].to_numpy(), words["ids"].to_numpy(), strict=True))
 
 
 class Known:
